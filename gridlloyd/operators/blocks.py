@@ -100,3 +100,162 @@ def lloyd_in_task(
 
 def one_row(columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
+def widest_ratio(batch: pa.RecordBatch, spread: np.ndarray, means: np.ndarray) -> np.ndarray:
+    """max over other clusters of (spread + spread) / centre distance, for (label, spread, mean) rows."""
+    own = batch.column(1).to_numpy(zero_copy_only=False)
+    worst = np.zeros(len(own))
+    for i, (s, mean) in enumerate(zip(own, batch.column(2).to_pylist())):
+        gap = np.sqrt(((means - np.array(mean)) ** 2).sum(axis=1))
+        ratio = np.divide(s + spread, gap, out=np.zeros(len(gap)), where=gap > 0)
+        worst[i] = ratio.max() if len(ratio) else 0.0
+    return worst
+
+
+def label_distance_sums(rows: pa.StructArray, others: pa.StructArray) -> pa.RecordBatch:
+    """For each row of one block: its summed distance to the members of every label of another block."""
+    def matrix(items):
+        x = items.field("x")
+        return x.flatten().to_numpy(zero_copy_only=False).reshape(len(items), -1)
+
+    a, b = matrix(rows), matrix(others)
+    origin = b.mean(axis=0)
+    a, b = a - origin, b - origin
+    square = (a**2).sum(axis=1)[:, None] + (b**2).sum(axis=1)[None, :] - 2.0 * (a @ b.T)
+    distance = np.sqrt(np.maximum(square, 0.0))
+    codes = others.field("label").dictionary_encode()
+    names, index = codes.dictionary, codes.indices.to_numpy(zero_copy_only=False)
+    member = np.zeros((len(others), len(names)))
+    member[np.arange(len(others)), index] = 1.0
+    sums, counts = distance @ member, member.sum(axis=0).astype(np.int64)
+    repeat = np.repeat(np.arange(len(rows)), len(names))
+    cycle = np.tile(np.arange(len(names)), len(rows))
+    return pa.RecordBatch.from_arrays(
+        [rows.field("key").take(pa.array(repeat)), rows.field("label").take(pa.array(repeat)),
+         names.take(pa.array(cycle)), pa.array(sums.ravel()), pa.array(counts[cycle])],
+        names=["key", "own", "other", "total", "n"])
+
+
+def expected_mutual_information(size: int, others: np.ndarray, times: np.ndarray, total: int) -> float:
+    """Sum over groups of the other labeling of E[n/N log(N n / (a b))], n hypergeometric.
+
+    Probabilities follow from ratios of neighbouring terms, starting at the mode and normalised at the
+    end, so no large factorial is needed. Terms beyond 16 standard deviations plus 64 are below any
+    double and are skipped.
+    """
+    result = 0.0
+    for other, count in zip(others.tolist(), times.tolist()):
+        low, high = max(0, size + other - total), min(size, other)
+        mode = min(high, max(low, (size + 1) * (other + 1) // (total + 2)))
+        share = other / total
+        deviation = np.sqrt(size * share * (1 - share) * (total - size) / max(1, total - 1))
+        width = int(16 * deviation) + 64
+        up = np.arange(mode, min(high, mode + width), dtype=float)
+        down = np.arange(mode, max(low, mode - width), -1.0)
+        log_up = np.cumsum(np.log((size - up) * (other - up)) - np.log((up + 1) * (total - size - other + up + 1)))
+        log_down = np.cumsum(np.log(down * (total - size - other + down)) - np.log((size - down + 1) * (other - down + 1)))
+        n = np.concatenate([[mode], up + 1, down - 1])
+        weight = np.exp(np.concatenate([[0.0], log_up, log_down]))
+        keep = n > 0
+        n, weight, norm = n[keep], weight[keep], weight.sum()
+        value = n / total * (np.log(n) + np.log(total) - np.log(size) - np.log(other))
+        result += count * float((weight * value).sum() / norm)
+    return result
+
+
+def mixed_uniform(h: np.ndarray, turn: int) -> np.ndarray:
+    """An independent-looking uniform in (0, 1) per (row hash, turn): the splitmix64 finaliser."""
+    # Fixed values of the published splitmix64 generator.
+    gamma, first, second = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
+    z = h.astype(np.uint64) + np.uint64((gamma * (turn + 1)) % 2**64)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(first)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(second)
+    z = z ^ (z >> np.uint64(31))
+    return (z.astype(float) + 0.5) / 2.0**64
+
+
+def seed_candidate(block: list, seeds: np.ndarray, turn: int, nearest: np.ndarray | None = None) -> tuple:
+    """Winner (race, hash, x..) of one block of columns ``x0.., h`` in the next seeding draw.
+
+    The first draw is uniform. Without any distance left (fewer distinct points than seeds) it is
+    uniform over the last resort of equal points.
+    """
+    xs, h = block[:-1], block[-1]
+    weight = nearest
+    if weight is None:
+        weight = nearest_in_block(xs, seeds)[1] if len(seeds) else np.ones(len(h))
+    wait = -np.log1p(-mixed_uniform(h, turn))
+    race = np.divide(wait, weight, out=np.full(len(h), np.inf), where=weight > 0)
+    i = np.lexsort([h, race])[0] if np.isinf(race).all() else _first_smallest(race, h)
+    return (float(race[i]), int(h[i]), *[float(x[i]) for x in xs])
+
+
+def _first_smallest(race: np.ndarray, h: np.ndarray) -> int:
+    ties = np.flatnonzero(race == race.min())
+    return int(ties[np.argmin(h[ties])])
+
+
+def seed_in_blocks(blocks: list, k: int) -> np.ndarray:
+    """All seeding draws over one bounded table, keeping the nearest distance of every row."""
+    nearest = [np.full(len(b[-1]), np.inf) for b in blocks]
+    seeds = np.empty((0, len(blocks[0]) - 1))
+    for turn in range(k):
+        found = min(
+            seed_candidate(b, seeds, turn, None if turn == 0 else near) for b, near in zip(blocks, nearest))
+        seeds = np.vstack([seeds, found[2:]])
+        for b, near in zip(blocks, nearest):
+            np.minimum(near, nearest_in_block(b[:-1], seeds[-1:])[1], out=near)
+    return seeds
+
+
+class BatchState:
+    """Progress of mini-batch k-means between batches: centre-sized, whatever the data size."""
+
+    def __init__(self, centers, counts, smoothing, steps=0, error=np.nan, best=np.inf, stale=0, done=False):
+        self.centers, self.counts, self.smoothing = centers.copy(), counts.copy(), smoothing
+        self.steps, self.error, self.best, self.stale, self.done = steps, error, best, stale, done
+
+    def absorb(self, sums: np.ndarray, patience: int) -> None:
+        """Fold the ``block_sums`` of one batch into the running means and update the stopping rule."""
+        weight = sums[:, 0]
+        hit = weight > 0
+        self.counts += weight
+        rate = (weight[hit] / self.counts[hit])[:, None]
+        self.centers[hit] += rate * (sums[hit, 2:] / weight[hit, None] - self.centers[hit])
+        self.steps += 1
+        if self.steps == 1:  # the error of the bare seeds says nothing about progress
+            return
+        error = sums[:, 1].sum() / weight.sum()
+        self.error = error if np.isnan(self.error) else self.error + self.smoothing * (error - self.error)
+        self.stale = 0 if self.error < self.best else self.stale + 1
+        self.best = min(self.best, self.error)
+        self.done = self.stale >= patience
+
+    def to_bytes(self) -> bytes:
+        tail = [self.smoothing, self.steps, self.error, self.best, self.stale, self.done]
+        return np.concatenate([self.centers.ravel(), self.counts, np.array(tail, dtype=float)]).tobytes()
+
+    @classmethod
+    def from_bytes(cls, data: bytes, k: int) -> "BatchState":
+        flat = np.frombuffer(data, dtype=float)
+        d = (len(flat) - 6 - k) // k
+        smoothing, steps, error, best, stale, done = flat[-6:]
+        return cls(flat[:k * d].reshape(k, d), flat[k * d:k * d + k], smoothing,
+                   int(steps), error, best, int(stale), bool(done))
+
+
+def mini_batches(blocks: list, state: BatchState, batch_size: int, patience: int) -> bytes:
+    """Work through one slice of rows (columns ``x0.., order``) in order, batch by batch."""
+    now = BatchState(state.centers, state.counts, state.smoothing, state.steps, state.error, state.best,
+                     state.stale, state.done)
+    if blocks:
+        columns = [np.concatenate([b[j] for b in blocks]) for j in range(len(blocks[0]))]
+        order = np.argsort(columns[-1], kind="stable")
+        xs = [c[order] for c in columns[:-1]]
+        for start in range(0, len(order), batch_size):
+            part = [x[start:start + batch_size] for x in xs]
+            now.absorb(block_sums(part, np.ones(len(part[0])), now.centers), patience)
+            if now.done:
+                break
+    return now.to_bytes()

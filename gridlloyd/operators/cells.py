@@ -105,7 +105,7 @@ def levels(df: DataFrame, features, depth: int, bounds=UNIT_BOUNDS) -> DataFrame
 def geometry(stats: DataFrame, dims: int, bounds=UNIT_BOUNDS) -> DataFrame:
     """Append the box of every cell: arrays ``lo``, ``hi`` and the split point ``threshold``."""
     low, high = (float(b) for b in bounds)
-    side = F.lit(high - low) / F.shiftleft(F.lit(1), F.col("depth")).cast("double")
+    side = F.lit(high - low) / F.call_function("shiftleft", F.lit(1), F.col("depth")).cast("double")
     at = [F.lit(low) + F.get("cell", F.lit(j)).cast("double") * side for j in range(dims)]
     return (
         stats.withColumn("lo", F.array(*at))
