@@ -5,6 +5,7 @@ Kept free of Spark imports so that Python workers load them quickly.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
@@ -98,6 +99,35 @@ def lloyd_in_task(
                     "centers": pa.array([final.ravel().tolist()], pa.list_(pa.float64()))})
 
 
+def levels_in_task(
+    batches: Iterable[pa.RecordBatch], centers: np.ndarray, limits: dict[int, float], max_iter: int, threshold: float
+) -> Iterable[pa.RecordBatch]:
+    """Lloyd over several bounded levels (columns ``x0.., w, depth``), each starting from the centres of
+    the one above. ``limits`` holds the levels in order with their tolerance; a positive ``threshold``
+    ends the descent once no centre moves that far."""
+    blocks = read_blocks(batches)
+    d = centers.shape[1]
+    for depth, limit in limits.items():
+        started = time.perf_counter()
+        level = [[c[b[-1] == depth] for c in b[:-1]] for b in blocks if (b[-1] == depth).any()]
+        moved, n_iter = iterate(
+            lambda at: sum(block_sums(b[:d], b[d], at) for b in level),
+            lambda at, m: farthest_in_blocks(level, at, m),
+            centers, max_iter, limit,
+        )
+        yield one_row({"depth": pa.array([depth], pa.int32()), "n_iter": pa.array([n_iter], pa.int32()),
+                       "centers": pa.array([moved.ravel().tolist()], pa.list_(pa.float64())),
+                       "seconds": pa.array([time.perf_counter() - started])})
+        if 0 < threshold and largest_move(centers, moved) < threshold:
+            return
+        centers = moved
+
+
+def largest_move(before: np.ndarray, after: np.ndarray) -> float:
+    """Largest distance between a centre and its successor."""
+    return float(np.sqrt(((after - before) ** 2).sum(axis=1)).max())
+
+
 def one_row(columns: dict) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
@@ -209,6 +239,13 @@ def seed_in_blocks(blocks: list, k: int) -> np.ndarray:
     return seeds
 
 
+def smallest_rows(blocks: list, limit: int) -> list:
+    """The ``limit`` rows with the smallest value of the last column, as one block."""
+    columns = [np.concatenate([b[j] for b in blocks]) for j in range(len(blocks[0]))]
+    order = np.argsort(columns[-1], kind="stable")[:limit]
+    return [[c[order] for c in columns]]
+
+
 class BatchState:
     """Progress of mini-batch k-means between batches: centre-sized, whatever the data size."""
 

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import all_finite, feature_columns
-from ..session import Scratch
+from ..session import Scratch, fits_bound
 
 MAX_DEPTH = 24
 UNIT_BOUNDS = (-1.0, 1.0)
@@ -133,8 +133,7 @@ class CellLevels:
         self.cells: dict[int, int] = {}
         self.variance: dict[int, float] = {}
         self.n_rows = 0
-        self._frames: dict[int, DataFrame] = {}
-        self._packed_at: dict[int, int] = {}
+        self._tables: list[tuple[range, DataFrame]] = []
 
     def require(self, depth: int) -> None:
         """Make every level up to ``depth`` available, with one scan of the rows if any is missing."""
@@ -142,39 +141,52 @@ class CellLevels:
         if depth <= done:
             return
         leaf = self.scratch.write(leaf_stats(self.df, self.features, depth, self.bounds), f"leaf{depth}")
-        if leaf.where(F.col("w0").isNull()).head(1):
-            raise ValueError("features contain null, NaN or infinite values")
         tree, above = leaf.withColumn("depth", F.lit(depth)), range(done + 1, depth)
         if len(above):
             upper = self.scratch.write(roll_up(leaf, self.dims, depth, above), f"above{depth}", "depth")
             tree = tree.unionByName(upper)
         spread = sum(F.var_pop(F.col(f"s{j}") / F.col("n")) for j in range(self.dims)) / F.lit(self.dims)
         facts = tree.groupBy("depth").agg(
-            F.count(F.lit(1)).alias("cells"), F.sum("n").alias("rows"), spread.alias("variance")
-        )
-        for row in facts.collect():
+            F.count(F.lit(1)).alias("cells"), F.sum("n").alias("rows"), spread.alias("variance"),
+            F.count_if(F.col("w0").isNull()).alias("bad"),
+        ).collect()
+        if any(row["bad"] for row in facts):
+            raise ValueError("features contain null, NaN or infinite values")
+        for row in facts:
             self.cells[row["depth"]] = row["cells"]
             self.variance[row["depth"]] = row["variance"]
             self.n_rows = row["rows"]
         if not self.n_rows:
             raise ValueError("cannot fit an empty table")
-        for i in range(done + 1, depth + 1):
-            self._frames[i] = leaf if i == depth else upper.where(F.col("depth") == i).drop("depth")
-            self._packed_at[i] = depth
-
-    def points(self, depth: int) -> DataFrame:
-        """Representatives of one level: means ``x0..``, weight ``w`` and the packed key ``w0..``."""
-        frame = self._frames[depth]
-        keys = [f"w{i}" for i in range(_word_count(self.dims, self._packed_at[depth]))]
-        return frame.select(
-            *[(F.col(f"s{j}") / F.col("n")).alias(f"x{j}") for j in range(self.dims)],
-            F.col("n").cast("double").alias("w"),
-            *keys,
-        )
+        self._tables.append((range(done + 1, depth + 1), tree))
+
+    def points(self, *depths: int) -> DataFrame:
+        """Representatives of some levels: means ``x0..``, weight ``w``, ``depth``, packed keys ``w0..``.
+        The filter on the depth prunes the scan to the files of these levels."""
+        frames = []
+        for covered, table in self._tables:
+            wanted = [i for i in depths if i in covered]
+            if wanted:
+                keys = [f"w{i}" for i in range(_word_count(self.dims, covered[-1]))]
+                frames.append(table.where(F.col("depth").isin(wanted)).select(
+                    *[(F.col(f"s{j}") / F.col("n")).alias(f"x{j}") for j in range(self.dims)],
+                    F.col("n").cast("double").alias("w"), "depth", *keys))
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+    def chain(self, depth: int, longest: int) -> list[int]:
+        """Consecutive levels from ``depth`` on that together stay within the bound of one task. A level
+        below the first with as many cells as rows ends the chain: it is never clustered."""
+        chain, rows = [], 0
+        for i in range(depth, min(depth + longest, max(self.cells) + 1)):
+            rows += self.cells[i]
+            if not fits_bound(rows, self.dims + 2) or (i > depth and self.cells[i] >= self.n_rows):
+                break
+            chain.append(i)
+        return chain
 
     def coordinates(self, depth: int) -> list[Column]:
         """Cell coordinates of a ``points`` frame of that depth."""
-        packed = self._packed_at[depth]
+        packed = next(covered[-1] for covered, _ in self._tables if depth in covered)
         return _unpack(self.dims, packed, depth)
 
     def drop(self) -> None:

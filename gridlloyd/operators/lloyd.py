@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import all_finite, feature_columns, squared_distance
 from ..session import fits_bound
-from .blocks import block_sums, iterate, lloyd_in_task, nearest_in_block
+from .blocks import block_sums, iterate, levels_in_task, lloyd_in_task, nearest_in_block
 
 #: Largest K x d for which distances are unrolled into generated code; beyond it Arrow batches win.
 UNROLL_LIMIT = 72
@@ -91,8 +91,14 @@ def point_frame(df: DataFrame, features, weight: str | None = None, keep: Iterab
     return df.select(*[x.alias(f"x{j}") for j, x in enumerate(xs)], w.alias("w"), *keep)
 
 
-def cluster_sums(points: DataFrame, centers: np.ndarray, n_rows: int | None = None) -> np.ndarray:
-    """K x (2 + d) sums over all points (see ``block_sums``): one map-side pass, K rows per task shuffled."""
+def cluster_sums(
+    points: DataFrame, centers: np.ndarray, n_rows: int | None = None, tasks: int | None = None
+) -> np.ndarray:
+    """K x (2 + d) sums over all points (see ``block_sums``) in one map-side pass.
+
+    The K partial rows of every task are added up by a shuffle, or directly on the driver when the
+    number of ``tasks`` is given and proves them few.
+    """
     k, d = centers.shape
     names = ["weight", "sse"] + [f"s{j}" for j in range(d)]
     if n_rows is not None and n_rows >= SQL_STEP_ROWS and centers.size <= UNROLL_LIMIT:
@@ -112,6 +118,11 @@ def cluster_sums(points: DataFrame, centers: np.ndarray, n_rows: int | None = No
 
         layout = "k int, " + ", ".join(f"{c} double" for c in names)
         partial = points.select(*[f"x{j}" for j in range(d)], "w").mapInArrow(reduce_task, layout)
+        if tasks is not None and fits_bound(tasks * k, 8 * (3 + d)):
+            sums = np.zeros((k, 2 + d))
+            for row in partial.collect():
+                sums[row["k"]] += row[1:]
+            return sums
     rows = partial.groupBy("k").agg(*[F.sum(c).alias(c) for c in names]).collect()
     sums = np.zeros((k, 2 + d))
     for row in rows:
@@ -139,12 +150,15 @@ def weighted_lloyd(
     tol: float = 1e-4,
     n_rows: int | None = None,
     variance: float | None = None,
+    stored: bool = False,
 ) -> LloydResult:
     """Lloyd from given centres over weighted points.
 
     ``tol`` is relative to the mean feature variance, as in common k-means implementations. Callers
     that know the point count and variance pass them to save one aggregation. The points should be
-    persisted or a written table: they are read once per iteration.
+    persisted or a written table: they are read once per iteration. ``stored`` says that they are a
+    written table, which one task may read directly; anything else is gathered by a shuffle, so that a
+    recomputation of the points would still run in parallel.
     """
     xs = [c for c in points.columns if c[0] == "x" and c[1:].isdigit()]
     centers = as_centers(centers, len(xs))
@@ -152,16 +166,35 @@ def weighted_lloyd(
         n_rows, variance = point_facts(points)
     limit = tol * variance
     if fits_bound(n_rows, len(xs) + 1):
-        centers, n_iter = _iterate_in_task(points.select(*xs, "w"), centers, max_iter, limit)
+        gathered = points.select(*xs, "w")
+        gathered = gathered.coalesce(1) if stored else gathered.repartition(1)
+        centers, n_iter = _iterate_in_task(gathered, centers, max_iter, limit)
     else:
+        tasks = points.rdd.getNumPartitions()
         centers, n_iter = iterate(
-            lambda at: cluster_sums(points, at, n_rows),
+            lambda at: cluster_sums(points, at, n_rows, tasks),
             lambda at, m: farthest_points(points, at, m),
             centers, max_iter, limit,
         )
     return LloydResult(centers, n_iter, n_rows)
 
 
+def lloyd_levels(
+    points: DataFrame, centers: np.ndarray, limits: dict[int, float], max_iter: int, threshold: float
+) -> list[tuple[int, np.ndarray, int, float]]:
+    """Lloyd over several bounded levels in one task: (depth, centres, iterations, seconds) of each.
+
+    ``points`` is a written table with a ``depth`` column; see ``levels_in_task``.
+    """
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        yield from levels_in_task(batches, centers, limits, max_iter, threshold)
+
+    xs = [f"x{j}" for j in range(centers.shape[1])]
+    layout = "depth int, n_iter int, centers array<double>, seconds double"
+    rows = points.select(*xs, "w", "depth").coalesce(1).mapInArrow(run, layout).collect()
+    return [(r["depth"], np.array(r["centers"]).reshape(centers.shape), r["n_iter"], r["seconds"]) for r in rows]
+
+
 def point_facts(points: DataFrame) -> tuple[int, float]:
     """Row count and mean per-feature variance; rejects non-finite features."""
     xs = [c for c in points.columns if c[0] == "x" and c[1:].isdigit()]
@@ -181,5 +214,5 @@ def _iterate_in_task(points: DataFrame, centers: np.ndarray, max_iter: int, limi
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         yield lloyd_in_task(batches, centers, max_iter, limit)
 
-    row = points.coalesce(1).mapInArrow(run, "n_iter int, centers array<double>").collect()[0]
+    row = points.mapInArrow(run, "n_iter int, centers array<double>").collect()[0]
     return np.array(row["centers"]).reshape(centers.shape), row["n_iter"]
