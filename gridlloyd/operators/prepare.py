@@ -129,7 +129,7 @@ def encode_column(df: DataFrame, table: DataFrame, column: str, size: int, by_nu
         joined = keyed.join(F.broadcast(entries), "__key", "left")
     else:
         keyed = keyed.withColumn("__salt", F.pmod(F.xxhash64(*(ids or df.columns)), F.lit(_SALTS)))
-        spread = entries.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).cast("bigint"))
+        spread = entries.withColumn("__salt", F.explode(F.array([F.lit(i).cast("bigint") for i in range(_SALTS)])))
         joined = keyed.join(spread, ["__key", "__salt"], "left")
     return joined.select(*[F.col("__code").alias(c) if c == column else F.col(c) for c in df.columns])
 
