@@ -172,7 +172,7 @@ RESULTS = (
     "results AS (SELECT l_linenumber AS n_clusters, (l_partkey % 2)::INTEGER AS n_dims, (l_orderkey % 3)::INTEGER AS n_samples, "
     "CASE WHEN l_returnflag = 'A' THEN 'k-means++' ELSE 'recursive' END AS algorithm, "
     "CASE WHEN l_returnflag <> 'A' THEN (month(l_shipdate) % 6 + 1)::INTEGER END AS param, (l_suppkey % 4)::INTEGER AS replica, "
-    "avg(l_discount) AS silhouette, avg(l_extendedprice) AS calinski_harabasz, avg(l_tax) AS davies_bouldin "
+    "avg(sqrt(l_discount)) AS silhouette, avg(sqrt(l_extendedprice)) AS calinski_harabasz, avg(sqrt(l_tax)) AS davies_bouldin "
     "FROM lineitem GROUP BY ALL), "
     "means AS (SELECT n_clusters, n_dims, n_samples, algorithm, coalesce(param::VARCHAR, 'None') AS param, "
     + ", ".join(f"avg({c}) AS {c}" for c in QUALITY_COLUMNS) + " FROM results GROUP BY ALL)")
@@ -358,7 +358,7 @@ def sql() -> dict[str, str]:
         "supervised_view": "SELECT count(*) AS rows, round(sum(p_retailprice), 6) AS total, 5::BIGINT AS features, 'p_retailprice' AS target FROM part",
         "arff_round_trip": "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders",
         "sensor_text_round_trip": "SELECT vec_id::DOUBLE AS time, label::DOUBLE AS methane, label::DOUBLE AS ethylene, " + ", ".join(
-            f"round(embedding[{j + 1}]::VARCHAR::DOUBLE, 6) AS attr{j}" for j in range(16)) + " FROM embeddings",
+            f"round(embedding[{j + 1}]::DOUBLE, 6) AS attr{j}" for j in range(16)) + " FROM embeddings",
         "result_sink": f"WITH {RESULTS} SELECT n_clusters, algorithm, param, round(avg(silhouette), 6) AS silhouette FROM results GROUP BY ALL",
         "stream_scores": f"SELECT event_id, list_min([{EVENT_GAP}])[2]::INTEGER AS prediction FROM events",
         "stream_cells": "SELECT g0, count(*) AS n, round(avg(value), 6) AS m0 FROM (SELECT value, greatest(ceil(least(greatest("

@@ -546,8 +546,8 @@ def _results(spark, sf_dir) -> DataFrame:
         F.when(F.col("l_returnflag") == "A", "k-means++").otherwise("recursive").alias("algorithm"),
         F.when(F.col("l_returnflag") != "A", F.month("l_shipdate") % 6 + 1).cast("int").alias("param"),
         F.pmod("l_suppkey", F.lit(4)).cast("int").alias("replica"),
-    ).agg(F.avg("l_discount").alias("silhouette"), F.avg("l_extendedprice").alias("calinski_harabasz"),
-          F.avg("l_tax").alias("davies_bouldin"))
+    ).agg(F.avg(F.sqrt("l_discount")).alias("silhouette"), F.avg(F.sqrt("l_extendedprice")).alias("calinski_harabasz"),
+          F.avg(F.sqrt("l_tax")).alias("davies_bouldin"))
 
 
 @query
@@ -631,7 +631,7 @@ def sensor_text_round_trip(spark, sf_dir):
     """Embeddings written as a sensor log with runs of spaces and a header line, and read back."""
     scratch = Scratch(spark)
     values = [F.col("vec_id").cast("string"), F.col("label").cast("string"), F.col("label").cast("string")]
-    values += [F.get("embedding", F.lit(j)).cast("string") for j in range(16)]
+    values += [F.get("embedding", F.lit(j)).cast("double").cast("string") for j in range(16)]
     lines = _table(spark, sf_dir, "embeddings").select(F.concat_ws("   ", *values).alias("line")).coalesce(1)
     lines.toDF("Time (seconds), Methane conc (ppm), Ethylene conc (ppm), sensor readings").write.option(
         "header", True).option("sep", "\u0001").option("quote", "").csv(f"{scratch.path}/log.txt")
