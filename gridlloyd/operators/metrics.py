@@ -21,6 +21,7 @@ from pyspark.storagelevel import StorageLevel
 from ..functions.vectors import feature_columns, squared_distance
 from ..session import BOUNDED_BYTES, fits_bound
 from .blocks import expected_mutual_information, label_distance_sums, widest_ratio
+from .joins import lookup
 from .lloyd import as_centers, assign
 
 #: Rows per block of the exact silhouette.
@@ -87,11 +88,8 @@ def davies_bouldin(df: DataFrame, features, label: str) -> float:
         if k < 2:
             raise ValueError("needs at least 2 clusters")
         means = p.select("label", F.array(*[f"m{j}" for j in range(d)]).alias("mean"))
-        # The centres are broadcast only within the size bound; a longer list joins by shuffle.
-        if fits_bound(k, d + 1):
-            means = F.broadcast(means)
         rows = df.select(F.col(label).alias("label"), *[x.alias(f"x{j}") for j, x in enumerate(xs)])
-        joined = rows.where(F.col("label").isNotNull()).join(means, "label")
+        joined = lookup(rows.where(F.col("label").isNotNull()), means, "label", k, d + 1, how="inner")
         gap = sum(((F.col(f"x{j}") - F.get("mean", F.lit(j))) ** 2 for j in range(1, d)),
                   (F.col("x0") - F.get("mean", F.lit(0))) ** 2)
         spread = joined.groupBy("label").agg(

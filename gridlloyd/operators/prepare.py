@@ -22,6 +22,7 @@ from pyspark.storagelevel import StorageLevel
 
 from ..functions.randomness import keyed_hash
 from ..session import Scratch, fits_bound
+from .joins import lookup
 from .sampling import with_running_total
 
 # Fixed option values.
@@ -31,7 +32,6 @@ IMPUTE_OPTIONS = ("most_frequent", "median", "mean", "constant", "random", "line
 MISSING = "?"
 
 _DICTIONARY_WIDTH = 16  # generous size of a dictionary row, in doubles, for the broadcast check
-_SALTS = 16
 
 
 # ---------------------------------------------------------------- scalers
@@ -119,18 +119,11 @@ def column_facts(table: DataFrame) -> dict[str, dict]:
 
 def encode_column(df: DataFrame, table: DataFrame, column: str, size: int, by_number: bool = False,
                   ids: Sequence[str] | None = None) -> DataFrame:
-    """Replace a column by its code. A dictionary within the size bound is broadcast; a larger one is
-    joined by shuffle, salted so that a value holding a large share of the rows is spread out."""
+    """Replace a column by its code."""
     key = F.col(column).cast("double") if by_number else F.coalesce(F.col(column).cast("string"), F.lit(MISSING))
     entries = table.where(F.col("column") == column).select(
         F.col("number" if by_number else "value").alias("__key"), F.col("code").alias("__code"))
-    keyed = df.withColumn("__key", key)
-    if fits_bound(size, _DICTIONARY_WIDTH):
-        joined = keyed.join(F.broadcast(entries), "__key", "left")
-    else:
-        keyed = keyed.withColumn("__salt", F.pmod(F.xxhash64(*(ids or df.columns)), F.lit(_SALTS)))
-        spread = entries.withColumn("__salt", F.explode(F.array([F.lit(i).cast("bigint") for i in range(_SALTS)])))
-        joined = keyed.join(spread, ["__key", "__salt"], "left")
+    joined = lookup(df.withColumn("__key", key), entries, "__key", size, _DICTIONARY_WIDTH, ids)
     return joined.select(*[F.col("__code").alias(c) if c == column else F.col(c) for c in df.columns])
 
 
@@ -204,6 +197,8 @@ class Preparer:
             model.table = dictionary(histogram(df, coded, numeric), model.scratch)
             model.facts = column_facts(model.table)
         if self.categorical == "onehot" and strings:
+            if not fits_bound(sum(model.facts[c]["size"] for c in strings), _DICTIONARY_WIDTH):
+                raise ValueError("too many distinct values to turn each into a column; use categorical='int'")
             rows = model.table.where(F.col("column").isin(strings)).select("column", "value", "code").collect()
             for row in sorted(rows, key=lambda r: (r["column"], r["code"])):
                 model.categories.setdefault(row["column"], []).append(row["value"])

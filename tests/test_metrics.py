@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridlloyd.functions import measures
-from gridlloyd.operators import metrics
+from gridlloyd.operators import joins, metrics
 from gridlloyd.operators.blocks import expected_mutual_information
 
 
@@ -70,6 +70,7 @@ def test_davies_bouldin(sample, monkeypatch, chunked):
     if chunked:
         monkeypatch.setattr(metrics, "BOUNDED_BYTES", 40)
         monkeypatch.setattr(metrics, "fits_bound", lambda *_: False)
+        monkeypatch.setattr(joins, "fits_bound", lambda *_: False)
     c = np.array([x[y == k].mean(0) for k in range(3)])
     s = np.array([np.sqrt(((x[y == k] - c[k]) ** 2).sum(1)).mean() for k in range(3)])
     want = np.mean([max((s[i] + s[j]) / np.linalg.norm(c[i] - c[j]) for j in range(3) if j != i) for i in range(3)])

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from gridlloyd.operators import prepare, sampling
+from gridlloyd.operators import joins, prepare, sampling
 from gridlloyd.operators.prepare import Preparer
 from gridlloyd.session import Scratch
 
@@ -114,12 +114,18 @@ def test_large_dictionary_joins_by_salted_shuffle(spark, monkeypatch):
     items = ["hot"] * 500 + [f"v{i:03d}" for i in range(200)]
     df = column(spark, items)
     want = values(Preparer(scale="none", ids=["id"]).fit(df).transform(df), "v")
-    monkeypatch.setattr(prepare, "fits_bound", lambda *_: False)
+    monkeypatch.setattr(joins, "fits_bound", lambda *_: False)
     assert values(Preparer(scale="none", ids=["id"]).fit(df).transform(df), "v") == want
     ranks = {v: i for i, v in enumerate(sorted(set(items)))}
     assert want == [ranks[i] for i in items]
 
 
+def test_one_hot_refuses_unbounded_columns(spark, monkeypatch):
+    monkeypatch.setattr(prepare, "fits_bound", lambda *_: False)
+    with pytest.raises(ValueError, match="too many distinct values"):
+        Preparer(categorical="onehot", ids=["id"]).fit(column(spark, ["a", "b"]))
+
+
 def test_unknown_options(spark):
     for bad in (dict(scale="x"), dict(impute="x"), dict(categorical="x"), dict(impute="random")):
         with pytest.raises(ValueError):

@@ -138,7 +138,8 @@ def test_streaming(spark, tmp_path):
 
 
 def test_sweeps(spark):
-    grid = sweep.Grid(n_clusters=[3], n_dims=[2], n_samples=[300], level_counts=[1, 3], batch_sizes=[100], replicas=2)
+    grid = sweep.Grid(n_clusters=[3], n_dims=[2], n_samples=[300], level_counts=[1, 3], batch_sizes=[100], replicas=2,
+                      parallel=4)
     make = sweep.mixture_maker(spark)
     distances = report.average_replicas(sweep.distance_sweep(spark, make, grid)).collect()
     assert [(r["algorithm"], r["param"]) for r in distances] == [
