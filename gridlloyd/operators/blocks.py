@@ -194,15 +194,28 @@ def expected_mutual_information(size: int, others: np.ndarray, times: np.ndarray
     return result
 
 
+def hash_long(value: np.ndarray, seed: np.ndarray | int) -> np.ndarray:
+    """xxHash64 of 8-byte integers with a seed each: what Spark's ``xxhash64`` computes for a BIGINT."""
+    # The primes of the published xxHash64 algorithm.
+    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (
+        0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+    def turn_left(x, bits):
+        return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
+
+    x = np.asarray(value).astype(np.uint64)
+    out = np.asarray(seed).astype(np.uint64) + p5 + np.uint64(8)
+    out = turn_left(out ^ (turn_left(x * p2, 31) * p1), 27) * p1 + p4
+    out = (out ^ (out >> np.uint64(33))) * p2
+    out = (out ^ (out >> np.uint64(29))) * p3
+    return out ^ (out >> np.uint64(32))
+
+
 def mixed_uniform(h: np.ndarray, turn: int) -> np.ndarray:
-    """An independent-looking uniform in (0, 1) per (row hash, turn): the splitmix64 finaliser."""
-    # Fixed values of the published splitmix64 generator.
-    gamma, first, second = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
-    z = h.astype(np.uint64) + np.uint64((gamma * (turn + 1)) % 2**64)
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(first)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(second)
-    z = z ^ (z >> np.uint64(31))
-    return (z.astype(float) + 0.5) / 2.0**64
+    """Uniform in (0, 1) per (row hash, turn), equal to ``keyed_uniform(turn, h)`` on BIGINT columns."""
+    with np.errstate(over="ignore"):
+        mixed = hash_long(np.full(len(h), turn, dtype=np.int64), hash_long(h, np.uint64(42)))
+    return ((mixed >> np.uint64(4)).astype(float) + 0.5) / 2.0**60
 
 
 def seed_candidate(block: list, seeds: np.ndarray, turn: int, nearest: np.ndarray | None = None) -> tuple:

@@ -24,7 +24,7 @@ from .blocks import block_sums, iterate, levels_in_task, lloyd_in_task, nearest_
 #: Largest K x d for which distances are unrolled into generated code; beyond it Arrow batches win.
 UNROLL_LIMIT = 72
 #: Row count from which an unrolled step repays its per-iteration code generation.
-SQL_STEP_ROWS = 20_000_000
+SQL_STEP_ROWS = 4_000_000
 
 
 @dataclass

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from gridlloyd import RecursiveKMeans, RecursiveKMeansModel
 from gridlloyd.operators import baselines, lloyd
 from gridlloyd.operators import cells as cell_ops
-from gridlloyd.operators.blocks import BatchState, mixed_uniform, move_centers
+from gridlloyd.operators.blocks import BatchState, hash_long, mixed_uniform, move_centers
+from gridlloyd.session import Scratch
 from gridlloyd.sources.mixture import gaussian_mixture
 import gridlloyd.operators.lloyd as lloyd_module
 
@@ -198,10 +199,12 @@ def test_score_params_and_persistence(spark, blobs, tmp_path):
     assert model.centers is None and model.instance_ratio == -1
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_kmeans_pp_seeding_follows_the_race(spark, blobs, monkeypatch, bounded):
-    if not bounded:
+@pytest.mark.parametrize("path", ["task", "arrow", "sql"])
+def test_kmeans_pp_seeding_follows_the_race(spark, blobs, monkeypatch, path):
+    if path != "task":
         monkeypatch.setattr(baselines, "fits_bound", lambda *_: False)
+    if path == "sql":
+        monkeypatch.setattr(baselines, "SQL_STEP_ROWS", 0)
     df = frame(spark, blobs, id=np.arange(len(blobs)))
     with baselines._points(df, ["f0", "f1", "f2"], ["id"], 5, "xxhash64") as points:
         got = baselines.kmeans_pp_seed(points, 4, len(blobs))
@@ -216,6 +219,35 @@ def test_kmeans_pp_seeding_follows_the_race(spark, blobs, monkeypatch, bounded):
     assert np.allclose(got, seeds)
 
 
+def test_hash_equals_the_sql_function(spark):
+    values = np.concatenate([np.arange(-50, 50), np.random.default_rng(0).integers(-2**62, 2**62, 100)])
+    df = spark.createDataFrame(pd.DataFrame({"v": values}))
+    rows = df.select("v", F.xxhash64("v").alias("h"), F.xxhash64("v", F.lit(7).cast("bigint")).alias("t")).collect()
+    v = np.array([r["v"] for r in rows])
+    with np.errstate(over="ignore"):
+        once = hash_long(v, np.uint64(42))
+        twice = hash_long(np.full(len(v), 7), once)
+    assert once.astype(np.int64).tolist() == [r["h"] for r in rows]
+    assert twice.astype(np.int64).tolist() == [r["t"] for r in rows]
+
+
+def test_mini_batches_over_many_slices(spark, blobs, monkeypatch):
+    """Slices cut out singly or several at a time hold every row once per epoch."""
+    df = frame(spark, blobs, id=np.arange(len(blobs)))
+    with baselines._points(df, ["f0", "f1", "f2"], ["id"], 1, "xxhash64") as points:
+        rows = points.withColumn("slice", F.pmod("h", F.lit(9)))
+        scratch = Scratch(spark)
+        parts = [[r["h"] for r in part.collect()] for part in baselines._deal(rows, 9, scratch, "t")]
+        want = sorted(r["h"] for r in points.collect())
+        scratch.drop()
+    assert len(parts) == 9 and sorted(h for p in parts for h in p) == want
+    monkeypatch.setattr(baselines, "fits_bound", lambda rows, width: rows <= 150)
+    model = baselines.mini_batch_kmeans(
+        df, ["f0", "f1", "f2"], 4, 50, ["id"], init=blobs[[0, 250, 500, 750]], max_epochs=2, max_no_improvement=10**6)
+    assert 40 <= model.n_iter <= 60
+    assert np.abs(model.centers - brute_lloyd(blobs, np.ones(len(blobs)), blobs[[0, 250, 500, 750]], 20)).max() < 0.1
+
+
 def test_mixed_uniform_is_uniform():
     u = mixed_uniform(np.arange(100_000), 3)
     assert 0 < u.min() and u.max() < 1 and abs(u.mean() - 0.5) < 0.005
