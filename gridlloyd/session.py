@@ -22,14 +22,13 @@ def checkpoint_folder(spark: SparkSession) -> str:
     Only a local session may fall back to a temporary folder; on a cluster such a folder would not
     be visible to other executors, so a missing setting is an error there.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="gridlloyd-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gridlloyd-"))
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 class Scratch:
