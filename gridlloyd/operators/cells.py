@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import all_finite, feature_columns
-from ..session import Scratch, fits_bound
+from ..session import Scratch, fits_task
 
 MAX_DEPTH = 24
 UNIT_BOUNDS = (-1.0, 1.0)
@@ -173,13 +173,13 @@ class CellLevels:
                     F.col("n").cast("double").alias("w"), "depth", *keys))
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
-    def chain(self, depth: int, longest: int) -> list[int]:
-        """Consecutive levels from ``depth`` on that together stay within the bound of one task. A level
+    def chain(self, depth: int, longest: int, k: int) -> list[int]:
+        """Consecutive levels from ``depth`` on that one task can hold and iterate over with K centres. A level
         below the first with as many cells as rows ends the chain: it is never clustered."""
         chain, rows = [], 0
         for i in range(depth, min(depth + longest, max(self.cells) + 1)):
             rows += self.cells[i]
-            if not fits_bound(rows, self.dims + 2) or (i > depth and self.cells[i] >= self.n_rows):
+            if not fits_task(rows, k, self.dims) or (i > depth and self.cells[i] >= self.n_rows):
                 break
             chain.append(i)
         return chain

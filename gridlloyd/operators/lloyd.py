@@ -2,8 +2,7 @@
 
 Points are DataFrames with columns ``x0..x{d-1}`` and a weight ``w``. Centres are a small K x d array
 on the driver. A step is map-side: every task reduces its rows to K partial sums, and only those are
-shuffled. A point table whose size is proven to be small (``BOUNDED_BYTES``) runs all its iterations
-inside one task instead of paying one Spark job per iteration; any larger table iterates over jobs.
+shuffled. A point table proven to be small (``fits_task``) runs all its iterations inside one task instead of paying one Spark job per iteration; any larger table iterates over jobs.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import all_finite, feature_columns, squared_distance
-from ..session import fits_bound
+from ..session import fits_bound, fits_task
 from .blocks import block_sums, iterate, levels_in_task, lloyd_in_task, nearest_in_block
 
 #: Largest K x d for which distances are unrolled into generated code; beyond it Arrow batches win.
@@ -165,7 +164,7 @@ def weighted_lloyd(
     if n_rows is None or variance is None:
         n_rows, variance = point_facts(points)
     limit = tol * variance
-    if fits_bound(n_rows, len(xs) + 1):
+    if fits_task(n_rows, *centers.shape):
         gathered = points.select(*xs, "w")
         gathered = gathered.coalesce(1) if stored else gathered.repartition(1)
         centers, n_iter = _iterate_in_task(gathered, centers, max_iter, limit)

@@ -64,7 +64,7 @@ def test_lloyd_paths_agree(spark, blobs, path, monkeypatch):
     w = np.random.default_rng(1).integers(1, 5, len(blobs)).astype(float)
     points = lloyd.point_frame(frame(spark, blobs, n=w), ["f0", "f1", "f2"], "n")
     if path != "task":
-        monkeypatch.setattr(lloyd_module, "fits_bound", lambda *_: False)
+        monkeypatch.setattr(lloyd_module, "fits_task", lambda *_: False)
     if path == "sql":
         monkeypatch.setattr(lloyd_module, "SQL_STEP_ROWS", 0)
     start = blobs[[0, 250, 500, 750]]
@@ -75,7 +75,7 @@ def test_lloyd_paths_agree(spark, blobs, path, monkeypatch):
 @pytest.mark.parametrize("bounded", [True, False])
 def test_empty_cluster_takes_farthest_point(spark, monkeypatch, bounded):
     if not bounded:
-        monkeypatch.setattr(lloyd_module, "fits_bound", lambda *_: False)
+        monkeypatch.setattr(lloyd_module, "fits_task", lambda *_: False)
     x = np.array([[0.0], [0.1], [0.2], [0.9]])
     points = lloyd.point_frame(frame(spark, x), ["f0"])
     got = lloyd.weighted_lloyd(points, [[0.0], [5.0]], max_iter=1, tol=0.0)
@@ -136,8 +136,8 @@ def test_recursive_fit_beyond_the_task_bound(spark, blobs, monkeypatch):
     init = blobs[[0, 250, 500, 750]].tolist()
     build = lambda: RecursiveKMeans(inputCols=["f0", "f1", "f2"], nClusters=4, maxIter=3, init=init).fit(df)
     small = build()
-    monkeypatch.setattr(lloyd_module, "fits_bound", lambda *_: False)
-    monkeypatch.setattr(cell_ops, "fits_bound", lambda *_: False)
+    monkeypatch.setattr(lloyd_module, "fits_task", lambda *_: False)
+    monkeypatch.setattr(cell_ops, "fits_task", lambda *_: False)
     assert np.allclose(small.centers, build().centers)
 
 
@@ -202,7 +202,7 @@ def test_score_params_and_persistence(spark, blobs, tmp_path):
 @pytest.mark.parametrize("path", ["task", "arrow", "sql"])
 def test_kmeans_pp_seeding_follows_the_race(spark, blobs, monkeypatch, path):
     if path != "task":
-        monkeypatch.setattr(baselines, "fits_bound", lambda *_: False)
+        monkeypatch.setattr(baselines, "fits_task", lambda *_: False)
     if path == "sql":
         monkeypatch.setattr(baselines, "SQL_STEP_ROWS", 0)
     df = frame(spark, blobs, id=np.arange(len(blobs)))
