@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import all_finite, feature_columns
 from ..session import Scratch, fits_task
+from .joins import lookup
+from .sampling import with_running_total
 
 MAX_DEPTH = 24
 UNIT_BOUNDS = (-1.0, 1.0)
@@ -48,6 +50,30 @@ def hypercube_id(cell: Column, dims: int) -> Column:
     return reduce(lambda a, b: a + b, bits)
 
 
+def cell_path(cell: Column, dims: int, depth: int) -> Column:
+    """ARRAY<BIGINT> of hypercube ids from depth 1 down to ``depth``; its order is the order in which
+    the tree lists its cells."""
+    ids = []
+    for i in range(1, depth + 1):
+        bits = [F.shiftleft(F.shiftright(F.get(cell, F.lit(j)), depth - i).bitwiseAND(F.lit(1)).cast("bigint"), j)
+                for j in range(dims)]
+        ids.append(reduce(lambda a, b: a + b, bits))
+    return F.array(*ids)
+
+
+def with_cell_ordinal(
+    df: DataFrame, features, depth: int, bounds=UNIT_BOUNDS, cell: str = "cell", ordinal: str = "ordinal"
+) -> DataFrame:
+    """Append the cell of every row and the cell's position among all non-empty cells of that depth."""
+    scratch = Scratch(df.sparkSession)
+    dims = len(feature_columns(df, features))
+    located = with_cell(df, features, depth, bounds, cell)
+    found = located.select(cell).distinct().withColumn("__path", cell_path(F.col(cell), dims, depth))
+    numbered = scratch.write(
+        with_running_total(found, ["__path"], F.lit(1), scratch, ordinal).select(cell, ordinal), "ordinals")
+    return lookup(located, numbered, cell, numbered.count(), dims + 4)
+
+
 def leaf_stats(df: DataFrame, features, depth: int, bounds=UNIT_BOUNDS) -> DataFrame:
     """(w0.., n, s0..): packed key, row count and per-dimension sum of every non-empty cell.
 

@@ -114,6 +114,67 @@ def _two_levels() -> list[str]:
             f"after1 AS (SELECT * FROM {at1})", f"after2 AS (SELECT * FROM {at2})"]
 
 
+def _xxhash(source: str, out: str, value: str, seed: str) -> list[str]:
+    """CTE steps adding to ``source`` a column ``out``: xxHash64 of a BIGINT, in unsigned 128-bit arithmetic."""
+    # The primes of the published xxHash64 algorithm.
+    p1, p2, p3, p4, p5 = 11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261
+    word = 2**64
+
+    def mod(expression):
+        return f"(({expression}) % {word}::UHUGEINT)"
+
+    def left(x, bits):
+        return f"({mod(f'{x} * {2**bits}::UHUGEINT')} + {x} // {2**(64 - bits)}::UHUGEINT)"
+
+    def xor(a, b):
+        return f"xor(({a})::UBIGINT, ({b})::UBIGINT)::UHUGEINT"
+
+    u = "::UHUGEINT"
+    stages = [
+        mod(f"{value} * {p2}{u}"), mod(f"{left('t', 31)} * {p1}{u}"), xor("t", mod(f"{seed} + {p5 + 8}{u}")),
+        mod(f"{left('t', 27)} * {p1}{u} + {p4}{u}"), mod(f"{xor('t', f't // {2**33}{u}')} * {p2}{u}"),
+        mod(f"{xor('t', f't // {2**29}{u}')} * {p3}{u}"), xor("t", f"t // {2**32}{u}")]
+    steps, at = [], source
+    for i, stage in enumerate(stages):
+        last = i == len(stages) - 1
+        drop = "" if i == 0 else " EXCLUDE (t)"
+        steps.append(f"{out}_{i} AS MATERIALIZED (SELECT *{drop}, {stage} AS {out if last else 't'} FROM {at})")
+        at = f"{out}_{i}"
+    return steps
+
+
+def _seeds(k: int) -> tuple[list[str], str]:
+    """k-means++ draws over the embeddings: the smallest -ln(1 - u) / d2 wins, u from (row hash, turn)."""
+    parts = [f"hp AS (SELECT *, ({_hash(q.SEED, 'vec_id')})::UHUGEINT AS h FROM pts)",
+             *_xxhash("hp", "once", "h", "42::UHUGEINT")]
+    at, xs = "once_6", ", ".join(f"x{j}" for j in D)
+    for turn in range(k):
+        parts += _xxhash(at, f"turn{turn}", f"{turn}::UHUGEINT", "once")
+        at = f"turn{turn}_6"
+    for turn in range(k):
+        wait = f"-ln(1.0 - ((turn{turn} // 16::UHUGEINT)::DOUBLE + 0.5) / {float(2**60)!r}::DOUBLE)"
+        if turn:
+            near = " UNION ALL ".join(f"SELECT {', '.join(f'x{j} AS c{j}' for j in D)} FROM s{i}" for i in range(turn))
+            wait = f"{wait} / (SELECT nullif(min({_gap(D, 'p.x', 'c.c')}), 0) FROM ({near}) c)"
+        parts.append(f"s{turn} AS MATERIALIZED (SELECT {turn} AS k, {xs} FROM {at} p ORDER BY {wait} NULLS LAST, h LIMIT 1)")
+    parts.append("c0 AS (" + " UNION ALL ".join(
+        f"SELECT k, {', '.join(f'x{j} AS c{j}' for j in D)} FROM s{i}" for i in range(k)) + ")")
+    return parts, "c0"
+
+
+def _batches(n: int) -> tuple[list[str], str]:
+    """Running-mean updates over n batches in hash order."""
+    parts = [f"dealt AS (SELECT *, (row_number() OVER (ORDER BY {_hash(q.SEED, 'vec_id')}) - 1) // "
+             f"CAST(ceil((SELECT count(*) FROM pts) / {n}.0) AS BIGINT) AS b FROM pts)",
+             "m0 AS (SELECT *, 0.0::DOUBLE AS seen FROM c0)"]
+    for i in range(n):
+        new = ", ".join(f"m{i}.c{j} + coalesce(s.n / (m{i}.seen + s.n) * (s.c{j} - m{i}.c{j}), 0) AS c{j}" for j in D)
+        parts += [f"d{i} AS (SELECT * FROM dealt WHERE b = {i})", _assigned(f"b{i}", f"d{i}", f"m{i}"),
+                  f"t{i} AS (SELECT k, count(*)::DOUBLE AS n, {', '.join(f'avg(x{j}) AS c{j}' for j in D)} FROM b{i} GROUP BY k)",
+                  f"m{i + 1} AS (SELECT m{i}.k, {new}, m{i}.seen + coalesce(s.n, 0) AS seen FROM m{i} LEFT JOIN t{i} s ON s.k = m{i}.k)"]
+    return parts, f"m{n}"
+
+
 CODES = ("codes AS (SELECT value, dense_rank() OVER (ORDER BY value) - 1 AS code FROM (SELECT DISTINCT CASE WHEN "
          "o_orderkey % 17 = 0 THEN '?' ELSE o_orderpriority END AS value FROM orders)), "
          "gaps AS (SELECT o_orderkey, o_totalprice, o_orderstatus, CASE WHEN o_orderkey % 17 = 0 THEN '?' ELSE "
@@ -211,6 +272,9 @@ EVENT_GAP = ", ".join(f"((value - {c[0]}) * (value - {c[0]}), {k})" for k, c in
 
 def sql() -> dict[str, str]:
     two = _two_levels()
+    seeds, _ = _seeds(5)
+    after_seeds, at_seeds = _steps("pts", "c0", 2, "s")
+    batches, at_batches = _batches(3)
     history = " UNION ALL ".join(
         f"SELECT {i} AS iteration, {i} AS depth, (SELECT count(*) FROM l{i}) AS n_cells, "
         f"(SELECT count(*) FROM l{i}) * 10 AS distances, "
@@ -240,6 +304,9 @@ def sql() -> dict[str, str]:
         "hypercube_bits":
             _with(LINE_PTS) + f"SELECT (g0 % 2 + 2 * (g1 % 2) + 4 * (g2 % 2) + 8 * (g3 % 2))::BIGINT AS hypercube, count(*) AS n "
             f"FROM (SELECT {_coordinates(2)} FROM pts) GROUP BY 1",
+        "cell_ordinals_d2": _with(LINE_PTS) + f"SELECT l_orderkey, l_linenumber, price, dense_rank() OVER (ORDER BY "
+            + " + ".join(f"(g{j} // 2) * {2**j}" for j in D) + ", " + " + ".join(f"(g{j} % 2) * {2**j}" for j in D)
+            + f") - 1 AS ordinal FROM (SELECT *, {_coordinates(2)} FROM pts)",
         "instance_ratio_by_depth": _levels_union(
             "SELECT {i} AS depth, count(*) AS n_cells, sum(n)::BIGINT AS n_rows, round(count(*)::DOUBLE / sum(n), 9) AS instance_ratio FROM l{i}"),
         "first_depth_ge_k": _with(LINE_PTS, *[_level(i, f"l{i}") for i in range(1, 7)], DEPTH_COUNTS)
@@ -269,6 +336,9 @@ def sql() -> dict[str, str]:
         "recursive_score": _with(LINE_PTS, _centers("c0", q.LINE_CENTERS), _level(1, "l1"), _cell_points("l1", "p1"),
                                  _assigned("a0", "p1", "c0"), _moved("c1", "a0"), _assigned("near", "pts", "c1"))
             + "SELECT round(avg((k = l_linenumber)::INTEGER), 6) AS score FROM pts JOIN near USING (rid)",
+        "kmeanspp_two_steps": _with(EMB_PTS, *seeds, *after_seeds) + f"SELECT k::INTEGER AS k, {centers4} FROM {at_seeds}",
+        "minibatch_three_batches": _with(EMB_PTS, _centers("c0", q.EMBEDDING_CENTERS), *batches)
+            + f"SELECT k::INTEGER AS k, {centers4} FROM {at_batches}",
         "distance_cost_grid": "SELECT c_nationkey, k, b, n, (0.5 * k * (k + 1) * n + k * n * 10)::DOUBLE AS kmeans_pp, "
             "(0.5 * k * (k + 1) * n + k * b * 10)::DOUBLE AS mini_batch FROM (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1), "
             "(VALUES (3), (9)) kk(k), (VALUES (100), (500), (1000)) bb(b)",

@@ -134,6 +134,13 @@ def hypercube_bits(spark, sf_dir):
     return df.groupBy(cells.hypercube_id(F.col("cell"), 4).alias("hypercube")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def cell_ordinals_d2(spark, sf_dir):
+    """Every row labelled by the position of its cell in the tree."""
+    df = cells.with_cell_ordinal(_line_with_price(spark, sf_dir), list(LINE), 2)
+    return df.select("l_orderkey", "l_linenumber", "price", "ordinal")
+
+
 @query
 def instance_ratio_by_depth(spark, sf_dir):
     ratio = cells.instance_ratio_by_depth(cells.levels(_line(spark, sf_dir), list(LINE), 6))
@@ -277,6 +284,24 @@ def kmeanspp_fit(spark, sf_dir):
     return _centers_frame(spark, model.centers)
 
 
+@query
+def kmeanspp_two_steps(spark, sf_dir):
+    """k-means++ seeds followed by two Lloyd steps."""
+    e = _embedding(spark, sf_dir)
+    model = baselines.kmeans_pp(e, [f"e{j}" for j in range(4)], 5, ["vec_id"], seed=SEED, max_iter=2, tol=0.0, method="md5")
+    return _centers_frame(spark, model.centers)
+
+
+@query
+def minibatch_three_batches(spark, sf_dir):
+    """One pass over the rows in three batches from fixed centres."""
+    e = _embedding(spark, sf_dir)
+    model = baselines.mini_batch_kmeans(
+        e, [f"e{j}" for j in range(4)], 5, -(-e.count() // 3), ["vec_id"], seed=SEED, max_epochs=1,
+        init=EMBEDDING_CENTERS, method="md5")
+    return _centers_frame(spark, model.centers)
+
+
 @query
 def minibatch_fit(spark, sf_dir):
     model = baselines.mini_batch_kmeans(_line_with_price(spark, sf_dir), list(LINE), 5, 500,
