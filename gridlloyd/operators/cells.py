@@ -150,7 +150,7 @@ def instance_ratio_by_depth(tree: DataFrame) -> DataFrame:
 
 
 class CellLevels:
-    """Levels of one table, written to the shared folder and extended downwards on demand."""
+    """Levels of one table, written to the shared folder and built as they are asked for."""
 
     def __init__(self, df: DataFrame, features, bounds=UNIT_BOUNDS):
         self.df, self.features, self.bounds = df, features, bounds
@@ -159,41 +159,54 @@ class CellLevels:
         self.cells: dict[int, int] = {}
         self.variance: dict[int, float] = {}
         self.n_rows = 0
-        self._tables: list[tuple[range, DataFrame]] = []
+        self._leaf: tuple[int, DataFrame] | None = None
+        self._tables: list[tuple[list[int], int, DataFrame]] = []
 
-    def require(self, depth: int) -> None:
-        """Make every level up to ``depth`` available, with one scan of the rows if any is missing."""
-        done = max(self.cells, default=0)
-        if depth <= done:
+    def require(self, depth: int, deepest: int = 0) -> None:
+        """Make level ``depth`` available. Should the rows have to be scanned, cells are formed down to
+        ``deepest``, from which later levels are rolled up without another scan.
+
+        When the leaf cells are few against the rows, all levels in between come from one roll-up.
+        Otherwise every level is about as large as the table, and each is built only when asked for.
+        """
+        if depth in self.cells:
+            return
+        if self._leaf is None or depth > self._leaf[0]:
+            deepest = max(depth, deepest)
+            leaf = self.scratch.write(leaf_stats(self.df, self.features, deepest, self.bounds), f"leaf{deepest}")
+            self._leaf = (deepest, leaf)
+            self._register([deepest], deepest, leaf.withColumn("depth", F.lit(deepest)))
+        at, leaf = self._leaf
+        if depth in self.cells:
             return
-        leaf = self.scratch.write(leaf_stats(self.df, self.features, depth, self.bounds), f"leaf{depth}")
-        tree, above = leaf.withColumn("depth", F.lit(depth)), range(done + 1, depth)
-        if len(above):
-            upper = self.scratch.write(roll_up(leaf, self.dims, depth, above), f"above{depth}", "depth")
-            tree = tree.unionByName(upper)
+        compact = 2 * self.cells[at] <= self.n_rows
+        missing = [i for i in range(depth, at) if i not in self.cells] if compact else [depth]
+        upper = self.scratch.write(roll_up(leaf, self.dims, at, missing), f"above{at}-{depth}", "depth")
+        self._register(missing, at, upper)
+
+    def _register(self, depths: list[int], packed: int, table: DataFrame) -> None:
         spread = sum(F.var_pop(F.col(f"s{j}") / F.col("n")) for j in range(self.dims)) / F.lit(self.dims)
-        facts = tree.groupBy("depth").agg(
+        facts = table.groupBy("depth").agg(
             F.count(F.lit(1)).alias("cells"), F.sum("n").alias("rows"), spread.alias("variance"),
             F.count_if(F.col("w0").isNull()).alias("bad"),
         ).collect()
+        if not facts:
+            raise ValueError("cannot fit an empty table")
         if any(row["bad"] for row in facts):
             raise ValueError("features contain null, NaN or infinite values")
         for row in facts:
-            self.cells[row["depth"]] = row["cells"]
-            self.variance[row["depth"]] = row["variance"]
+            self.cells[row["depth"]], self.variance[row["depth"]] = row["cells"], row["variance"]
             self.n_rows = row["rows"]
-        if not self.n_rows:
-            raise ValueError("cannot fit an empty table")
-        self._tables.append((range(done + 1, depth + 1), tree))
+        self._tables.append((depths, packed, table))
 
     def points(self, *depths: int) -> DataFrame:
         """Representatives of some levels: means ``x0..``, weight ``w``, ``depth``, packed keys ``w0..``.
         The filter on the depth prunes the scan to the files of these levels."""
         frames = []
-        for covered, table in self._tables:
+        for covered, packed, table in self._tables:
             wanted = [i for i in depths if i in covered]
             if wanted:
-                keys = [f"w{i}" for i in range(_word_count(self.dims, covered[-1]))]
+                keys = [f"w{i}" for i in range(_word_count(self.dims, packed))]
                 frames.append(table.where(F.col("depth").isin(wanted)).select(
                     *[(F.col(f"s{j}") / F.col("n")).alias(f"x{j}") for j in range(self.dims)],
                     F.col("n").cast("double").alias("w"), "depth", *keys))
@@ -203,16 +216,16 @@ class CellLevels:
         """Consecutive levels from ``depth`` on that one task can hold and iterate over with K centres. A level
         below the first with as many cells as rows ends the chain: it is never clustered."""
         chain, rows = [], 0
-        for i in range(depth, min(depth + longest, max(self.cells) + 1)):
-            rows += self.cells[i]
-            if not fits_task(rows, k, self.dims) or (i > depth and self.cells[i] >= self.n_rows):
+        for i in range(depth, depth + longest):
+            rows += self.cells.get(i, 0)
+            if i not in self.cells or not fits_task(rows, k, self.dims) or (i > depth and self.cells[i] >= self.n_rows):
                 break
             chain.append(i)
         return chain
 
     def coordinates(self, depth: int) -> list[Column]:
         """Cell coordinates of a ``points`` frame of that depth."""
-        packed = next(covered[-1] for covered, _ in self._tables if depth in covered)
+        packed = next(packed for covered, packed, _ in self._tables if depth in covered)
         return _unpack(self.dims, packed, depth)
 
     def drop(self) -> None:

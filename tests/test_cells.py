@@ -104,8 +104,9 @@ def test_cell_levels_extend_and_reject(spark):
     df, x = points(spark, 300, 2)
     store = cells.CellLevels(df, ["f0", "f1"])
     store.require(2)
-    store.require(5)
+    store.require(3, 5)
     for i in range(1, 6):
+        store.require(i)
         want = len({tuple(bisect(v, i) for v in row) for row in x})
         assert store.cells[i] == want == store.points(i).count()
         rows = store.points(i).select("w", *[c.alias(f"c{j}") for j, c in enumerate(store.coordinates(i))]).collect()
