@@ -159,6 +159,18 @@ def test_sweeps(spark):
     assert panel.columns == ["algorithm", "param", "x", "y"]
 
 
+def test_feature_table_drops_and_scales(spark):
+    df = spark.createDataFrame(
+        [(0, 0.1, 5.0, "b", 2.0), (1, 0.2, 6.0, "a", 4.0)],
+        "id int, `Time_(seconds)` double, `Methane_conc_(ppm)` double, kind string, v double")
+    data, features = sweep.feature_table(df, ["id"])
+    assert features == ["kind", "v"]
+    assert [tuple(r) for r in data.orderBy("id").collect()] == [(0, 1.0, 0.0), (1, 0.0, 1.0)]
+    make = sweep.table_maker(data, features, ["id"])
+    sample = make(2, 1, 1, 0)
+    assert sample.data.count() == 1 and len(sample.features) == 1
+
+
 def test_dataset_sweep(spark, tmp_path):
     rows = ["a,b,kind"] + [f"{i % 10},{(i * 7) % 13},{'xyz'[i % 3]}" for i in range(120)]
     (tmp_path / "toy.csv").write_text("\n".join(rows) + "\n")
