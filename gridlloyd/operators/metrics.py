@@ -13,12 +13,13 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from ..functions.vectors import feature_columns, squared_distance
+from ..functions.vectors import feature_columns
 from ..session import BOUNDED_BYTES, fits_bound
 from .blocks import expected_mutual_information, label_distance_sums, widest_ratio
 from .joins import lookup
@@ -26,6 +27,8 @@ from .lloyd import as_centers, assign
 
 #: Rows per block of the exact silhouette.
 SILHOUETTE_BLOCK_ROWS = 4096
+#: Widest vectors whose statistics are unrolled into one expression per dimension.
+UNROLLED_DIMS = 16
 
 
 @contextmanager
@@ -53,27 +56,36 @@ def label_means(df: DataFrame, features, label: str) -> DataFrame:
 
 
 def _profile(df: DataFrame, features, label: str) -> tuple[DataFrame, int]:
-    """(label, n, m0.., within): per-cluster mean and within sum of squares, from running variances."""
+    """(label, n, mean, within): per-cluster mean vector and within sum of squares, from running
+    variances. Wide vectors go through one vector aggregate instead of two per dimension."""
     xs = feature_columns(df, features)
-    spread = sum((F.var_pop(x) for x in xs[1:]), F.var_pop(xs[0]))
-    profile = df.groupBy(F.col(label).alias("label")).agg(
-        F.count(F.lit(1)).alias("n"), *[F.avg(x).alias(f"m{j}") for j, x in enumerate(xs)],
-        (F.count(F.lit(1)) * spread).alias("within"))
-    return profile, len(xs)
+    grouped, n = df.groupBy(F.col(label).alias("label")), F.count(F.lit(1))
+    if len(xs) <= UNROLLED_DIMS:
+        spread = sum((F.var_pop(x) for x in xs[1:]), F.var_pop(xs[0]))
+        return grouped.agg(n.alias("n"), F.array(*[F.avg(x) for x in xs]).alias("mean"), (n * spread).alias("within")), len(xs)
+    summary = Summarizer.metrics("mean", "variance").summary(array_to_vector(F.array(*xs)))
+    spread = F.aggregate(vector_to_array("s.variance"), F.lit(0.0), lambda total, v: total + v)
+    return grouped.agg(n.alias("n"), summary.alias("s")).select(
+        "label", "n", vector_to_array("s.mean").alias("mean"), ((F.col("n") - 1) * spread).alias("within")), len(xs)
+
+
+def _gap(a: Column, b: Column) -> Column:
+    """Squared distance between two array columns."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda total, v: total + v)
 
 
 def calinski_harabasz(df: DataFrame, features, label: str) -> float:
     """Between- over within-cluster dispersion, each per degree of freedom."""
     profile, d = _profile(df, features, label)
     with _kept(profile) as p:
+        weighted = Summarizer.mean(array_to_vector("mean"), F.col("n").cast("double"))
         total = p.agg(
             F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum("within").alias("within"),
-            *[(F.sum(F.col("n") * F.col(f"m{j}")) / F.sum("n")).alias(f"m{j}") for j in range(d)]).first()
+            vector_to_array(weighted).alias("mean")).first()
         k, n = total["k"], total["n"]
         if not 2 <= k < n:
             raise ValueError(f"needs 2 to n - 1 clusters, found {k} for {n} rows")
-        offset = squared_distance([F.col(f"m{j}") for j in range(d)], [total[f"m{j}"] for j in range(d)])
-        between = p.agg(F.sum(F.col("n") * offset)).first()[0]
+        between = p.agg(F.sum(F.col("n") * _gap(F.col("mean"), F.lit(list(total["mean"]))))).first()[0]
     if total["within"] == 0:
         return 1.0
     return (between / (k - 1)) / (total["within"] / (n - k))
@@ -87,11 +99,13 @@ def davies_bouldin(df: DataFrame, features, label: str) -> float:
         k = p.count()
         if k < 2:
             raise ValueError("needs at least 2 clusters")
-        means = p.select("label", F.array(*[f"m{j}" for j in range(d)]).alias("mean"))
-        rows = df.select(F.col(label).alias("label"), *[x.alias(f"x{j}") for j, x in enumerate(xs)])
-        joined = lookup(rows.where(F.col("label").isNotNull()), means, "label", k, d + 1, how="inner")
-        gap = sum(((F.col(f"x{j}") - F.get("mean", F.lit(j))) ** 2 for j in range(1, d)),
-                  (F.col("x0") - F.get("mean", F.lit(0))) ** 2)
+        rows = df.select(F.col(label).alias("label"), F.array(*xs).alias("x"))
+        joined = lookup(rows.where(F.col("label").isNotNull()), p.select("label", "mean"), "label", k, d + 1, how="inner")
+        if d <= UNROLLED_DIMS:
+            at = lambda name, j: F.get(F.col(name), F.lit(j))
+            gap = sum(((at("x", j) - at("mean", j)) ** 2 for j in range(1, d)), (at("x", 0) - at("mean", 0)) ** 2)
+        else:
+            gap = _gap(F.col("x"), F.col("mean"))
         spread = joined.groupBy("label").agg(
             F.avg(F.sqrt(gap)).alias("spread"), F.first("mean").alias("mean"))
         with _kept(spread) as s:

@@ -53,8 +53,10 @@ def test_silhouette_of_a_single_member_is_zero(spark):
     assert got[2] == 0.0 and got[0] > 0.8
 
 
-def test_calinski_harabasz(sample):
+@pytest.mark.parametrize("unrolled", [16, 2])
+def test_calinski_harabasz(sample, monkeypatch, unrolled):
     x, y, df = sample
+    monkeypatch.setattr(metrics, "UNROLLED_DIMS", unrolled)
     m = x.mean(0)
     between = sum((y == k).sum() * ((x[y == k].mean(0) - m) ** 2).sum() for k in set(y))
     within = sum(((x[y == k] - x[y == k].mean(0)) ** 2).sum() for k in set(y))
@@ -64,9 +66,10 @@ def test_calinski_harabasz(sample):
         metrics.calinski_harabasz(df.withColumn("one", F.lit(1)), NAMES, "one")
 
 
-@pytest.mark.parametrize("chunked", [False, True])
-def test_davies_bouldin(sample, monkeypatch, chunked):
+@pytest.mark.parametrize("chunked,unrolled", [(False, 16), (True, 16), (False, 2)])
+def test_davies_bouldin(sample, monkeypatch, chunked, unrolled):
     x, y, df = sample
+    monkeypatch.setattr(metrics, "UNROLLED_DIMS", unrolled)
     if chunked:
         monkeypatch.setattr(metrics, "BOUNDED_BYTES", 40)
         monkeypatch.setattr(metrics, "fits_bound", lambda *_: False)
