@@ -24,8 +24,14 @@ def _unit(column: str, table: str) -> str:
 LINE_PTS = (
     "pts AS (SELECT row_number() OVER () AS rid, l_orderkey, l_linenumber, l_extendedprice AS price, 1.0::DOUBLE AS w, "
     + ", ".join(f"{_unit(c, 'lineitem')} AS x{j}" for j, c in enumerate(q.LINE)) + " FROM lineitem)")
-EMB_PTS = ("pts AS (SELECT vec_id AS rid, vec_id, label, 1.0::DOUBLE AS w, "
-           + ", ".join(f"embedding[{j + 1}]::DOUBLE AS x{j}" for j in D) + " FROM embeddings)")
+
+
+def _embedding_points(dims) -> str:
+    return ("pts AS (SELECT vec_id AS rid, vec_id, label, 1.0::DOUBLE AS w, "
+            + ", ".join(f"embedding[{j + 1}]::DOUBLE AS x{j}" for j in dims) + " FROM embeddings)")
+
+
+EMB_PTS = _embedding_points(D)
 
 
 def _coordinate(x: str, depth: int) -> str:
@@ -143,22 +149,22 @@ def _xxhash(source: str, out: str, value: str, seed: str) -> list[str]:
     return steps
 
 
-def _seeds(k: int) -> tuple[list[str], str]:
+def _seeds(k: int, dims=D) -> tuple[list[str], str]:
     """k-means++ draws over the embeddings: the smallest -ln(1 - u) / d2 wins, u from (row hash, turn)."""
     parts = [f"hp AS (SELECT *, ({_hash(q.SEED, 'vec_id')})::UHUGEINT AS h FROM pts)",
              *_xxhash("hp", "once", "h", "42::UHUGEINT")]
-    at, xs = "once_6", ", ".join(f"x{j}" for j in D)
+    at, xs = "once_6", ", ".join(f"x{j}" for j in dims)
     for turn in range(k):
         parts += _xxhash(at, f"turn{turn}", f"{turn}::UHUGEINT", "once")
         at = f"turn{turn}_6"
     for turn in range(k):
         wait = f"-ln(1.0 - ((turn{turn} // 16::UHUGEINT)::DOUBLE + 0.5) / {float(2**60)!r}::DOUBLE)"
         if turn:
-            near = " UNION ALL ".join(f"SELECT {', '.join(f'x{j} AS c{j}' for j in D)} FROM s{i}" for i in range(turn))
-            wait = f"{wait} / (SELECT nullif(min({_gap(D, 'p.x', 'c.c')}), 0) FROM ({near}) c)"
+            near = " UNION ALL ".join(f"SELECT {', '.join(f'x{j} AS c{j}' for j in dims)} FROM s{i}" for i in range(turn))
+            wait = f"{wait} / (SELECT nullif(min({_gap(dims, 'p.x', 'c.c')}), 0) FROM ({near}) c)"
         parts.append(f"s{turn} AS MATERIALIZED (SELECT {turn} AS k, {xs} FROM {at} p ORDER BY {wait} NULLS LAST, h LIMIT 1)")
     parts.append("c0 AS (" + " UNION ALL ".join(
-        f"SELECT k, {', '.join(f'x{j} AS c{j}' for j in D)} FROM s{i}" for i in range(k)) + ")")
+        f"SELECT k, {', '.join(f'x{j} AS c{j}' for j in dims)} FROM s{i}" for i in range(k)) + ")")
     return parts, "c0"
 
 
@@ -336,6 +342,7 @@ def sql() -> dict[str, str]:
         "recursive_score": _with(LINE_PTS, _centers("c0", q.LINE_CENTERS), _level(1, "l1"), _cell_points("l1", "p1"),
                                  _assigned("a0", "p1", "c0"), _moved("c1", "a0"), _assigned("near", "pts", "c1"))
             + "SELECT round(avg((k = l_linenumber)::INTEGER), 6) AS score FROM pts JOIN near USING (rid)",
+        "kmeanspp_seed": _with(_embedding_points(range(64)), *_seeds(5, range(64))[0]) + f"SELECT k::INTEGER AS k, {centers4} FROM c0",
         "kmeanspp_two_steps": _with(EMB_PTS, *seeds, *after_seeds) + f"SELECT k::INTEGER AS k, {centers4} FROM {at_seeds}",
         "minibatch_three_batches": _with(EMB_PTS, _centers("c0", q.EMBEDDING_CENTERS), *batches)
             + f"SELECT k::INTEGER AS k, {centers4} FROM {at_batches}",
