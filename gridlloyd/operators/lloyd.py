@@ -2,7 +2,8 @@
 
 Points are DataFrames with columns ``x0..x{d-1}`` and a weight ``w``. Centres are a small K x d array
 on the driver. A step is map-side: every task reduces its rows to K partial sums, and only those are
-shuffled. A point table proven to be small (``fits_task``) runs all its iterations inside one task instead of paying one Spark job per iteration; any larger table iterates over jobs.
+shuffled. A point table proven to be small (``fits_task``) runs all its iterations inside one task
+instead of paying one Spark job per iteration; any larger table iterates over jobs.
 """
 
 from __future__ import annotations
