@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import byte_bpe, token_counts
+from ..session import Scratch
+from . import byte_bpe, decontaminate, line_dedup, quality, simhash, token_counts, token_files, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL by query name, where SQL can express the operator.
@@ -37,3 +39,50 @@ def op9_byte_bpe_codec(spark, sf_dir):
     return byte_bpe.round_trip_digests(
         documents, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
     ).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query
+def op2_simhash_near_dedup(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return simhash.near_duplicates(documents, Scratch(spark)).select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op3_token_files(spark, sf_dir):
+    documents, scratch = _table(spark, sf_dir, "documents", "doc_id", "text"), Scratch(spark)
+    path = f"{scratch.path}/token-files"
+    token_files.write_token_files(documents, path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.read_documents(spark, path, scratch)
+
+
+@query
+def op4_line_first_quality(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return quality.clean_lines(documents).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op6_warc_revisits(spark, sf_dir):
+    pages, scratch = _table(spark, sf_dir, "pages", "page_id", "url", "html"), Scratch(spark)
+    path = f"{scratch.path}/archives"
+    warc.write_archives(pages, path, date="2024-01-01T00:00:00Z")
+    read = scratch.write(warc.read_archives(spark, path), "records")
+    return warc.resolve_revisits(read).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op7_decontaminate(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    found = decontaminate.scan(documents, _table(spark, sf_dir, "benchmark", "item_id", "text"))
+    n_hit = F.size("hit_words").cast("long")
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+@query
+def op10_line_dedup(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return line_dedup.drop_repeated_lines(documents, Scratch(spark)).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("clean_text").cast("binary"), 256).alias("kept_sha256"))
