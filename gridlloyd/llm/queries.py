@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import Scratch
-from . import byte_bpe, decontaminate, line_dedup, quality, simhash, token_counts, token_files, warc
+from . import (
+    byte_bpe, decontaminate, line_dedup, quality, repeats, simhash, token_counts, token_files, warc,
+)
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL by query name, where SQL can express the operator.
@@ -86,3 +88,10 @@ def op10_line_dedup(spark, sf_dir):
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
     return line_dedup.drop_repeated_lines(documents, Scratch(spark)).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(F.col("clean_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op8_suffix_dedup(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return repeats.remove_repeats(documents, Scratch(spark), keep_bytes=False).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
