@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import joined, map_columns, raw_texts, slices
+from .rolling import MULTIPLIER, RangeHashes, mixed
 
 #: Most windows of test items in one broadcast block; their texts take some 100 bytes each.
 BLOCK_WINDOWS = 250_000
@@ -21,23 +22,7 @@ _LOWER = np.arange(256, dtype="uint8")
 _LOWER[ord("A"):ord("Z") + 1] += 32
 _IN_WORD = np.zeros(256, bool)
 _IN_WORD[ord("0"):ord("9") + 1] = _IN_WORD[ord("a"):ord("z") + 1] = _IN_WORD[128:] = True
-_MULTIPLIER = 0x9E3779B97F4A7C15
 _FILTER_BITS = 20
-_POWERS: dict[str, np.ndarray] = {}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first powers of the multiplier and of its inverse modulo 2^64, at least n of each."""
-    size = 1 << max(n - 1, 1).bit_length()
-    if len(_POWERS.get("up", ())) < size:
-        for name, base in (("up", _MULTIPLIER), ("down", pow(_MULTIPLIER, -1, 1 << 64))):
-            _POWERS[name] = np.multiply.accumulate(np.concatenate([[1], np.full(size - 1, base)]).astype("uint64"))
-    return _POWERS["up"][:n], _POWERS["down"][:n]
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(29))
 
 
 @dataclass
@@ -58,11 +43,8 @@ class Words:
         inside = _IN_WORD[low]
         edges = np.diff(np.concatenate([[False], inside, [False]]).astype("int8"))
         starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-        # A word's hash is a difference of running sums of a polynomial in its bytes, moved to place 0.
-        up, down = _powers(len(low))
-        sums = np.concatenate([np.zeros(1, "uint64"), np.cumsum((low.astype("uint64") + np.uint64(1)) * up)])
-        hashes = _mixed((sums[ends] - sums[starts]) * down[starts])
-        return cls(low, starts, ends, np.searchsorted(starts, text_starts), np.searchsorted(starts, text_ends), hashes)
+        return cls(low, starts, ends, np.searchsorted(starts, text_starts), np.searchsorted(starts, text_ends),
+                   RangeHashes(low)(starts, ends))
 
     def windows(self, length: int) -> np.ndarray:
         """Hash of the ``length`` words from each word on; meaningless where the text ends before."""
@@ -71,8 +53,8 @@ class Words:
             return np.zeros(0, "uint64")
         total = np.zeros(n, "uint64")
         for j in range(length):
-            total = total * np.uint64(_MULTIPLIER) + self.hashes[j:j + n]
-        return _mixed(total)
+            total = total * np.uint64(MULTIPLIER) + self.hashes[j:j + n]
+        return mixed(total)
 
     def text(self, i: int, length: int) -> bytes:
         return b" ".join(self.bytes[self.starts[k]:self.ends[k]].tobytes() for k in range(i, i + length))
