@@ -5,13 +5,13 @@ from __future__ import annotations
 import base64
 from array import array
 from functools import lru_cache
+from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
 import tiktoken
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
 from .common import map_columns, texts
@@ -142,7 +142,13 @@ def decode(df: DataFrame, ranks: str, pattern: str, ids: str = "token_ids") -> D
 
 
 def round_trip_digests(df: DataFrame, ranks: str, pattern: str, text: str = "text") -> DataFrame:
-    """Append ``n_tokens`` and the SHA-256 of the ids and of the bytes decoded from them."""
-    done = decode(encode(df, ranks, pattern, text), ranks, pattern)
-    return done.withColumns({
-        "ids_sha256": F.sha2("token_ids", 256), "decoded_sha256": F.sha2("decoded", 256)}).drop("token_ids", "decoded")
+    """Append ``n_tokens`` and the SHA-256 of the ids and of the bytes decoded from them, ids staying in the task."""
+    content = _content(df, ranks)
+
+    def fn(column: pa.Array):
+        codec = _codec(content.value, pattern)
+        ids = codec.encode(texts(column))
+        return [pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array([sha256(i).hexdigest() for i in ids]),
+                pa.array([sha256(codec.decode(i)).hexdigest() for i in ids])]
+
+    return map_columns(df, text, "n_tokens bigint, ids_sha256 string, decoded_sha256 string", fn)
