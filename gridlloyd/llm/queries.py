@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import Scratch
 from . import (
-    byte_bpe, decontaminate, line_dedup, quality, repeats, simhash, token_counts, token_files, warc,
+    byte_bpe, decontaminate, importance, line_dedup, quality, repeats, simhash, token_counts, token_files, warc,
 )
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,10 @@ def op8_suffix_dedup(spark, sf_dir):
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
     return repeats.remove_repeats(documents, Scratch(spark), keep_bytes=False).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op5_importance_resampling(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = _table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    return importance.resample(documents, labels, Scratch(spark)).select("doc_id", "log_weight", "gumbel_key", "kept")
