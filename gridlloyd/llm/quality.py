@@ -26,9 +26,10 @@ BOILERPLATE = (
 )
 #: A line of navigation has few words, or is mostly cut up by separators.
 SHORT_LINE = 10
-_SEPARATORS = re.compile(r"\s[|»>•·/]\s")
-_NAVIGATION = re.compile("|".join(rf"\b{re.escape(p)}\b" for p in NAVIGATION))
-_BOILERPLATE = re.compile("|".join(map(re.escape, BOILERPLATE)))
+SEPARATOR_PATTERN = r"[ \t\v\f\r][|»>•·/][ \t\v\f\r]"
+NAVIGATION_PATTERN = rf"(^|[^a-z0-9])({'|'.join(NAVIGATION)})($|[^a-z0-9])"
+BOILERPLATE_PATTERN = "[{}]|" + "|".join(BOILERPLATE)
+_SEPARATORS, _NAVIGATION, _BOILERPLATE = map(re.compile, (SEPARATOR_PATTERN, NAVIGATION_PATTERN, BOILERPLATE_PATTERN))
 _LOWER = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
 
 
@@ -43,9 +44,7 @@ def line_fails(line: str) -> bool:
     if not words:
         return False
     low = line.translate(_LOWER)
-    if "{" in low or "}" in low or _BOILERPLATE.search(low):
-        return True
-    if len(_SEPARATORS.findall(low)) >= 2:
+    if _BOILERPLATE.search(low) or len(_SEPARATORS.findall(low)) >= 2:
         return True
     return words < SHORT_LINE and (line.rstrip(SPACES)[-1] not in SENTENCE_ENDS or bool(_NAVIGATION.search(low)))
 

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from ..session import Scratch
 from . import (
-    byte_bpe, decontaminate, importance, line_dedup, quality, repeats, simhash, token_counts, token_files, warc,
+    byte_bpe, checks, decontaminate, importance, line_dedup, quality, repeats, simhash, token_counts, token_files, warc,
 )
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: DuckDB SQL by query name, where SQL can express the operator.
-SQL: dict[str, str] = {}
+SQL = checks.SQL
 
 
 def query(fn):
