@@ -17,8 +17,8 @@ def feature_columns(df: DataFrame, features: str | Sequence[str], size: int | No
     """One DOUBLE expression per dimension.
 
     ``features`` names numeric columns, or a single array / ML-vector column; for the latter ``size``
-    saves looking at one row to learn the width. Rows of another width yield nulls, which every fit
-    rejects.
+    saves looking at one row to learn the width. A row of another width raises an error when it is read;
+    a null array yields nulls.
     """
     names = [features] if isinstance(features, str) else list(features)
     if len(names) == 1:
@@ -28,11 +28,13 @@ def feature_columns(df: DataFrame, features: str | Sequence[str], size: int | No
             column = vector_to_array(column)
         if isinstance(dtype, (VectorUDT, ArrayType)):
             if size is None:
-                head = df.select(F.size(column).alias("size")).head(1)
+                head = df.where(column.isNotNull()).select(F.size(column).alias("size")).head(1)
                 if not head:
                     raise ValueError(f"cannot infer the width of {names[0]} from an empty table")
                 size = head[0]["size"]
-            return [F.get(column, F.lit(j)).cast("double") for j in range(size)]
+            same = column.isNull() | (F.size(column) == size)
+            checked = F.when(same, column).otherwise(F.raise_error(F.lit(f"{names[0]} must hold {size} values in every row")))
+            return [F.get(checked, F.lit(j)).cast("double") for j in range(size)]
     return [F.col(name).cast("double") for name in names]
 
 

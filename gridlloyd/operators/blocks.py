@@ -5,18 +5,12 @@ Kept free of Spark imports so that Python workers load them quickly.
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
 
 
-def read_blocks(batches: Iterable[pa.RecordBatch]) -> list[list[np.ndarray]]:
-    """Column arrays of every batch of a bounded table, as doubles or longs."""
-    return [[c.to_numpy(zero_copy_only=False) for c in batch.columns] for batch in batches if batch.num_rows]
-
-
 def nearest_in_block(xs: Sequence[np.ndarray], centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Labels and squared distances of one column-wise block."""
     best = np.full(len(xs[0]), np.inf)
@@ -73,65 +67,11 @@ def iterate(
     return centers, n_iter
 
 
-def farthest_in_blocks(blocks: list, centers: np.ndarray, m: int) -> list[tuple[np.ndarray, float, int]]:
-    """The ``m`` points farthest from their centre as (x, weight, label); ties by coordinates."""
-    d = centers.shape[1]
-    found = []
-    for block in blocks:
-        labels, best = nearest_in_block(block[:d], centers)
-        top = np.lexsort([*block[:d][::-1], -best])[:m]
-        found += [(-best[i], *[x[i] for x in block[:d]], block[d][i], labels[i]) for i in top if best[i] > 0]
-    return [(np.array(f[1:1 + d]), f[1 + d], f[2 + d]) for f in sorted(found)[:m]]
-
-
-def lloyd_in_task(
-    batches: Iterable[pa.RecordBatch], centers: np.ndarray, max_iter: int, limit: float
-) -> pa.RecordBatch:
-    """All Lloyd iterations over one bounded table of columns ``x0.., w``."""
-    blocks = read_blocks(batches)
-    d = centers.shape[1]
-    final, n_iter = iterate(
-        lambda at: sum(block_sums(b[:d], b[d], at) for b in blocks),
-        lambda at, m: farthest_in_blocks(blocks, at, m),
-        centers, max_iter, limit,
-    )
-    return one_row({"n_iter": pa.array([n_iter], pa.int32()),
-                    "centers": pa.array([final.ravel().tolist()], pa.list_(pa.float64()))})
-
-
-def levels_in_task(
-    batches: Iterable[pa.RecordBatch], centers: np.ndarray, limits: dict[int, float], max_iter: int, threshold: float
-) -> Iterable[pa.RecordBatch]:
-    """Lloyd over several bounded levels (columns ``x0.., w, depth``), each starting from the centres of
-    the one above. ``limits`` holds the levels in order with their tolerance; a positive ``threshold``
-    ends the descent once no centre moves that far."""
-    blocks = read_blocks(batches)
-    d = centers.shape[1]
-    for depth, limit in limits.items():
-        started = time.perf_counter()
-        level = [[c[b[-1] == depth] for c in b[:-1]] for b in blocks if (b[-1] == depth).any()]
-        moved, n_iter = iterate(
-            lambda at: sum(block_sums(b[:d], b[d], at) for b in level),
-            lambda at, m: farthest_in_blocks(level, at, m),
-            centers, max_iter, limit,
-        )
-        yield one_row({"depth": pa.array([depth], pa.int32()), "n_iter": pa.array([n_iter], pa.int32()),
-                       "centers": pa.array([moved.ravel().tolist()], pa.list_(pa.float64())),
-                       "seconds": pa.array([time.perf_counter() - started])})
-        if 0 < threshold and largest_move(centers, moved) < threshold:
-            return
-        centers = moved
-
-
 def largest_move(before: np.ndarray, after: np.ndarray) -> float:
     """Largest distance between a centre and its successor."""
     return float(np.sqrt(((after - before) ** 2).sum(axis=1)).max())
 
 
-def one_row(columns: dict) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
-
-
 def widest_ratio(batch: pa.RecordBatch, spread: np.ndarray, means: np.ndarray) -> np.ndarray:
     """max over other clusters of (spread + spread) / centre distance, for (label, spread, mean) rows."""
     own = batch.column(1).to_numpy(zero_copy_only=False)
@@ -194,71 +134,6 @@ def expected_mutual_information(size: int, others: np.ndarray, times: np.ndarray
     return result
 
 
-def hash_long(value: np.ndarray, seed: np.ndarray | int) -> np.ndarray:
-    """xxHash64 of 8-byte integers with a seed each: what Spark's ``xxhash64`` computes for a BIGINT."""
-    # The primes of the published xxHash64 algorithm.
-    p1, p2, p3, p4, p5 = (np.uint64(p) for p in (
-        0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
-
-    def turn_left(x, bits):
-        return (x << np.uint64(bits)) | (x >> np.uint64(64 - bits))
-
-    x = np.asarray(value).astype(np.uint64)
-    out = np.asarray(seed).astype(np.uint64) + p5 + np.uint64(8)
-    out = turn_left(out ^ (turn_left(x * p2, 31) * p1), 27) * p1 + p4
-    out = (out ^ (out >> np.uint64(33))) * p2
-    out = (out ^ (out >> np.uint64(29))) * p3
-    return out ^ (out >> np.uint64(32))
-
-
-def mixed_uniform(h: np.ndarray, turn: int) -> np.ndarray:
-    """Uniform in (0, 1) per (row hash, turn), equal to ``keyed_uniform(turn, h)`` on BIGINT columns."""
-    with np.errstate(over="ignore"):
-        mixed = hash_long(np.full(len(h), turn, dtype=np.int64), hash_long(h, np.uint64(42)))
-    return ((mixed >> np.uint64(4)).astype(float) + 0.5) / 2.0**60
-
-
-def seed_candidate(block: list, seeds: np.ndarray, turn: int, nearest: np.ndarray | None = None) -> tuple:
-    """Winner (race, hash, x..) of one block of columns ``x0.., h`` in the next seeding draw.
-
-    The first draw is uniform. Without any distance left (fewer distinct points than seeds) it is
-    uniform over the last resort of equal points.
-    """
-    xs, h = block[:-1], block[-1]
-    weight = nearest
-    if weight is None:
-        weight = nearest_in_block(xs, seeds)[1] if len(seeds) else np.ones(len(h))
-    wait = -np.log1p(-mixed_uniform(h, turn))
-    race = np.divide(wait, weight, out=np.full(len(h), np.inf), where=weight > 0)
-    i = np.lexsort([h, race])[0] if np.isinf(race).all() else _first_smallest(race, h)
-    return (float(race[i]), int(h[i]), *[float(x[i]) for x in xs])
-
-
-def _first_smallest(race: np.ndarray, h: np.ndarray) -> int:
-    ties = np.flatnonzero(race == race.min())
-    return int(ties[np.argmin(h[ties])])
-
-
-def seed_in_blocks(blocks: list, k: int) -> np.ndarray:
-    """All seeding draws over one bounded table, keeping the nearest distance of every row."""
-    nearest = [np.full(len(b[-1]), np.inf) for b in blocks]
-    seeds = np.empty((0, len(blocks[0]) - 1))
-    for turn in range(k):
-        found = min(
-            seed_candidate(b, seeds, turn, None if turn == 0 else near) for b, near in zip(blocks, nearest))
-        seeds = np.vstack([seeds, found[2:]])
-        for b, near in zip(blocks, nearest):
-            np.minimum(near, nearest_in_block(b[:-1], seeds[-1:])[1], out=near)
-    return seeds
-
-
-def smallest_rows(blocks: list, limit: int) -> list:
-    """The ``limit`` rows with the smallest value of the last column, as one block."""
-    columns = [np.concatenate([b[j] for b in blocks]) for j in range(len(blocks[0]))]
-    order = np.argsort(columns[-1], kind="stable")[:limit]
-    return [[c[order] for c in columns]]
-
-
 class BatchState:
     """Progress of mini-batch k-means between batches: centre-sized, whatever the data size."""
 
@@ -281,31 +156,3 @@ class BatchState:
         self.stale = 0 if self.error < self.best else self.stale + 1
         self.best = min(self.best, self.error)
         self.done = self.stale >= patience
-
-    def to_bytes(self) -> bytes:
-        tail = [self.smoothing, self.steps, self.error, self.best, self.stale, self.done]
-        return np.concatenate([self.centers.ravel(), self.counts, np.array(tail, dtype=float)]).tobytes()
-
-    @classmethod
-    def from_bytes(cls, data: bytes, k: int) -> "BatchState":
-        flat = np.frombuffer(data, dtype=float)
-        d = (len(flat) - 6 - k) // k
-        smoothing, steps, error, best, stale, done = flat[-6:]
-        return cls(flat[:k * d].reshape(k, d), flat[k * d:k * d + k], smoothing,
-                   int(steps), error, best, int(stale), bool(done))
-
-
-def mini_batches(blocks: list, state: BatchState, batch_size: int, patience: int) -> bytes:
-    """Work through one slice of rows (columns ``x0.., order``) in order, batch by batch."""
-    now = BatchState(state.centers, state.counts, state.smoothing, state.steps, state.error, state.best,
-                     state.stale, state.done)
-    if blocks:
-        columns = [np.concatenate([b[j] for b in blocks]) for j in range(len(blocks[0]))]
-        order = np.argsort(columns[-1], kind="stable")
-        xs = [c[order] for c in columns[:-1]]
-        for start in range(0, len(order), batch_size):
-            part = [x[start:start + batch_size] for x in xs]
-            now.absorb(block_sums(part, np.ones(len(part[0])), now.centers), patience)
-            if now.done:
-                break
-    return now.to_bytes()

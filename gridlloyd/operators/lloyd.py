@@ -1,9 +1,8 @@
 """Nearest-centre assignment and (weighted) Lloyd iterations.
 
 Points are DataFrames with columns ``x0..x{d-1}`` and a weight ``w``. Centres are a small K x d array
-on the driver. A step is map-side: every task reduces its rows to K partial sums, and only those are
-shuffled. A point table proven to be small (``fits_task``) runs all its iterations inside one task
-instead of paying one Spark job per iteration; any larger table iterates over jobs.
+on the driver. A step is one map-side pass, whatever the size: every task reduces its rows to K partial
+sums, and only those are shuffled.
 """
 
 from __future__ import annotations
@@ -18,13 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import all_finite, feature_columns, squared_distance
-from ..session import fits_bound, fits_task
-from .blocks import block_sums, iterate, levels_in_task, lloyd_in_task, nearest_in_block
+from ..session import fits_bound
+from .blocks import block_sums, iterate, nearest_in_block
 
 #: Largest K x d for which distances are unrolled into generated code; beyond it Arrow batches win.
 UNROLL_LIMIT = 72
-#: Row count from which an unrolled step repays its per-iteration code generation.
-SQL_STEP_ROWS = 4_000_000
 
 
 @dataclass
@@ -49,39 +46,38 @@ def assign(
 ) -> DataFrame:
     """Append the index of the nearest centre (ties: lowest index) and, on request, the squared distance.
 
-    A projection without shuffle, valid for batch and streaming frames.
+    A projection without shuffle, valid for batch and streaming frames. Both are null for a row with a
+    null, NaN or infinite feature; an array of another width than the centres is an error.
     """
     size = np.asarray(centers).shape[-1]
     xs = feature_columns(df, features, size)
     centers = as_centers(centers, len(xs))
+    valid = all_finite(xs)
     if centers.size > UNROLL_LIMIT:
-        return _assign_arrow(df, xs, centers, prediction, distance)
-    k = len(centers)
-    squares = [f"__q{i}" for i in range(k)]
-    # Separate projections: the distances are evaluated once and then only compared.
-    wide = df.select("*", *[squared_distance(xs, c).alias(q) for q, c in zip(squares, centers)])
-    best = F.least(*squares) if k > 1 else F.col(squares[0])
-    wide = wide.withColumn("__best", best)
-    label = F.lit(k - 1)
-    for i in range(k - 2, -1, -1):
-        label = F.when(F.col(squares[i]) == F.col("__best"), F.lit(i)).otherwise(label)
-    extra = [label.cast("int").alias(prediction)]
+        near = _nearest_in_arrow(centers)(*xs)
+        wide = df.withColumn("__near", near).withColumn("__best", F.col("__near.square"))
+        label = F.col("__near.label")
+    else:
+        squares = [f"__q{i}" for i in range(len(centers))]
+        # Separate projections: the distances are evaluated once and then only compared.
+        wide = df.select("*", *[squared_distance(xs, c).alias(q) for q, c in zip(squares, centers)])
+        wide = wide.withColumn("__best", F.least(*squares) if len(squares) > 1 else F.col(squares[0]))
+        label = F.lit(len(centers) - 1)
+        for i in range(len(centers) - 2, -1, -1):
+            label = F.when(F.col(squares[i]) == F.col("__best"), F.lit(i)).otherwise(label)
+    extra = [F.when(valid, label).cast("int").alias(prediction)]
     if distance:
-        extra.append(F.col("__best").alias(distance))
-    keep = [c for c in df.columns if c not in (prediction, distance)]
-    return wide.select(*keep, *extra)
+        extra.append(F.when(valid, F.col("__best")).alias(distance))
+    return wide.select(*[c for c in df.columns if c not in (prediction, distance)], *extra)
 
 
-def _assign_arrow(df, xs, centers, prediction, distance) -> DataFrame:
-    @F.pandas_udf("prediction int, distance double")
+def _nearest_in_arrow(centers: np.ndarray):
+    @F.pandas_udf("label int, square double")
     def nearest(*columns: pd.Series) -> pd.DataFrame:
-        labels, best = nearest_in_block([c.to_numpy() for c in columns], centers)
-        return pd.DataFrame({"prediction": labels, "distance": best})
+        labels, best = nearest_in_block([c.to_numpy(dtype=float, na_value=np.nan) for c in columns], centers)
+        return pd.DataFrame({"label": labels, "square": best})
 
-    out = df.withColumn("__near", nearest(*xs)).withColumn(prediction, F.col("__near.prediction"))
-    if distance:
-        out = out.withColumn(distance, F.col("__near.distance"))
-    return out.drop("__near")
+    return nearest
 
 
 def point_frame(df: DataFrame, features, weight: str | None = None, keep: Iterable = ()) -> DataFrame:
@@ -91,9 +87,7 @@ def point_frame(df: DataFrame, features, weight: str | None = None, keep: Iterab
     return df.select(*[x.alias(f"x{j}") for j, x in enumerate(xs)], w.alias("w"), *keep)
 
 
-def cluster_sums(
-    points: DataFrame, centers: np.ndarray, n_rows: int | None = None, tasks: int | None = None
-) -> np.ndarray:
+def cluster_sums(points: DataFrame, centers: np.ndarray, tasks: int | None = None) -> np.ndarray:
     """K x (2 + d) sums over all points (see ``block_sums``) in one map-side pass.
 
     The K partial rows of every task are added up by a shuffle, or directly on the driver when the
@@ -101,32 +95,22 @@ def cluster_sums(
     """
     k, d = centers.shape
     names = ["weight", "sse"] + [f"s{j}" for j in range(d)]
-    if n_rows is not None and n_rows >= SQL_STEP_ROWS and centers.size <= UNROLL_LIMIT:
-        xs = [f"x{j}" for j in range(d)]
-        partial = assign(points.select(*xs, "w"), xs, centers, "k", "d2").select(
-            "k", F.col("w").alias("weight"), (F.col("w") * F.col("d2")).alias("sse"),
-            *[(F.col("w") * F.col(f"x{j}")).alias(f"s{j}") for j in range(d)],
-        )
-    else:
-        def reduce_task(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-            total = np.zeros((k, 2 + d))
-            for batch in batches:
-                columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-                total += block_sums(columns[:d], columns[d], centers)
-            arrays = [pa.array(np.arange(k, dtype=np.int32))] + [pa.array(total[:, j].copy()) for j in range(2 + d)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["k", *names])
-
-        layout = "k int, " + ", ".join(f"{c} double" for c in names)
-        partial = points.select(*[f"x{j}" for j in range(d)], "w").mapInArrow(reduce_task, layout)
-        if tasks is not None and fits_bound(tasks * k, 8 * (3 + d)):
-            sums = np.zeros((k, 2 + d))
-            for row in partial.collect():
-                sums[row["k"]] += row[1:]
-            return sums
-    rows = partial.groupBy("k").agg(*[F.sum(c).alias(c) for c in names]).collect()
+
+    def reduce_task(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        total = np.zeros((k, 2 + d))
+        for batch in batches:
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            total += block_sums(columns[:d], columns[d], centers)
+        arrays = [pa.array(np.arange(k, dtype=np.int32))] + [pa.array(total[:, j].copy()) for j in range(2 + d)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["k", *names])
+
+    layout = "k int, " + ", ".join(f"{c} double" for c in names)
+    partial = points.select(*[f"x{j}" for j in range(d)], "w").mapInArrow(reduce_task, layout)
+    if tasks is None or not fits_bound(tasks * k, 8 * (3 + d)):
+        partial = partial.groupBy("k").agg(*[F.sum(c).alias(c) for c in names])
     sums = np.zeros((k, 2 + d))
-    for row in rows:
-        sums[row["k"]] = row[1:]
+    for row in partial.collect():
+        sums[row["k"]] += row[1:]
     return sums
 
 
@@ -150,51 +134,24 @@ def weighted_lloyd(
     tol: float = 1e-4,
     n_rows: int | None = None,
     variance: float | None = None,
-    stored: bool = False,
 ) -> LloydResult:
-    """Lloyd from given centres over weighted points.
+    """Lloyd from given centres over weighted points, a map-side pass per iteration.
 
     ``tol`` is relative to the mean feature variance, as in common k-means implementations. Callers
-    that know the point count and variance pass them to save one aggregation. The points should be
-    persisted or a written table: they are read once per iteration. ``stored`` says that they are a
-    written table, which one task may read directly; anything else is gathered by a shuffle, so that a
-    recomputation of the points would still run in parallel.
+    that know the point count and variance pass them to save one aggregation. The points should be a
+    written table: they are read once per iteration.
     """
     xs = [c for c in points.columns if c[0] == "x" and c[1:].isdigit()]
     centers = as_centers(centers, len(xs))
     if n_rows is None or variance is None:
         n_rows, variance = point_facts(points)
-    limit = tol * variance
-    if fits_task(n_rows, *centers.shape):
-        gathered = points.select(*xs, "w")
-        gathered = gathered.coalesce(1) if stored else gathered.repartition(1)
-        centers, n_iter = _iterate_in_task(gathered, centers, max_iter, limit)
-    else:
-        tasks = points.rdd.getNumPartitions()
-        centers, n_iter = iterate(
-            lambda at: cluster_sums(points, at, n_rows, tasks),
-            lambda at, m: farthest_points(points, at, m),
-            centers, max_iter, limit,
-        )
+    tasks = points.rdd.getNumPartitions()
+    centers, n_iter = iterate(
+        lambda at: cluster_sums(points, at, tasks), lambda at, m: farthest_points(points, at, m),
+        centers, max_iter, tol * variance)
     return LloydResult(centers, n_iter, n_rows)
 
 
-def lloyd_levels(
-    points: DataFrame, centers: np.ndarray, limits: dict[int, float], max_iter: int, threshold: float
-) -> list[tuple[int, np.ndarray, int, float]]:
-    """Lloyd over several bounded levels in one task: (depth, centres, iterations, seconds) of each.
-
-    ``points`` is a written table with a ``depth`` column; see ``levels_in_task``.
-    """
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        yield from levels_in_task(batches, centers, limits, max_iter, threshold)
-
-    xs = [f"x{j}" for j in range(centers.shape[1])]
-    layout = "depth int, n_iter int, centers array<double>, seconds double"
-    rows = points.select(*xs, "w", "depth").coalesce(1).mapInArrow(run, layout).collect()
-    return [(r["depth"], np.array(r["centers"]).reshape(centers.shape), r["n_iter"], r["seconds"]) for r in rows]
-
-
 def point_facts(points: DataFrame) -> tuple[int, float]:
     """Row count and mean per-feature variance; rejects non-finite features."""
     xs = [c for c in points.columns if c[0] == "x" and c[1:].isdigit()]
@@ -208,11 +165,3 @@ def point_facts(points: DataFrame) -> tuple[int, float]:
     if row["bad"]:
         raise ValueError("features contain null, NaN or infinite values")
     return row["n"], row["variance"]
-
-
-def _iterate_in_task(points: DataFrame, centers: np.ndarray, max_iter: int, limit: float):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        yield lloyd_in_task(batches, centers, max_iter, limit)
-
-    row = points.mapInArrow(run, "n_iter int, centers array<double>").collect()[0]
-    return np.array(row["centers"]).reshape(centers.shape), row["n_iter"]

@@ -43,9 +43,15 @@ def _kept(df: DataFrame) -> Iterator[DataFrame]:
 # ---------------------------------------------------------------- internal metrics
 
 def sse(df: DataFrame, features, centers) -> float:
-    """Clustering error: sum over rows of the squared distance to the nearest centre."""
+    """Clustering error: sum over rows of the squared distance to the nearest centre.
+
+    A row with a null, NaN or infinite feature is an error.
+    """
     labelled = assign(df.select(*_names(features)), features, centers, "__k", "__d2")
-    return labelled.agg(F.sum("__d2")).first()[0]
+    total, bad = labelled.agg(F.sum("__d2"), F.count_if(F.col("__d2").isNull())).first()
+    if bad:
+        raise ValueError("features contain null, NaN or infinite values")
+    return total
 
 
 def label_means(df: DataFrame, features, label: str) -> DataFrame:
@@ -286,8 +292,15 @@ def adjusted_mutual_info(df: DataFrame, reference: str, predicted: str) -> float
 
 
 def accuracy(df: DataFrame, reference: str, predicted: str) -> float:
-    """Share of rows whose labels are equal as numbers; cluster indexes are not matched to classes."""
-    return df.agg(F.avg((F.col(reference) == F.col(predicted)).cast("double"))).first()[0]
+    """Share of rows whose labels are equal as numbers; cluster indexes are not matched to classes.
+
+    A row without one of the labels is an error.
+    """
+    same = F.col(reference) == F.col(predicted)
+    share, bad = df.agg(F.avg(same.cast("double")), F.count_if(same.isNull())).first()
+    if bad:
+        raise ValueError("labels contain nulls")
+    return share
 
 
 def std_error_of(df: DataFrame, features, exact_centers, approx_centers) -> float:

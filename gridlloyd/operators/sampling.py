@@ -24,9 +24,14 @@ def sample_rows(df: DataFrame, n: int, ids: Sequence[str], seed: int = 0, method
     aggregations of at most 4096 groups), so that the sample itself is a plain filter: no sort, no
     shuffle of rows. ``ids`` must identify a row.
     """
+    return smallest_rows(df, n, keyed_hash(seed, ids, method), ids)
+
+
+def smallest_rows(df: DataFrame, n: int, h: Column, ids: Sequence[str]) -> DataFrame:
+    """The ``n`` rows with the smallest hash ``h``, equal hashes in the order of ``ids``."""
     if n < 0:
         raise ValueError("n must not be negative")
-    order = [keyed_hash(seed, ids, method), *[F.col(c) for c in ids]]
+    order = [h, *[F.col(c) for c in ids]]
     if n <= DIRECT_ROWS:
         return df.orderBy(*order).limit(n)
     keyed = df.select(order[0].alias("h"), *ids)

@@ -10,6 +10,8 @@ from . import queries as q
 from .sweep import LEVEL_COUNTS, QUALITY_COLUMNS
 
 D = range(4)
+#: Dimensions of the embeddings.
+E = range(q.EMBEDDING_DIMS)
 
 
 def _lit(v: float) -> str:
@@ -26,12 +28,8 @@ LINE_PTS = (
     + ", ".join(f"{_unit(c, 'lineitem')} AS x{j}" for j, c in enumerate(q.LINE)) + " FROM lineitem)")
 
 
-def _embedding_points(dims) -> str:
-    return ("pts AS (SELECT vec_id AS rid, vec_id, label, 1.0::DOUBLE AS w, "
-            + ", ".join(f"embedding[{j + 1}]::DOUBLE AS x{j}" for j in dims) + " FROM embeddings)")
-
-
-EMB_PTS = _embedding_points(D)
+EMB_PTS = ("pts AS (SELECT vec_id AS rid, vec_id, label, 1.0::DOUBLE AS w, "
+           + ", ".join(f"embedding[{j + 1}]::DOUBLE AS x{j}" for j in E) + " FROM embeddings)")
 
 
 def _coordinate(x: str, depth: int) -> str:
@@ -81,10 +79,10 @@ def _moved(name: str, assigned: str, dims=D) -> str:
     return f"{name} AS (SELECT k, {means} FROM {assigned} GROUP BY k)"
 
 
-def _steps(points: str, centers: str, n: int, tag: str) -> tuple[list[str], str]:
+def _steps(points: str, centers: str, n: int, tag: str, dims=D) -> tuple[list[str], str]:
     out, at = [], centers
     for i in range(n):
-        out += [_assigned(f"{tag}a{i}", points, at), _moved(f"{tag}c{i}", f"{tag}a{i}")]
+        out += [_assigned(f"{tag}a{i}", points, at, dims), _moved(f"{tag}c{i}", f"{tag}a{i}", dims)]
         at = f"{tag}c{i}"
     return out, at
 
@@ -120,52 +118,19 @@ def _two_levels() -> list[str]:
             f"after1 AS (SELECT * FROM {at1})", f"after2 AS (SELECT * FROM {at2})"]
 
 
-def _xxhash(source: str, out: str, value: str, seed: str) -> list[str]:
-    """CTE steps adding to ``source`` a column ``out``: xxHash64 of a BIGINT, in unsigned 128-bit arithmetic."""
-    # The primes of the published xxHash64 algorithm.
-    p1, p2, p3, p4, p5 = 11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261
-    word = 2**64
-
-    def mod(expression):
-        return f"(({expression}) % {word}::UHUGEINT)"
-
-    def left(x, bits):
-        return f"({mod(f'{x} * {2**bits}::UHUGEINT')} + {x} // {2**(64 - bits)}::UHUGEINT)"
-
-    def xor(a, b):
-        return f"xor(({a})::UBIGINT, ({b})::UBIGINT)::UHUGEINT"
-
-    u = "::UHUGEINT"
-    stages = [
-        mod(f"{value} * {p2}{u}"), mod(f"{left('t', 31)} * {p1}{u}"), xor("t", mod(f"{seed} + {p5 + 8}{u}")),
-        mod(f"{left('t', 27)} * {p1}{u} + {p4}{u}"), mod(f"{xor('t', f't // {2**33}{u}')} * {p2}{u}"),
-        mod(f"{xor('t', f't // {2**29}{u}')} * {p3}{u}"), xor("t", f"t // {2**32}{u}")]
-    steps, at = [], source
-    for i, stage in enumerate(stages):
-        last = i == len(stages) - 1
-        drop = "" if i == 0 else " EXCLUDE (t)"
-        steps.append(f"{out}_{i} AS MATERIALIZED (SELECT *{drop}, {stage} AS {out if last else 't'} FROM {at})")
-        at = f"{out}_{i}"
-    return steps
-
-
-def _seeds(k: int, dims=D) -> tuple[list[str], str]:
-    """k-means++ draws over the embeddings: the smallest -ln(1 - u) / d2 wins, u from (row hash, turn)."""
-    parts = [f"hp AS (SELECT *, ({_hash(q.SEED, 'vec_id')})::UHUGEINT AS h FROM pts)",
-             *_xxhash("hp", "once", "h", "42::UHUGEINT")]
-    at, xs = "once_6", ", ".join(f"x{j}" for j in dims)
-    for turn in range(k):
-        parts += _xxhash(at, f"turn{turn}", f"{turn}::UHUGEINT", "once")
-        at = f"turn{turn}_6"
+def _seeds(k: int) -> list[str]:
+    """k-means++ draws over the embeddings: the smallest -ln(1 - u) / d2 wins, u from (turn, row hash)."""
+    parts = [f"hp AS MATERIALIZED (SELECT *, {_hash(q.SEED, 'vec_id')} AS h FROM pts)"]
+    xs = ", ".join(f"x{j}" for j in E)
     for turn in range(k):
-        wait = f"-ln(1.0 - ((turn{turn} // 16::UHUGEINT)::DOUBLE + 0.5) / {float(2**60)!r}::DOUBLE)"
+        wait = f"-ln(1.0 - {_uniform(turn, 'h')})"
         if turn:
-            near = " UNION ALL ".join(f"SELECT {', '.join(f'x{j} AS c{j}' for j in dims)} FROM s{i}" for i in range(turn))
-            wait = f"{wait} / (SELECT nullif(min({_gap(dims, 'p.x', 'c.c')}), 0) FROM ({near}) c)"
-        parts.append(f"s{turn} AS MATERIALIZED (SELECT {turn} AS k, {xs} FROM {at} p ORDER BY {wait} NULLS LAST, h LIMIT 1)")
+            near = " UNION ALL ".join(f"SELECT {', '.join(f'x{j} AS c{j}' for j in E)} FROM s{i}" for i in range(turn))
+            wait = f"{wait} / (SELECT nullif(min({_gap(E, 'p.x', 'c.c')}), 0) FROM ({near}) c)"
+        parts.append(f"s{turn} AS MATERIALIZED (SELECT {turn} AS k, {xs} FROM hp p ORDER BY {wait} NULLS LAST, h LIMIT 1)")
     parts.append("c0 AS (" + " UNION ALL ".join(
-        f"SELECT k, {', '.join(f'x{j} AS c{j}' for j in dims)} FROM s{i}" for i in range(k)) + ")")
-    return parts, "c0"
+        f"SELECT k, {', '.join(f'x{j} AS c{j}' for j in E)} FROM s{i}" for i in range(k)) + ")")
+    return parts
 
 
 def _batches(n: int) -> tuple[list[str], str]:
@@ -174,9 +139,9 @@ def _batches(n: int) -> tuple[list[str], str]:
              f"CAST(ceil((SELECT count(*) FROM pts) / {n}.0) AS BIGINT) AS b FROM pts)",
              "m0 AS (SELECT *, 0.0::DOUBLE AS seen FROM c0)"]
     for i in range(n):
-        new = ", ".join(f"m{i}.c{j} + coalesce(s.n / (m{i}.seen + s.n) * (s.c{j} - m{i}.c{j}), 0) AS c{j}" for j in D)
-        parts += [f"d{i} AS (SELECT * FROM dealt WHERE b = {i})", _assigned(f"b{i}", f"d{i}", f"m{i}"),
-                  f"t{i} AS (SELECT k, count(*)::DOUBLE AS n, {', '.join(f'avg(x{j}) AS c{j}' for j in D)} FROM b{i} GROUP BY k)",
+        new = ", ".join(f"m{i}.c{j} + coalesce(s.n / (m{i}.seen + s.n) * (s.c{j} - m{i}.c{j}), 0) AS c{j}" for j in E)
+        parts += [f"d{i} AS (SELECT * FROM dealt WHERE b = {i})", _assigned(f"b{i}", f"d{i}", f"m{i}", E),
+                  f"t{i} AS (SELECT k, count(*)::DOUBLE AS n, {', '.join(f'avg(x{j}) AS c{j}' for j in E)} FROM b{i} GROUP BY k)",
                   f"m{i + 1} AS (SELECT m{i}.k, {new}, m{i}.seen + coalesce(s.n, 0) AS seen FROM m{i} LEFT JOIN t{i} s ON s.k = m{i}.k)"]
     return parts, f"m{n}"
 
@@ -201,7 +166,7 @@ def _scaled(expression: str, constant: str = "0.0") -> str:
             "(SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi, avg(c_acctbal) AS mu, stddev_pop(c_acctbal) AS sd FROM customer)")
 
 
-LABELLED = [EMB_PTS, _centers("c0", q.EMBEDDING_CENTERS), _assigned("near", "pts", "c0"),
+LABELLED = [EMB_PTS, _centers("c0", q.EMBEDDING_CENTERS), _assigned("near", "pts", "c0", E),
             "lab AS (SELECT p.vec_id, p.label AS a, n.k AS b FROM pts p JOIN near n ON p.rid = n.rid)"]
 LINE_BOTH = [LINE_PTS, _centers("c0", q.LINE_CENTERS), _centers("c1", q.LINE_OTHER), _assigned("n0", "pts", "c0"),
              _assigned("n1", "pts", "c1"),
@@ -278,8 +243,8 @@ EVENT_GAP = ", ".join(f"((value - {c[0]}) * (value - {c[0]}), {k})" for k, c in
 
 def sql() -> dict[str, str]:
     two = _two_levels()
-    seeds, _ = _seeds(5)
-    after_seeds, at_seeds = _steps("pts", "c0", 2, "s")
+    seeds = _seeds(5)
+    after_seeds, at_seeds = _steps("pts", "c0", 2, "s", E)
     batches, at_batches = _batches(3)
     history = " UNION ALL ".join(
         f"SELECT {i} AS iteration, {i} AS depth, (SELECT count(*) FROM l{i}) AS n_cells, "
@@ -292,7 +257,7 @@ def sql() -> dict[str, str]:
     steps3, at3 = _steps("pts", "c0", 3, "s")
     cells2, at2 = _steps("p3", "c0", 2, "s")
     means4, keys4 = [f"m{j}" for j in D], ", ".join(f"g{j}" for j in D)
-    centers4 = _rounded([f"c{j}" for j in D])
+    centers4, centers_e = _rounded([f"c{j}" for j in D]), _rounded([f"c{j}" for j in E])
     box = ", ".join(
         [f"(-1 + g{j} * 0.5)::DOUBLE AS lo{j}, (-0.5 + g{j} * 0.5)::DOUBLE AS hi{j}, (-0.75 + g{j} * 0.5)::DOUBLE AS threshold{j}"
          for j in (0, 1)])
@@ -342,10 +307,10 @@ def sql() -> dict[str, str]:
         "recursive_score": _with(LINE_PTS, _centers("c0", q.LINE_CENTERS), _level(1, "l1"), _cell_points("l1", "p1"),
                                  _assigned("a0", "p1", "c0"), _moved("c1", "a0"), _assigned("near", "pts", "c1"))
             + "SELECT round(avg((k = l_linenumber)::INTEGER), 6) AS score FROM pts JOIN near USING (rid)",
-        "kmeanspp_seed": _with(_embedding_points(range(64)), *_seeds(5, range(64))[0]) + f"SELECT k::INTEGER AS k, {centers4} FROM c0",
-        "kmeanspp_two_steps": _with(EMB_PTS, *seeds, *after_seeds) + f"SELECT k::INTEGER AS k, {centers4} FROM {at_seeds}",
+        "kmeanspp_seed": _with(EMB_PTS, *seeds) + f"SELECT k::INTEGER AS k, {centers_e} FROM c0",
+        "kmeanspp_two_steps": _with(EMB_PTS, *seeds, *after_seeds) + f"SELECT k::INTEGER AS k, {centers_e} FROM {at_seeds}",
         "minibatch_three_batches": _with(EMB_PTS, _centers("c0", q.EMBEDDING_CENTERS), *batches)
-            + f"SELECT k::INTEGER AS k, {centers4} FROM {at_batches}",
+            + f"SELECT k::INTEGER AS k, {centers_e} FROM {at_batches}",
         "distance_cost_grid": "SELECT c_nationkey, k, b, n, (0.5 * k * (k + 1) * n + k * n * 10)::DOUBLE AS kmeans_pp, "
             "(0.5 * k * (k + 1) * n + k * b * 10)::DOUBLE AS mini_batch FROM (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1), "
             "(VALUES (3), (9)) kk(k), (VALUES (100), (500), (1000)) bb(b)",
@@ -402,9 +367,9 @@ def sql() -> dict[str, str]:
             "(SELECT p, max((x.s + y.s) / g) AS r FROM gap JOIN spread x ON x.label = p JOIN spread y ON y.label = q GROUP BY p)",
         "silhouette_exact": f"WITH {SILHOUETTE} SELECT round(avg(s), 6) AS silhouette FROM sil",
         "silhouette_rows": f"WITH {SILHOUETTE} SELECT vec_id, label, round(s, 6) AS silhouette FROM sil",
-        "silhouette_squared": _with(*LABELLED, "v AS (SELECT l.vec_id, l.b AS own, " + ", ".join(f"x{j}" for j in D)
+        "silhouette_squared": _with(*LABELLED, "v AS (SELECT l.vec_id, l.b AS own, " + ", ".join(f"x{j}" for j in E)
             + " FROM lab l JOIN pts USING (vec_id))", "per AS (SELECT p.vec_id, p.own, o.own AS other, sum("
-            + _gap(D, "p.x", "o.x") + ") AS s, count(*) AS n FROM v p, v o GROUP BY 1, 2, 3)",
+            + _gap(E, "p.x", "o.x") + ") AS s, count(*) AS n FROM v p, v o GROUP BY 1, 2, 3)",
             "ab AS (SELECT vec_id, own, max(CASE WHEN own = other AND n > 1 THEN s / (n - 1) END) AS a, "
             "min(CASE WHEN own <> other THEN s / n END) AS b FROM per GROUP BY vec_id, own)")
             + "SELECT round(avg(CASE WHEN a IS NULL THEN 0.0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette_sq FROM ab",
@@ -419,7 +384,7 @@ def sql() -> dict[str, str]:
                            _assigned("n1", "pts", "c1"))
             + "SELECT round((e - a) / e, 6) AS std_error FROM (SELECT sum(d2) AS e FROM n0), (SELECT sum(d2) AS a FROM n1)",
         "ideal_centers": _with(EMB_PTS) + "SELECT label, count(*) AS n, " + ", ".join(
-            f"round(avg(x{j}), 6) AS m{j}" for j in D) + " FROM pts GROUP BY label",
+            f"round(avg(x{j}), 6) AS m{j}" for j in E) + " FROM pts GROUP BY label",
         "average_replicas": f"WITH {RESULTS} SELECT n_clusters, n_dims, n_samples, algorithm, param, {_rounded(QUALITY_COLUMNS)} FROM means",
         "relative_error_table": _relative_table(),
         "plot_series": f"WITH {RESULTS} SELECT algorithm, param, n_samples AS x, round(calinski_harabasz, 6) AS y FROM means "
@@ -431,11 +396,12 @@ def sql() -> dict[str, str]:
                 f"ELSE {_lit(q.MIXTURE_CENTERS[2][j])} END) + {_lit(q.MIXTURE_SIGMA)} * {_normal(f'{q.SEED}|0|{j}', 'o_orderkey')} AS x{j}"
                 for j in (0, 1)) + " FROM orders)",
         "gaussian_mixture_counts": "SELECT (o_orderkey % 4)::INTEGER AS y, count(*) AS n FROM orders GROUP BY 1",
-        "csv_round_trip": "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer",
+        "csv_round_trip": "SELECT c_custkey, c_name, CASE WHEN c_custkey % 5 > 0 THEN c_acctbal END AS c_acctbal, c_mktsegment FROM customer",
         "supervised_view": "SELECT count(*) AS rows, round(sum(p_retailprice), 6) AS total, 5::BIGINT AS features, 'p_retailprice' AS target FROM part",
         "arff_round_trip": "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders",
-        "sensor_text_round_trip": "SELECT vec_id::DOUBLE AS time, label::DOUBLE AS methane, label::DOUBLE AS ethylene, " + ", ".join(
-            f"round(embedding[{j + 1}]::DOUBLE, 6) AS attr{j}" for j in range(16)) + " FROM embeddings",
+        "sensor_text_round_trip": "SELECT vec_id::DOUBLE AS time, label::DOUBLE AS methane, part::DOUBLE AS ethylene, " + ", ".join(
+            f"round(embedding[16 * part + {j + 1}]::DOUBLE, 6) AS attr{j}" for j in range(16))
+            + " FROM embeddings, (SELECT unnest(range(4)) AS part)",
         "result_sink": f"WITH {RESULTS} SELECT n_clusters, algorithm, param, round(avg(silhouette), 6) AS silhouette FROM results GROUP BY ALL",
         "stream_scores": f"SELECT event_id, list_min([{EVENT_GAP}])[2]::INTEGER AS prediction FROM events",
         "stream_cells": "SELECT g0, count(*) AS n, round(avg(value), 6) AS m0 FROM (SELECT value, greatest(ceil(least(greatest("

@@ -30,10 +30,11 @@ LINE_CENTERS = (
 LINE_OTHER = (
     (-0.4, -0.6, -0.4, -0.5), (0.4, 0.6, 0.5, 0.3), (-0.6, 0.5, 0.5, -0.2), (0.5, -0.5, -0.5, 0.3), (0.0, 0.1, 0.2, 0.6),
 )
-#: Fixed centres for the first four embedding dimensions.
-EMBEDDING_CENTERS = (
-    (0.1, 0.1, 0.0, 0.0), (-0.1, 0.1, 0.1, -0.1), (0.0, -0.1, 0.1, 0.1), (0.1, -0.1, -0.1, 0.0), (-0.1, 0.0, -0.1, 0.1),
-)
+#: Width of the embeddings, and fixed centres for them by a rule.
+EMBEDDING_DIMS = 64
+EMBEDDING_CENTERS = tuple(
+    tuple(((k * 7 + j * 3) % 11 - 5) / 40.0 for j in range(EMBEDDING_DIMS)) for k in range(5))
+EMBEDDING_COLUMNS = [f"e{j}" for j in range(EMBEDDING_DIMS)]
 EVENT_CENTERS = ((5.0,), (20.0,), (60.0,), (120.0,))
 MIXTURE_CENTERS = ((-0.5, -0.5), (0.5, -0.25), (0.0, 0.75))
 MIXTURE_SIGMA = 0.2
@@ -67,11 +68,11 @@ def _line_with_price(spark, sf_dir) -> DataFrame:
 
 def _embedding(spark, sf_dir) -> DataFrame:
     e = _table(spark, sf_dir, "embeddings")
-    return e.select("vec_id", "label", *[F.get("embedding", F.lit(j)).cast("double").alias(f"e{j}") for j in range(4)])
+    return e.select("vec_id", "label", *[x.alias(c) for x, c in zip(feature_columns(e, "embedding", EMBEDDING_DIMS), EMBEDDING_COLUMNS)])
 
 
 def _labelled(spark, sf_dir) -> DataFrame:
-    return lloyd.assign(_embedding(spark, sf_dir), [f"e{j}" for j in range(4)], EMBEDDING_CENTERS)
+    return lloyd.assign(_embedding(spark, sf_dir), EMBEDDING_COLUMNS, EMBEDDING_CENTERS)
 
 
 def _one(spark, name: str, value: float) -> DataFrame:
@@ -184,7 +185,7 @@ def assign_embeddings_arrow(spark, sf_dir):
 @query
 def row_norms(spark, sf_dir):
     df = _embedding(spark, sf_dir)
-    xs = feature_columns(df, [f"e{j}" for j in range(4)])
+    xs = feature_columns(df, EMBEDDING_COLUMNS)
     return df.select("vec_id", _r(euclidean_norm(xs, EMBEDDING_CENTERS[0])).alias("norm"))
 
 
@@ -254,7 +255,7 @@ def recursive_instance_ratio(spark, sf_dir):
     """Instance ratio of the fits with 1, 2, 3 levels, all read from one fit."""
     make = lambda k, d, n, replica: sweep.Sample(_line(spark, sf_dir), list(LINE), [])
     n = _table(spark, sf_dir, "lineitem").count()
-    grid = sweep.Grid(n_clusters=[20], n_dims=[4], n_samples=[n], level_counts=[1, 2, 3], replicas=1)
+    grid = sweep.Grid(n_clusters=[20], n_dims=[EMBEDDING_DIMS], n_samples=[n], level_counts=[1, 2, 3], replicas=1)
     return sweep.ratio_sweep(spark, make, grid).select(
         "n_clusters", "n_samples", "param", _r("instance_ratio", 9).alias("instance_ratio"))
 
@@ -272,9 +273,9 @@ def recursive_score(spark, sf_dir):
 
 @query
 def kmeanspp_seed(spark, sf_dir):
-    with baselines._points(_table(spark, sf_dir, "embeddings"), "embedding", ["vec_id"], SEED, "md5") as points:
-        seeds = baselines.kmeans_pp_seed(points, 5, points.count())
-    return _centers_frame(spark, seeds[:, :4])
+    with baselines._points(_table(spark, sf_dir, "embeddings"), "embedding", ["vec_id"], SEED, "md5") as (points, scratch):
+        seeds = baselines.kmeans_pp_seed(points, 5, scratch, "md5")
+    return _centers_frame(spark, seeds)
 
 
 @query
@@ -288,7 +289,7 @@ def kmeanspp_fit(spark, sf_dir):
 def kmeanspp_two_steps(spark, sf_dir):
     """k-means++ seeds followed by two Lloyd steps."""
     e = _embedding(spark, sf_dir)
-    model = baselines.kmeans_pp(e, [f"e{j}" for j in range(4)], 5, ["vec_id"], seed=SEED, max_iter=2, tol=0.0, method="md5")
+    model = baselines.kmeans_pp(e, EMBEDDING_COLUMNS, 5, ["vec_id"], seed=SEED, max_iter=2, tol=0.0, method="md5")
     return _centers_frame(spark, model.centers)
 
 
@@ -297,7 +298,7 @@ def minibatch_three_batches(spark, sf_dir):
     """One pass over the rows in three batches from fixed centres."""
     e = _embedding(spark, sf_dir)
     model = baselines.mini_batch_kmeans(
-        e, [f"e{j}" for j in range(4)], 5, -(-e.count() // 3), ["vec_id"], seed=SEED, max_epochs=1,
+        e, EMBEDDING_COLUMNS, 5, -(-e.count() // 3), ["vec_id"], seed=SEED, max_epochs=1,
         init=EMBEDDING_CENTERS, method="md5")
     return _centers_frame(spark, model.centers)
 
@@ -507,7 +508,7 @@ def silhouette_rows(spark, sf_dir):
 
 @query
 def silhouette_squared(spark, sf_dir):
-    return _one(spark, "silhouette_sq", metrics.silhouette_sq(_labelled(spark, sf_dir), [f"e{j}" for j in range(4)], "prediction"))
+    return _one(spark, "silhouette_sq", metrics.silhouette_sq(_labelled(spark, sf_dir), EMBEDDING_COLUMNS, "prediction"))
 
 
 @query
@@ -555,8 +556,8 @@ def std_error(spark, sf_dir):
 
 @query
 def ideal_centers(spark, sf_dir):
-    means = metrics.label_means(_embedding(spark, sf_dir), [f"e{j}" for j in range(4)], "label")
-    return means.select("label", "n", *[_r(f"m{j}").alias(f"m{j}") for j in range(4)])
+    means = metrics.label_means(_embedding(spark, sf_dir), EMBEDDING_COLUMNS, "label")
+    return means.select("label", "n", *[_r(f"m{j}").alias(f"m{j}") for j in range(EMBEDDING_DIMS)])
 
 
 # ---------------------------------------------------------------- result tables
@@ -623,9 +624,9 @@ def gaussian_mixture_counts(spark, sf_dir):
 @query
 def csv_round_trip(spark, sf_dir):
     scratch = Scratch(spark)
-    _table(spark, sf_dir, "customer").write.option("header", True).csv(f"{scratch.path}/customer.csv")
-    df = tables.read_csv(spark, f"{scratch.path}/customer.csv")
-    return df.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name", "c_acctbal", "c_mktsegment")
+    gaps = _table(spark, sf_dir, "customer").withColumn("c_acctbal", F.expr("if(c_custkey % 5 > 0, c_acctbal, null)"))
+    gaps.write.option("header", True).option("nullValue", "NA").csv(f"{scratch.path}/customer.csv")
+    return tables.read_csv(spark, f"{scratch.path}/customer.csv").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
 
 
 @query
@@ -653,11 +654,12 @@ def arff_round_trip(spark, sf_dir):
 
 @query
 def sensor_text_round_trip(spark, sf_dir):
-    """Embeddings written as a sensor log with runs of spaces and a header line, and read back."""
+    """Embeddings written as sensor logs, four lines of 16 values each, with a header in every file."""
     scratch = Scratch(spark)
-    values = [F.col("vec_id").cast("string"), F.col("label").cast("string"), F.col("label").cast("string")]
-    values += [F.get("embedding", F.lit(j)).cast("double").cast("string") for j in range(16)]
-    lines = _table(spark, sf_dir, "embeddings").select(F.concat_ws("   ", *values).alias("line")).coalesce(1)
+    parts = _table(spark, sf_dir, "embeddings").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(3))))
+    values = [F.col("vec_id").cast("string"), F.col("label").cast("string"), F.col("part").cast("string")]
+    values += [F.get("embedding", F.col("part") * 16 + j).cast("double").cast("string") for j in range(16)]
+    lines = parts.select(F.concat_ws("   ", *values).alias("line"))
     lines.toDF("Time (seconds), Methane conc (ppm), Ethylene conc (ppm), sensor readings").write.option(
         "header", True).option("sep", "\u0001").option("quote", "").csv(f"{scratch.path}/log.txt")
     df = text.read_sensor_text(spark, f"{scratch.path}/log.txt")
@@ -705,10 +707,10 @@ def equivalence_sweep_table(spark, sf_dir):
 
 @query
 def quality_sweep_table(spark, sf_dir):
-    """Internal metrics of all algorithms over the embeddings, four dimensions at a time."""
-    maker = sweep.table_maker(_embedding(spark, sf_dir), [f"e{j}" for j in range(4)], ["vec_id"])
+    """Internal metrics of all algorithms over the embeddings, in all their dimensions."""
+    maker = sweep.table_maker(_embedding(spark, sf_dir), EMBEDDING_COLUMNS, ["vec_id"])
     n = _table(spark, sf_dir, "embeddings").count()
-    grid = sweep.Grid(n_clusters=[3], n_dims=[4], n_samples=[n], level_counts=[2], batch_sizes=[100], replicas=1)
+    grid = sweep.Grid(n_clusters=[3], n_dims=[EMBEDDING_DIMS], n_samples=[n], level_counts=[2], batch_sizes=[100], replicas=1)
     return report.average_replicas(sweep.quality_sweep(spark, maker, grid))
 
 

@@ -9,10 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Largest table, in bytes of raw doubles, that is broadcast or collected.
 BOUNDED_BYTES = 16 * 1024 * 1024
-#: Largest point table that one task works on alone, and the most multiply-adds it may then spend per
-#: iteration: about a tenth of a second, less than a Spark job per iteration costs.
-TASK_BYTES = 64 * 1024 * 1024
-TASK_WORK = 100_000_000
 
 
 def fits_bound(rows: int, doubles_per_row: int) -> bool:
@@ -20,11 +16,6 @@ def fits_bound(rows: int, doubles_per_row: int) -> bool:
     return rows * doubles_per_row * 8 <= BOUNDED_BYTES
 
 
-def fits_task(rows: int, k: int, d: int) -> bool:
-    """True when iterating over ``rows`` points in d dimensions with K centres is work for one task."""
-    return rows * (d + 2) * 8 <= TASK_BYTES and rows * k * d <= TASK_WORK
-
-
 def checkpoint_folder(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, as named by ``spark.checkpoint.dir``.
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from .tables import infer_numbers
 
 SENSOR_NAMED = 3
 SENSOR_ATTRIBUTES = 16
@@ -27,15 +27,23 @@ def read_sensor_text(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.option("recursiveFileLookup", True)
     if not path.endswith(".txt"):
         files = files.option("pathGlobFilter", "*.txt")
-    header = files.text(path).head(1)
-    if not header:
+    starts = files.text(path).where(F.col("_metadata.file_block_start") == 0).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"))
+    first = starts.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    headers = [r["header"] for r in first.select("header").distinct().limit(100).collect()]
+    found = {tuple(sensor_columns(h)) for h in headers}
+    if not found:
         raise ValueError(f"no sensor text under {path}")
-    names = sensor_columns(header[0]["value"])
+    if len(found) > 1:
+        raise ValueError(f"the files under {path} have different headers: {sorted(found)}; read them one by one")
+    names = found.pop()
     lines = (
         files.schema("line string").option("header", True).option("enforceSchema", True)
         .option("sep", "\u0001").option("quote", "").option("escape", "").csv(path))
     fields = F.split(F.regexp_replace(F.trim("line"), " +", " "), " ")
-    return lines.select(fields.alias("f")).select(
+    whole = F.when(F.size(fields) == len(names), fields).otherwise(F.raise_error(
+        F.concat(F.lit(f"a sensor line must have {len(names)} fields: "), F.col("line"))))
+    return lines.select(whole.alias("f")).select(
         *[F.get("f", F.lit(i)).cast("double").alias(name) for i, name in enumerate(names)])
 
 
@@ -51,7 +59,8 @@ def read_arff(spark: SparkSession, path: str, schema: StructType | str | None =
     are ignored; unless a schema is given, columns whose values are all numbers become DOUBLE.
 
     A line's place in its file is (start of its split, order inside the split); the data mark of
-    every file is found by one aggregation and handed to all tasks.
+    every file is found by one aggregation. A line with more or fewer values than there are attributes is
+    an error.
     """
     reader = spark.read
     if not path.endswith(".arff"):
@@ -63,7 +72,7 @@ def read_arff(spark: SparkSession, path: str, schema: StructType | str | None =
     marks = content.where(
         _marked(F.col("value"), "data") & ~_marked(F.col("value"), "attribute")
     ).groupBy("file").agg(F.min("at").alias("mark"))
-    placed = content.join(F.broadcast(marks), "file")
+    placed = content.join(marks, "file")
     words = F.split(F.trim("value"), r"\s+")
     keyword = F.array_position(words, "@attribute")
     keyword = F.when(keyword > 0, keyword).otherwise(F.array_position(words, "@ATTRIBUTE"))
@@ -78,18 +87,9 @@ def read_arff(spark: SparkSession, path: str, schema: StructType | str | None =
     names = heads[0]["names"]
     body = placed.where((F.col("at") > F.col("mark")) & (F.trim("value") != "")).select("value")
     as_text = StructType([StructField(n, StringType()) for n in names])
-    parsed = body.select(F.from_csv("value", as_text.toDDL(), {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
+    parsed = body.select(F.from_csv("value", as_text.toDDL(), {"mode": "FAILFAST"}).alias("r")).select("r.*")
     if schema is None:
-        schema = infer_numbers(parsed, names)
+        schema = infer_numbers(parsed, names, whole=False)
     elif isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     return parsed.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
-
-
-def infer_numbers(df: DataFrame, names: Sequence[str]) -> StructType:
-    """DOUBLE for text columns in which every value is a number, STRING for the others; one pass."""
-    text = df.agg(*[
-        F.count_if(F.col(f"`{n}`").isNotNull() & F.col(f"`{n}`").try_cast("double").isNull()).alias(f"c{i}")
-        for i, n in enumerate(names)]).first()
-    return StructType([
-        StructField(n, StringType() if text[f"c{i}"] else DoubleType()) for i, n in enumerate(names)])

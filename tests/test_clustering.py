@@ -4,12 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridlloyd import RecursiveKMeans, RecursiveKMeansModel
-from gridlloyd.operators import baselines, lloyd
+from gridlloyd.operators import baselines, lloyd, metrics
 from gridlloyd.operators import cells as cell_ops
-from gridlloyd.operators.blocks import BatchState, hash_long, mixed_uniform, move_centers
-from gridlloyd.session import Scratch
+from gridlloyd.functions.randomness import keyed_uniform
+from gridlloyd.operators.blocks import move_centers
 from gridlloyd.sources.mixture import gaussian_mixture
-import gridlloyd.operators.lloyd as lloyd_module
 
 
 def frame(spark, x, **extra):
@@ -59,23 +58,31 @@ def test_assign_accepts_array_column(spark, blobs):
     assert [r["prediction"] for r in rows] == brute_labels(blobs, blobs[:4]).tolist()
 
 
-@pytest.mark.parametrize("path", ["task", "arrow", "sql"])
-def test_lloyd_paths_agree(spark, blobs, path, monkeypatch):
+def test_weighted_lloyd_matches_brute_force(spark, blobs):
     w = np.random.default_rng(1).integers(1, 5, len(blobs)).astype(float)
     points = lloyd.point_frame(frame(spark, blobs, n=w), ["f0", "f1", "f2"], "n")
-    if path != "task":
-        monkeypatch.setattr(lloyd_module, "fits_task", lambda *_: False)
-    if path == "sql":
-        monkeypatch.setattr(lloyd_module, "SQL_STEP_ROWS", 0)
     start = blobs[[0, 250, 500, 750]]
     got = lloyd.weighted_lloyd(points, start, max_iter=3, tol=0.0)
     assert np.allclose(got.centers, brute_lloyd(blobs, w, start, got.n_iter))
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_empty_cluster_takes_farthest_point(spark, monkeypatch, bounded):
-    if not bounded:
-        monkeypatch.setattr(lloyd_module, "fits_task", lambda *_: False)
+@pytest.mark.parametrize("k", [2, 60])
+def test_rows_without_a_label(spark, k):
+    """Null, NaN and infinite features give null on both sides of the unroll limit; a wrong width is an error."""
+    rows = [(1, [0.1, 0.2]), (2, None), (3, [None, 0.2]), (4, [float("nan"), 0.2]), (5, [0.1, float("inf")])]
+    df = spark.createDataFrame(rows, "id int, v array<double>")
+    centers = np.random.default_rng(0).uniform(-1, 1, (k, 2))
+    got = {r["id"]: r for r in lloyd.assign(df, "v", centers, distance="d2").collect()}
+    assert got[1]["prediction"] == brute_labels(np.array([[0.1, 0.2]]), centers)[0]
+    assert all(got[i]["prediction"] is None and got[i]["d2"] is None for i in (2, 3, 4, 5))
+    with pytest.raises(ValueError, match="null"):
+        metrics.sse(df, "v", centers)
+    wide = spark.createDataFrame([(1, [0.1, 0.2, 9.0])], "id int, v array<double>")
+    with pytest.raises(Exception, match="must hold 2 values"):
+        lloyd.assign(wide, "v", centers).collect()
+
+
+def test_empty_cluster_takes_farthest_point(spark):
     x = np.array([[0.0], [0.1], [0.2], [0.9]])
     points = lloyd.point_frame(frame(spark, x), ["f0"])
     got = lloyd.weighted_lloyd(points, [[0.0], [5.0]], max_iter=1, tol=0.0)
@@ -131,16 +138,6 @@ def test_recursive_fit_equals_plain_recursion(spark, blobs):
     assert short.summary == model.at_iteration(2).summary
 
 
-def test_recursive_fit_beyond_the_task_bound(spark, blobs, monkeypatch):
-    df = frame(spark, blobs)
-    init = blobs[[0, 250, 500, 750]].tolist()
-    build = lambda: RecursiveKMeans(inputCols=["f0", "f1", "f2"], nClusters=4, maxIter=3, init=init).fit(df)
-    small = build()
-    monkeypatch.setattr(lloyd_module, "fits_task", lambda *_: False)
-    monkeypatch.setattr(cell_ops, "fits_task", lambda *_: False)
-    assert np.allclose(small.centers, build().centers)
-
-
 def test_depth_is_not_iteration_and_saturation(spark):
     rng = np.random.default_rng(0)
     x = rng.uniform(-1, 1, (60, 2))
@@ -148,7 +145,7 @@ def test_depth_is_not_iteration_and_saturation(spark):
     rows = model.history.orderBy("iteration").collect()
     assert rows[0]["depth"] >= 2 and rows[0]["iteration"] == 1
     assert model.instance_ratio == 1.0 and rows[-1]["n_cells"] < 60
-    assert model.n_iter < 30
+    assert model.n_iter < 30 and model.summary["stopped"] == "saturated"
 
 
 def test_distance_threshold_stops(spark, blobs):
@@ -156,6 +153,7 @@ def test_distance_threshold_stops(spark, blobs):
         inputCols=["f0", "f1", "f2"], nClusters=4, maxIter=6, distanceThreshold=t, seed=1).fit(frame(spark, blobs))
     free, stopped = fit(0.0), fit(10.0)
     assert stopped.n_iter == 1 < free.n_iter
+    assert (stopped.summary["stopped"], free.summary["stopped"]) == ("threshold", "iterations")
     assert np.allclose(stopped.centers, free.at_iteration(1).centers)
 
 
@@ -192,6 +190,13 @@ def test_score_params_and_persistence(spark, blobs, tmp_path):
     again = RecursiveKMeansModel.load_tables(spark, str(tmp_path / "m"))
     assert np.array_equal(again.centers, model.centers) and again.summary == model.summary
     assert again.score(df, "y") == model.score(df, "y")
+    model.write().save(str(tmp_path / "ml"))
+    est.write().save(str(tmp_path / "estimator"))
+    whole = RecursiveKMeansModel.load(str(tmp_path / "ml"))
+    assert np.array_equal(whole.centers, model.centers) and whole.get_params() == model.get_params()
+    loaded = RecursiveKMeans.load(str(tmp_path / "estimator"))
+    assert loaded.getOrDefault("init") == est.getOrDefault("init")
+    assert np.array_equal(loaded.fit(df).centers, model.centers)
     assert model.trajectory().count() == 4 * model.n_iter
     levels = model.label_levels(df)
     assert levels.where(F.col(f"level{model.n_iter}") != F.col("y")).count() < 50
@@ -199,59 +204,52 @@ def test_score_params_and_persistence(spark, blobs, tmp_path):
     assert model.centers is None and model.instance_ratio == -1
 
 
-@pytest.mark.parametrize("path", ["task", "arrow", "sql"])
-def test_kmeans_pp_seeding_follows_the_race(spark, blobs, monkeypatch, path):
-    if path != "task":
-        monkeypatch.setattr(baselines, "fits_task", lambda *_: False)
-    if path == "sql":
-        monkeypatch.setattr(baselines, "SQL_STEP_ROWS", 0)
+@pytest.mark.parametrize("refresh", [8, 2])
+@pytest.mark.parametrize("method", ["xxhash64", "md5"])
+def test_kmeans_pp_seeding_follows_the_race(spark, blobs, monkeypatch, refresh, method):
+    monkeypatch.setattr(baselines, "REFRESH", refresh)
     df = frame(spark, blobs, id=np.arange(len(blobs)))
-    with baselines._points(df, ["f0", "f1", "f2"], ["id"], 5, "xxhash64") as points:
-        got = baselines.kmeans_pp_seed(points, 4, len(blobs))
-        rows = np.array([[r["x0"], r["x1"], r["x2"]] for r in points.collect()])
-        h = np.array([r["h"] for r in points.collect()])
-    seeds = np.empty((0, 3))
-    for turn in range(4):
+    with baselines._points(df, ["f0", "f1", "f2"], ["id"], 5, method) as (points, scratch):
+        got = baselines.kmeans_pp_seed(points, 5, scratch, method)
+        draws = points.select("x0", "x1", "x2", *[keyed_uniform(t, ["h"], method).alias(f"u{t}") for t in range(5)])
+        table = np.array([list(r) for r in draws.collect()])
+    rows, seeds = table[:, :3], np.empty((0, 3))
+    for turn in range(5):
         d2 = np.ones(len(rows)) if turn == 0 else ((rows[:, None] - seeds[None]) ** 2).sum(-1).min(1)
         with np.errstate(divide="ignore"):
-            race = -np.log1p(-mixed_uniform(h, turn)) / d2
+            race = -np.log1p(-table[:, 3 + turn]) / d2
         seeds = np.vstack([seeds, rows[race.argmin()]])
     assert np.allclose(got, seeds)
 
 
-def test_hash_equals_the_sql_function(spark):
-    values = np.concatenate([np.arange(-50, 50), np.random.default_rng(0).integers(-2**62, 2**62, 100)])
-    df = spark.createDataFrame(pd.DataFrame({"v": values}))
-    rows = df.select("v", F.xxhash64("v").alias("h"), F.xxhash64("v", F.lit(7).cast("bigint")).alias("t")).collect()
-    v = np.array([r["v"] for r in rows])
-    with np.errstate(over="ignore"):
-        once = hash_long(v, np.uint64(42))
-        twice = hash_long(np.full(len(v), 7), once)
-    assert once.astype(np.int64).tolist() == [r["h"] for r in rows]
-    assert twice.astype(np.int64).tolist() == [r["t"] for r in rows]
+@pytest.mark.parametrize("size,first", [(50, 8), (64, 1), (333, 1), (1000, 1), (5000, 8)])
+def test_batches_follow_the_hash_order(spark, blobs, monkeypatch, size, first):
+    monkeypatch.setattr(baselines, "FIRST_CUT", first)
+    df = frame(spark, blobs, id=np.arange(len(blobs)) // 3)  # every hash three times
+    with baselines._points(df, ["f0", "f1", "f2"], ["id"], 1, "xxhash64") as (points, scratch):
+        want = sorted(tuple(r) for r in points.select("h", "x0", "x1", "x2").collect())
+        cut = baselines.batches(points.withColumn("o", F.col("h")), ["x0", "x1", "x2"], len(blobs), size, scratch, "t")
+        got = [sorted(tuple(r) for r in b.select("h", "x0", "x1", "x2").collect()) for b in cut]
+    assert got == [want[i:i + size] for i in range(0, len(want), size)]
 
 
-def test_mini_batches_over_many_slices(spark, blobs, monkeypatch):
-    """Slices cut out singly or several at a time hold every row once per epoch."""
+def test_mini_batch_matches_running_means(spark, blobs):
     df = frame(spark, blobs, id=np.arange(len(blobs)))
-    with baselines._points(df, ["f0", "f1", "f2"], ["id"], 1, "xxhash64") as points:
-        rows = points.withColumn("slice", F.pmod("h", F.lit(9)))
-        scratch = Scratch(spark)
-        parts = [[r["h"] for r in part.collect()] for part in baselines._deal(rows, 9, scratch, "t")]
-        want = sorted(r["h"] for r in points.collect())
-        scratch.drop()
-    assert len(parts) == 9 and sorted(h for p in parts for h in p) == want
-    monkeypatch.setattr(baselines, "fits_bound", lambda rows, width: rows <= 150)
-    model = baselines.mini_batch_kmeans(
-        df, ["f0", "f1", "f2"], 4, 50, ["id"], init=blobs[[0, 250, 500, 750]], max_epochs=2, max_no_improvement=10**6)
-    assert 40 <= model.n_iter <= 60
-    assert np.abs(model.centers - brute_lloyd(blobs, np.ones(len(blobs)), blobs[[0, 250, 500, 750]], 20)).max() < 0.1
-
-
-def test_mixed_uniform_is_uniform():
-    u = mixed_uniform(np.arange(100_000), 3)
-    assert 0 < u.min() and u.max() < 1 and abs(u.mean() - 0.5) < 0.005
-    assert abs(np.corrcoef(u, mixed_uniform(np.arange(100_000), 4))[0, 1]) < 0.02
+    start = blobs[[0, 250, 500, 750]]
+    with baselines._points(df, ["f0", "f1", "f2"], ["id"], 3, "xxhash64") as (points, _):
+        rows = np.array(sorted([r["h"], r["x0"], r["x1"], r["x2"]] for r in points.collect()))[:, 1:]
+    centers, seen = start.copy(), np.zeros(4)
+    for at in range(0, 1000, 130):
+        part = rows[at:at + 130]
+        labels = brute_labels(part, centers)
+        for k in range(4):
+            own = part[labels == k]
+            if len(own):
+                seen[k] += len(own)
+                centers[k] += len(own) / seen[k] * (own.mean(axis=0) - centers[k])
+    model = baselines.mini_batch_kmeans(df, ["f0", "f1", "f2"], 4, 130, ["id"], seed=3, init=start, max_epochs=1,
+                                        max_no_improvement=10**6)
+    assert model.n_iter == 8 and np.allclose(model.centers, centers)
 
 
 def test_kmeans_pp_converges_to_a_fixed_point(spark, blobs):
@@ -264,13 +262,15 @@ def test_kmeans_pp_converges_to_a_fixed_point(spark, blobs):
     assert again.n_iter == 1 and np.allclose(again.centers, model.centers)
 
 
-@pytest.mark.parametrize("bounded", [True, False])
-def test_mini_batch(spark, blobs, monkeypatch, bounded):
+@pytest.mark.parametrize("given", [True, False])
+def test_mini_batch(spark, blobs, given):
     df = frame(spark, blobs, id=np.arange(len(blobs)))
     start = blobs[[0, 250, 500, 750]]
-    if not bounded:
-        monkeypatch.setattr(baselines, "fits_bound", lambda rows, width: False)
-    model = baselines.mini_batch_kmeans(df, ["f0", "f1", "f2"], 4, 100, ["id"], seed=1, init=start)
+    model = baselines.mini_batch_kmeans(
+        df, ["f0", "f1", "f2"], 4, 100, ["id"], seed=1, init=start if given else None, init_size=500)
+    if not given:
+        assert len(model.centers) == 4
+        return
     exact = brute_lloyd(blobs, np.ones(len(blobs)), start, 20)
     assert np.abs(model.centers - exact).max() < 0.1
     assert model.distance_computations == 0.5 * 4 * 5 * 1000 + 4 * 100 * model.n_iter
@@ -284,12 +284,6 @@ def test_one_full_batch_is_one_lloyd_step(spark, blobs):
     assert np.allclose(model.centers, brute_lloyd(blobs, np.ones(len(blobs)), start, 1))
 
 
-def test_batch_state_round_trip():
-    state = BatchState(np.arange(6.0).reshape(3, 2), np.ones(3), 0.5, 4, 0.1, 0.05, 2, True)
-    back = BatchState.from_bytes(state.to_bytes(), 3)
-    assert np.array_equal(back.centers, state.centers) and (back.steps, back.stale, back.done) == (4, 2, True)
-
-
 def test_mixture_recovery(spark):
     df = gaussian_mixture(spark, 3, 2, 3000, seed=11)
     model = RecursiveKMeans(inputCols=["x0", "x1"], nClusters=3, maxIter=6, seed=1).fit(df)

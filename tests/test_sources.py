@@ -13,7 +13,7 @@ def test_csv_scan_types_and_suffix(spark, tmp_path):
     path = tmp_path / "set.csv"
     path.write_text("a,b,c\n1,x,2.5\n2,?,3\n")
     df = tables.read_csv(spark, str(path))
-    assert [t for _, t in df.dtypes] == ["int", "string", "double"]
+    assert [t for _, t in df.dtypes] == ["bigint", "string", "double"]
     assert tables.string_columns(df) == ["b"]
     x, y, name = tables.supervised_view(df)
     assert (x.columns, y.columns, name) == (["a", "b"], ["c"], "c")
@@ -179,3 +179,27 @@ def test_dataset_sweep(spark, tmp_path):
     row = got.first()
     assert (row["dataset"], row["instances"], row["dimensions"]) == ("toy", 120, 2)
     assert 0 < row["instance_ratio"] <= 1
+
+
+def test_csv_missing_texts_are_nulls(spark, tmp_path):
+    path = tmp_path / "gaps.csv"
+    path.write_text("a,b,c\n1,x,2.5\nNA,null,n/a\n3,?,NaN\n")
+    df = tables.read_csv(spark, str(path))
+    assert [t for _, t in df.dtypes] == ["bigint", "string", "double"]
+    assert [tuple(r) for r in df.orderBy("b").collect()] == [(None, None, None), (3, "?", None), (1, "x", 2.5)]
+    assert [t for _, t in tables.read_csv(spark, str(path), "a int, b string, c float").dtypes] == ["int", "string", "float"]
+
+
+def test_readers_reject_lines_of_another_width(spark, tmp_path):
+    header = "Time (seconds), Methane conc (ppm), Ethylene conc (ppm), sensor readings"
+    (tmp_path / "a.txt").write_text(header + "\n" + " ".join(["1.0"] * 20) + "\n")
+    with pytest.raises(Exception, match="must have 19 fields"):
+        text.read_sensor_text(spark, str(tmp_path / "a.txt")).collect()
+    (tmp_path / "b.txt").write_text("Day, Methane, Ethylene, readings\n" + " ".join(["1.0"] * 19) + "\n")
+    with pytest.raises(ValueError, match="different headers"):
+        text.read_sensor_text(spark, str(tmp_path))
+    for line in ("3,4,5", "6"):
+        path = tmp_path / "x.arff"
+        path.write_text(f"@relation r\n@attribute a numeric\n@attribute b numeric\n@data\n1,2\n{line}\n")
+        with pytest.raises(Exception):
+            text.read_arff(spark, str(path)).collect()
