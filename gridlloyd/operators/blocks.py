@@ -72,39 +72,41 @@ def largest_move(before: np.ndarray, after: np.ndarray) -> float:
     return float(np.sqrt(((after - before) ** 2).sum(axis=1)).max())
 
 
-def widest_ratio(batch: pa.RecordBatch, spread: np.ndarray, means: np.ndarray) -> np.ndarray:
-    """max over other clusters of (spread + spread) / centre distance, for (label, spread, mean) rows."""
-    own = batch.column(1).to_numpy(zero_copy_only=False)
-    worst = np.zeros(len(own))
-    for i, (s, mean) in enumerate(zip(own, batch.column(2).to_pylist())):
-        gap = np.sqrt(((means - np.array(mean)) ** 2).sum(axis=1))
-        ratio = np.divide(s + spread, gap, out=np.zeros(len(gap)), where=gap > 0)
+def widest_ratio(spread: np.ndarray, means: np.ndarray, other_spread: np.ndarray, other_means: np.ndarray) -> np.ndarray:
+    """max over the other clusters of (spread + spread) / centre distance, for each cluster."""
+    worst = np.zeros(len(spread))
+    for i, (s, mean) in enumerate(zip(spread, means)):
+        gap = np.sqrt(((other_means - mean) ** 2).sum(axis=1))
+        ratio = np.divide(s + other_spread, gap, out=np.zeros(len(gap)), where=gap > 0)
         worst[i] = ratio.max() if len(ratio) else 0.0
     return worst
 
 
-def label_distance_sums(rows: pa.StructArray, others: pa.StructArray) -> pa.RecordBatch:
-    """For each row of one block: its summed distance to the members of every label of another block."""
-    def matrix(items):
-        x = items.field("x")
-        return x.flatten().to_numpy(zero_copy_only=False).reshape(len(items), -1)
+def label_distance_sums(a: pa.RecordBatch, b: pa.RecordBatch) -> list[pa.RecordBatch]:
+    """For each row of one block its summed distance to the members of every label of the other block,
+    and the other way round. Blocks have the columns key, label and x."""
+    def matrix(block):
+        return block.column("x").flatten().to_numpy(zero_copy_only=False).reshape(block.num_rows, -1)
 
-    a, b = matrix(rows), matrix(others)
-    origin = b.mean(axis=0)
-    a, b = a - origin, b - origin
-    square = (a**2).sum(axis=1)[:, None] + (b**2).sum(axis=1)[None, :] - 2.0 * (a @ b.T)
+    x, y = matrix(a), matrix(b)
+    origin = y.mean(axis=0)
+    x, y = x - origin, y - origin
+    square = (x**2).sum(axis=1)[:, None] + (y**2).sum(axis=1)[None, :] - 2.0 * (x @ y.T)
     distance = np.sqrt(np.maximum(square, 0.0))
-    codes = others.field("label").dictionary_encode()
+    return [_sums_by_label(a, b, distance), _sums_by_label(b, a, distance.T)]
+
+
+def _sums_by_label(rows: pa.RecordBatch, others: pa.RecordBatch, distance: np.ndarray) -> pa.RecordBatch:
+    codes = others.column("label").dictionary_encode()
     names, index = codes.dictionary, codes.indices.to_numpy(zero_copy_only=False)
-    member = np.zeros((len(others), len(names)))
-    member[np.arange(len(others)), index] = 1.0
+    member = np.zeros((others.num_rows, len(names)))
+    member[np.arange(others.num_rows), index] = 1.0
     sums, counts = distance @ member, member.sum(axis=0).astype(np.int64)
-    repeat = np.repeat(np.arange(len(rows)), len(names))
-    cycle = np.tile(np.arange(len(names)), len(rows))
+    repeat = pa.array(np.repeat(np.arange(rows.num_rows), len(names)))
+    cycle = np.tile(np.arange(len(names)), rows.num_rows)
     return pa.RecordBatch.from_arrays(
-        [rows.field("key").take(pa.array(repeat)), rows.field("label").take(pa.array(repeat)),
-         names.take(pa.array(cycle)), pa.array(sums.ravel()), pa.array(counts[cycle])],
-        names=["key", "own", "other", "total", "n"])
+        [rows.column("key").take(repeat), rows.column("label").take(repeat), names.take(pa.array(cycle)),
+         pa.array(sums.ravel()), pa.array(counts[cycle])], names=["key", "own", "other", "total", "n"])
 
 
 def expected_mutual_information(size: int, others: np.ndarray, times: np.ndarray, total: int) -> float:

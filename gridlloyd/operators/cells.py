@@ -71,7 +71,7 @@ def with_cell_ordinal(
     found = located.select(cell).distinct().withColumn("__path", cell_path(F.col(cell), dims, depth))
     numbered = scratch.write(
         with_running_total(found, ["__path"], F.lit(1), scratch, ordinal).select(cell, ordinal), "ordinals")
-    return lookup(located, numbered, cell, numbered.count(), dims + 4)
+    return lookup(located, numbered, cell, numbered.count() * (dims + 4) * 8)
 
 
 def leaf_stats(df: DataFrame, features, depth: int, bounds=UNIT_BOUNDS) -> DataFrame:

@@ -1,29 +1,18 @@
-"""Lookup joins that stay balanced whatever the key distribution."""
+"""Lookup joins by proven size."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import fits_bound
-
-SALTS = 16
+from ..session import BOUNDED_BYTES
 
 
-def lookup(
-    df: DataFrame, table: DataFrame, key: str, rows: int, doubles_per_row: int,
-    ids: Sequence[str] | None = None, how: str = "left",
-) -> DataFrame:
-    """Join a lookup table with unique keys.
+def lookup(df: DataFrame, table: DataFrame, key: str, table_bytes: int, how: str = "left") -> DataFrame:
+    """Join a lookup table with unique keys, ``table_bytes`` being the size of its values.
 
-    A table of proven small size is broadcast. A larger one is joined by shuffle on (key, salt): each
-    of its rows is repeated for every salt, so that a key holding a large share of ``df`` is spread
-    over ``SALTS`` tasks. The salt is a hash of ``ids``, by default of the whole row.
+    A table of proven small size is broadcast. A larger one meets the rows in a sort-merge join; there
+    Spark splits the partitions of keys that hold a large share of ``df`` (adaptive skew join).
     """
-    if fits_bound(rows, doubles_per_row):
-        return df.join(F.broadcast(table), key, how)
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*(ids or df.columns)), F.lit(SALTS)))
-    spread = table.withColumn("__salt", F.explode(F.array([F.lit(i).cast("bigint") for i in range(SALTS)])))
-    return salted.join(spread, [key, "__salt"], how).drop("__salt")
+    small = table_bytes <= BOUNDED_BYTES
+    return df.join(F.broadcast(table) if small else table.hint("shuffle_merge"), key, how)

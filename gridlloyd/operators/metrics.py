@@ -1,13 +1,13 @@
 """Cluster quality: internal metrics, agreement between two labelings, and relative errors.
 
 Rows are only ever aggregated (per cluster, per label pair); what reaches the driver is a handful of
-scalars, or cluster centres within the size bound.
+scalars.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 import numpy as np
@@ -17,16 +17,18 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.storagelevel import StorageLevel
 
 from ..functions.vectors import feature_columns
-from ..session import BOUNDED_BYTES, fits_bound
 from .blocks import expected_mutual_information, label_distance_sums, widest_ratio
 from .joins import lookup
 from .lloyd import as_centers, assign
 
 #: Rows per block of the exact silhouette.
 SILHOUETTE_BLOCK_ROWS = 4096
+#: Bytes of raw doubles in a group of rows that is compared with other groups in one task.
+GROUP_BYTES = 64 * 1024 * 1024
 #: Widest vectors whose statistics are unrolled into one expression per dimension.
 UNROLLED_DIMS = 16
 
@@ -106,7 +108,7 @@ def davies_bouldin(df: DataFrame, features, label: str) -> float:
         if k < 2:
             raise ValueError("needs at least 2 clusters")
         rows = df.select(F.col(label).alias("label"), F.array(*xs).alias("x"))
-        joined = lookup(rows.where(F.col("label").isNotNull()), p.select("label", "mean"), "label", k, d + 1, how="inner")
+        joined = lookup(rows.where(F.col("label").isNotNull()), p.select("label", "mean"), "label", k * (d + 9) * 8, how="inner")
         if d <= UNROLLED_DIMS:
             at = lambda name, j: F.get(F.col(name), F.lit(j))
             gap = sum(((at("x", j) - at("mean", j)) ** 2 for j in range(1, d)), (at("x", 0) - at("mean", 0)) ** 2)
@@ -119,56 +121,73 @@ def davies_bouldin(df: DataFrame, features, label: str) -> float:
 
 
 def _mean_worst_ratio(spread: DataFrame, k: int, d: int) -> float:
-    """Every centre against all others: one broadcast chunk of bounded size after the other."""
-    chunks = max(1, math.ceil(k * (d + 1) * 8 / BOUNDED_BYTES))
-    bucket = F.pmod(F.xxhash64("label"), F.lit(chunks))
-    frames = []
-    for c in range(chunks):
-        part = spread.where(bucket == c).select("spread", "mean").collect() if chunks > 1 else \
-            spread.select("spread", "mean").collect()
-        table = spread.sparkSession.sparkContext.broadcast(
-            (np.array([r["spread"] for r in part]), np.array([r["mean"] for r in part]).reshape(-1, d)))
-
-        def against(batches: Iterable[pa.RecordBatch], table=table) -> Iterable[pa.RecordBatch]:
-            for batch in batches:
-                worst = widest_ratio(batch, *table.value)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(worst)], names=["label", "worst"])
-
-        label_type = spread.schema["label"].dataType.simpleString()
-        frames.append(spread.mapInArrow(against, f"label {label_type}, worst double"))
-    worst = frames[0]
-    for frame in frames[1:]:
-        worst = worst.unionByName(frame)
-    return worst.groupBy("label").agg(F.max("worst").alias("worst")).agg(F.avg("worst")).first()[0]
+    """Every centre against all others, group by group."""
+    label_type = spread.schema["label"].dataType.simpleString()
+
+    def worst(key: tuple, table: pa.Table) -> pa.Table:
+        sides = _sides(table)
+        if len(sides) == 1 and key[0].as_py() != key[1].as_py():
+            return table.select(["label"]).append_column("worst", pa.array(np.zeros(table.num_rows)))
+        spreads = [s.column("spread").to_numpy() for s in sides]
+        means = [np.array(s.column("mean").to_pylist()).reshape(-1, d) for s in sides]
+        found = [widest_ratio(spreads[i], means[i], spreads[-1 - i], means[-1 - i]) for i in range(len(sides))]
+        return pa.table({"label": pa.chunked_array([c for s in sides for c in s.column("label").chunks], table.column("label").type),
+                         "worst": np.concatenate(found)})
+
+    groups = _group_count(spread, k, d + 1)
+    ratios = _paired(spread, [F.col("label")], groups).groupBy("p", "q").applyInArrow(worst, f"label {label_type}, worst double")
+    return ratios.groupBy("label").agg(F.max("worst").alias("worst")).agg(F.avg("worst")).first()[0]
+
+
+def _group_count(df: DataFrame, rows: int, doubles_per_row: int) -> int:
+    """Groups into which rows are hashed to be compared pairwise: enough that all cores have a pair and
+    that a group stays within ``GROUP_BYTES``."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(-(-rows // SILHOUETTE_BLOCK_ROWS), max(
+        math.ceil(math.sqrt(2 * cores)), math.ceil(rows * doubles_per_row * 8 / GROUP_BYTES))))
+
+
+def _paired(df: DataFrame, ids: Sequence[Column], groups: int) -> DataFrame:
+    """Every row once for each pair (p, q), p <= q, that its group ``g`` is in."""
+    mine = df.withColumn("g", F.pmod(F.xxhash64(*ids), F.lit(groups)).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
+    return mine.withColumn("h", other).withColumns({"p": F.least("g", "h"), "q": F.greatest("g", "h")}).drop("h")
+
+
+def _sides(table: pa.Table) -> list[pa.Table]:
+    """The rows of the one or two groups of a pair."""
+    g = table.column("g").to_numpy()
+    return [table.filter(pa.array(g == i)) for i in np.unique(g)]
 
 
 def silhouette_samples(df: DataFrame, features, label: str, ids: Sequence[str]) -> DataFrame:
     """(ids.., label, silhouette) per row: exact, Euclidean, quadratic in the number of rows.
 
-    Rows are hashed into blocks of about ``SILHOUETTE_BLOCK_ROWS``. Each task takes pairs of blocks
-    and returns, per row and label, the sum of its distances - never the distances themselves. ``ids``
-    must identify a row.
+    Rows are hashed into G groups and copied G times, to every pair of groups. A pair is compared block
+    by block, each distance being computed once for both of its rows, and returns per row and label the
+    sum of its distances - never the distances themselves. ``ids`` must identify a row.
     """
     xs = feature_columns(df, features)
-    n = df.count()
-    blocks = max(1, -(-n // SILHOUETTE_BLOCK_ROWS))
-    rows = df.select(
-        F.pmod(F.xxhash64(*ids), F.lit(blocks)).cast("int").alias("block"),
-        F.struct(F.struct(*ids).alias("key"), F.col(label).alias("label"), F.array(*xs).alias("x")).alias("row"))
-    packed = rows.groupBy("block").agg(F.collect_list("row").alias("rows"))
-    left = packed.select("rows", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    pairs = left.join(packed.withColumnRenamed("rows", "others"), "block").select("rows", "others")
-    key_type = df.select(F.struct(*ids)).schema[0].dataType.simpleString()
-    label_type = df.schema[label].dataType.simpleString()
-
-    def sums(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                yield label_distance_sums(batch.column(0)[i].values, batch.column(1)[i].values)
+    groups = _group_count(df, df.count(), len(xs) + 4)
+    rows = df.select(F.struct(*ids).alias("key"), F.col(label).alias("label"), F.array(*xs).alias("x"))
+    key_type, label_type = (rows.schema[c].dataType.simpleString() for c in ("key", "label"))
+
+    schema = pa.schema([("key", to_arrow_type(rows.schema["key"].dataType)), *[
+        (c, to_arrow_type(rows.schema["label"].dataType)) for c in ("own", "other")], ("total", pa.float64()), ("n", pa.int64())])
+
+    def sums(key: tuple, table: pa.Table) -> pa.Table:
+        sides = [[x for b in s.to_batches() for x in _blocks(b)] for s in _sides(table)]
+        made, own = [], key[0].as_py() == key[1].as_py()
+        for i, a in enumerate(sides[0]):
+            if own:
+                made.append(label_distance_sums(a, a)[0])
+            for b in sides[0][i + 1:] if own else sides[1] if len(sides) == 2 else []:
+                made += label_distance_sums(a, b)
+        return pa.Table.from_batches(made) if made else schema.empty_table()
 
     layout = f"key {key_type}, own {label_type}, other {label_type}, total double, n bigint"
     per_label = (
-        pairs.mapInArrow(sums, layout)
+        _paired(rows, [F.col(f"key.{c}") for c in ids], groups).groupBy("p", "q").applyInArrow(sums, layout)
         .groupBy("key", "own", "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n")))
     mine = F.col("own") == F.col("other")
     per_row = per_label.groupBy("key", "own").agg(
@@ -179,6 +198,10 @@ def silhouette_samples(df: DataFrame, features, label: str, ids: Sequence[str])
     return per_row.select("key.*", F.col("own").alias(label), score.alias("silhouette"))
 
 
+def _blocks(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
+    return [batch.slice(i, SILHOUETTE_BLOCK_ROWS) for i in range(0, batch.num_rows, SILHOUETTE_BLOCK_ROWS)]
+
+
 def silhouette(df: DataFrame, features, label: str, ids: Sequence[str]) -> float:
     """Mean exact silhouette."""
     return silhouette_samples(df, features, label, ids).agg(F.avg("silhouette")).first()[0]

@@ -21,7 +21,7 @@ from pyspark.sql.types import NumericType, StringType
 from pyspark.storagelevel import StorageLevel
 
 from ..functions.randomness import keyed_hash
-from ..session import Scratch, fits_bound
+from ..session import BOUNDED_BYTES, Scratch
 from .joins import lookup
 from .sampling import with_running_total
 
@@ -31,7 +31,7 @@ SCALE_OPTIONS = ("min-max", "standardisation", "stardardisation", "mean", "unit"
 IMPUTE_OPTIONS = ("most_frequent", "median", "mean", "constant", "random", "linear_regression", "logistic_regression")
 MISSING = "?"
 
-_DICTIONARY_WIDTH = 16  # generous size of a dictionary row, in doubles, for the broadcast check
+_ENTRY_BYTES = 64  # of a dictionary row, besides its text
 
 
 # ---------------------------------------------------------------- scalers
@@ -108,6 +108,7 @@ def column_facts(table: DataFrame) -> dict[str, dict]:
     rows = (
         table.join(F.broadcast(observed), "column").groupBy("column").agg(
             F.count(F.lit(1)).alias("size"), F.first("m").alias("m"),
+            F.sum(F.octet_length("value") + _ENTRY_BYTES).alias("bytes"),
             F.max(F.when(~seen, F.col("code"))).alias("missing"),
             F.min_by("code", F.when(seen, F.struct(-F.col("n"), F.col("code")))).alias("most_frequent"),
             (F.sum(F.when(seen, F.col("code") * F.col("n"))) / F.first("m")).alias("mean"),
@@ -117,13 +118,12 @@ def column_facts(table: DataFrame) -> dict[str, dict]:
     return {row["column"]: row.asDict() for row in rows}
 
 
-def encode_column(df: DataFrame, table: DataFrame, column: str, size: int, by_number: bool = False,
-                  ids: Sequence[str] | None = None) -> DataFrame:
-    """Replace a column by its code."""
+def encode_column(df: DataFrame, table: DataFrame, column: str, table_bytes: int, by_number: bool = False) -> DataFrame:
+    """Replace a column by its code; ``table_bytes`` is the size of its dictionary."""
     key = F.col(column).cast("double") if by_number else F.coalesce(F.col(column).cast("string"), F.lit(MISSING))
     entries = table.where(F.col("column") == column).select(
         F.col("number" if by_number else "value").alias("__key"), F.col("code").alias("__code"))
-    joined = lookup(df.withColumn("__key", key), entries, "__key", size, _DICTIONARY_WIDTH, ids)
+    joined = lookup(df.withColumn("__key", key), entries, "__key", table_bytes)
     return joined.select(*[F.col("__code").alias(c) if c == column else F.col(c) for c in df.columns])
 
 
@@ -150,7 +150,7 @@ def impute_random(df: DataFrame, table: DataFrame, column: str, facts: dict, ids
         "__bucket", F.floor(F.col("__rank") / width))
     inside = [F.col("a.__bucket") == F.col("b.__bucket"), F.col("__rank") >= F.col("__lo"), F.col("__rank") < F.col("__hi")]
     filled = [F.coalesce("__draw", c).alias(c) if c == column else F.col(f"a.{c}") for c in df.columns]
-    if fits_bound(5 * size + 4, _DICTIONARY_WIDTH):
+    if (5 * size + 4) * _ENTRY_BYTES <= BOUNDED_BYTES:
         return rows.alias("a").join(F.broadcast(ranges.alias("b")), inside, "left").select(*filled)
     drawn = rows.where(F.col("__rank").isNotNull()).alias("a").join(ranges.alias("b"), inside).select(*filled)
     return rows.where(F.col("__rank").isNull()).select(*df.columns).unionByName(drawn)
@@ -197,7 +197,7 @@ class Preparer:
             model.table = dictionary(histogram(df, coded, numeric), model.scratch)
             model.facts = column_facts(model.table)
         if self.categorical == "onehot" and strings:
-            if not fits_bound(sum(model.facts[c]["size"] for c in strings), _DICTIONARY_WIDTH):
+            if sum(model.facts[c]["bytes"] for c in strings) > BOUNDED_BYTES:
                 raise ValueError("too many distinct values to turn each into a column; use categorical='int'")
             rows = model.table.where(F.col("column").isin(strings)).select("column", "value", "code").collect()
             for row in sorted(rows, key=lambda r: (r["column"], r["code"])):
@@ -268,7 +268,7 @@ class PreparedModel:
     def _encode(self, df: DataFrame) -> DataFrame:
         if self.plan.categorical == "int":
             for c in self.strings:
-                df = encode_column(df, self.table, c, self.facts[c]["size"], ids=list(self.plan.ids) or None)
+                df = encode_column(df, self.table, c, self.facts[c]["bytes"])
         else:
             out = []
             for c in df.columns:
@@ -304,8 +304,7 @@ class PreparedModel:
             out = self._apply(out, step)
         target = self.plan.target
         if target and target in df.columns:
-            out = encode_column(out, self.table, target, self.facts[target]["size"], self.numeric_target,
-                                list(self.plan.ids) or None)
+            out = encode_column(out, self.table, target, self.facts[target]["bytes"], self.numeric_target)
         return out
 
     @property

@@ -71,9 +71,8 @@ def test_davies_bouldin(sample, monkeypatch, chunked, unrolled):
     x, y, df = sample
     monkeypatch.setattr(metrics, "UNROLLED_DIMS", unrolled)
     if chunked:
-        monkeypatch.setattr(metrics, "BOUNDED_BYTES", 40)
-        monkeypatch.setattr(metrics, "fits_bound", lambda *_: False)
-        monkeypatch.setattr(joins, "fits_bound", lambda *_: False)
+        monkeypatch.setattr(metrics, "SILHOUETTE_BLOCK_ROWS", 1)
+        monkeypatch.setattr(joins, "BOUNDED_BYTES", 0)
     c = np.array([x[y == k].mean(0) for k in range(3)])
     s = np.array([np.sqrt(((x[y == k] - c[k]) ** 2).sum(1)).mean() for k in range(3)])
     want = np.mean([max((s[i] + s[j]) / np.linalg.norm(c[i] - c[j]) for j in range(3) if j != i) for i in range(3)])

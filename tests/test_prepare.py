@@ -39,7 +39,7 @@ def test_mode_tie_takes_smallest_and_median_averages(spark):
 @pytest.mark.parametrize("broadcast", [True, False])
 def test_random_imputation_draws_observed_values_in_proportion(spark, monkeypatch, broadcast):
     if not broadcast:
-        monkeypatch.setattr(prepare, "fits_bound", lambda *_: False)
+        monkeypatch.setattr(prepare, "BOUNDED_BYTES", 0)
     items = ["?", "a", "?", "b", "?", "b", "?", "b"] * 300
     df = column(spark, items)
     plan = Preparer(scale="none", impute="random", ids=["id"], seed=3)
@@ -110,18 +110,18 @@ def test_target_is_encoded_by_number(spark):
     assert values(model.transform(df), "y") == [1, 0, 2] and model.n_targets == 3
 
 
-def test_large_dictionary_joins_by_salted_shuffle(spark, monkeypatch):
+def test_large_dictionary_joins_by_shuffle(spark, monkeypatch):
     items = ["hot"] * 500 + [f"v{i:03d}" for i in range(200)]
     df = column(spark, items)
     want = values(Preparer(scale="none", ids=["id"]).fit(df).transform(df), "v")
-    monkeypatch.setattr(joins, "fits_bound", lambda *_: False)
+    monkeypatch.setattr(joins, "BOUNDED_BYTES", 0)
     assert values(Preparer(scale="none", ids=["id"]).fit(df).transform(df), "v") == want
     ranks = {v: i for i, v in enumerate(sorted(set(items)))}
     assert want == [ranks[i] for i in items]
 
 
 def test_one_hot_refuses_unbounded_columns(spark, monkeypatch):
-    monkeypatch.setattr(prepare, "fits_bound", lambda *_: False)
+    monkeypatch.setattr(prepare, "BOUNDED_BYTES", 0)
     with pytest.raises(ValueError, match="too many distinct values"):
         Preparer(categorical="onehot", ids=["id"]).fit(column(spark, ["a", "b"]))
 
