@@ -10,7 +10,8 @@ windows of a text that share an anchor follow one another and make a bundle. The
    core occurs nowhere else holds no repeated window;
 2. the span, all bytes of the bundle with the anchor's place in it: in bundles of equal spans every
    window is repeated;
-3. for what is left, each window's own bytes: equal groups are exactly the repeated windows.
+3. for what is left, the ends of repeated runs, each window's own bytes, compared among the bundles of
+   one core: equal groups are exactly the repeated windows.
 
 Digits are compared by 64-bit hashes; as a group agrees in its core and in its span or window, 128 bits
 have to agree before bytes are removed.
@@ -36,7 +37,11 @@ _CHUNK = 2 << 20
 #: Rows of whole groups that a task sorts out at a time, more only if one group has more.
 _ROWS = 500_000
 _PLACE_BITS = 24
-_OPEN, _REPEATED, _PARTNER = 1, 0, 2
+_REPEATED, _OPEN, _PARTNER, _HOT = 0, 1, 2, 1
+#: Rows of a hot core that are compared in one task before the rest of its windows are counted together.
+_DEAL_ROWS = 20_000
+#: Bytes of bundles that a task compares at a time, more only if one group has more.
+_PART_BYTES = 8 << 20
 
 
 def _lowest(keys: np.ndarray, width: int) -> np.ndarray:
@@ -137,12 +142,14 @@ def sort_bundles(table: DataFrame, id_type: str) -> DataFrame:
     known = F.broadcast(common.select("core", "span", F.lit(True).alias("known")))  # no longer than the list
     told = table.join(known, ["core", "span"], "left")
     whole = told.where("known").select("id", "hash", "core", "place")
-    rest = told.where("known is null").select("id", "hash", "core", "span", "place", F.lit(False).alias("partner"))
-    rest = rest.unionByName(common.select("id", "hash", "core", "span", "place", F.lit(True).alias("partner")))
+    rest = told.where("known is null").select("id", "hash", "core", "span", "place")
+    rest = rest.unionByName(common.select("id", "hash", "core", "span", F.col("place").bitwiseOR(F.lit(_PARTNER)).alias("place")))
     cores = _listed(_frequent(table, "core"), "core", table)
-    dealt = rest.join(cores, "core", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    dealt = dealt.withColumn("__deal", F.when(F.col("hot"), F.col("span")).otherwise(F.lit(0).cast("bigint")))
-    dealt = dealt.repartition("core", "__deal").sortWithinPartitions("core", "span").drop("__deal")
+    dealt = rest.join(cores, "core", "left").select("id", "hash", "core", "span", F.when(
+        F.col("hot"), F.col("place").bitwiseOR(F.lit(_HOT))).otherwise(F.col("place")).alias("place"))
+    is_hot = F.col("place").bitwiseAND(F.lit(_HOT)) != 0
+    dealt = dealt.repartition("core", F.when(is_hot, F.col("span")).otherwise(F.lit(0).cast("bigint")))
+    dealt = dealt.sortWithinPartitions("core", "span")
 
     def run(batches):
         held = []
@@ -165,7 +172,7 @@ def sort_bundles(table: DataFrame, id_type: str) -> DataFrame:
 def _kinds(rows: pa.RecordBatch):
     """Tell the kinds of bundles sorted by core and span."""
     core, span, place = (rows.column(c).to_numpy() for c in ("core", "span", "place"))
-    partner, hot = (rows.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("partner", "hot"))
+    partner, hot, place = place & _PARTNER != 0, place & _HOT != 0, place & ~3
     if not len(core):
         return
     new_core = np.concatenate([[True], core[1:] != core[:-1]])
@@ -205,7 +212,7 @@ _RESULT = "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string,
 
 def _result(cuts, keep_bytes: bool):
     return [*(pa.array([c[i] for c in cuts], pa.int64()) for i in range(3)),
-            pa.array([c and sha256(c[3]).hexdigest() for c in cuts], pa.string()),
+            pa.array([None if c[3] is None else sha256(c[3]).hexdigest() for c in cuts], pa.string()),
             pa.array([c[3] if keep_bytes else None for c in cuts], pa.binary())]
 
 
@@ -233,32 +240,27 @@ def remove_repeats(df: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text
     with_lists = hashed.join(lists, _same(hashed, lists, doc_id), "left").drop("__id", "__text_hash")
 
     def first_cut(part: pa.RecordBatch):
-        """The result of texts without open bundles; the windows of open bundles and partners of the others."""
-        cuts, windows, raws = [], [], []
+        """The result of texts without open bundles; the bytes of open bundles and partners of the others."""
+        cuts, parts, raws = [], [], []
         for value, whole, opened in zip(raw_texts(part.column(text)), part.column("__whole").to_pylist(),
                                         part.column("__open").to_pylist()):
             waits = any(o["place"] & 3 == _OPEN for o in opened or ())
-            windows.append(_windows(value, opened or [], depth))
             place = np.array(whole or [], "int64")
             cuts.append((None,) * 4 if waits else _cut(value, place >> 20, (place >> 2) & 0x3FFFF, depth))
             raws.append(value if waits else None)
-        made = [pa.array([c[i] for c in cuts], pa.int64()) for i in range(3)]
-        sums = [None if c[3] is None else sha256(c[3]).hexdigest() for c in cuts]
-        return [*made, pa.array(sums, pa.string()), pa.array([c[3] if keep_bytes else None for c in cuts], pa.binary()),
-                pa.array(raws, pa.binary()), *[_lists([w[i] for w in windows]) for i in range(3)]]
+            parts.append([{"place": o["place"], "core": o["core"], "bytes": value[
+                o["place"] >> 20:(o["place"] >> 20) + (o["place"] >> 2 & 0x3FFFF) - 1 + depth]} for o in opened or ()])
+        kind = pa.struct([("place", pa.int64()), ("core", pa.int64()), ("bytes", pa.binary())])
+        return [*_result(cuts, keep_bytes), pa.array(raws, pa.binary()), pa.array(parts, pa.list_(kind))]
 
     staged = scratch.write(map_columns(
-        with_lists, text, f"{_RESULT}, __raw binary, __at array<bigint>, __own array<bigint>, __core array<bigint>",
+        with_lists, text, f"{_RESULT}, __raw binary, __parts array<struct<place: bigint, core: bigint, bytes: binary>>",
         first_cut, drop=["__open", *([] if keep_bytes else [text])], with_batch=True), "first-cut")
 
-    windows = staged.where(F.size("__at") > 0).select(
-        F.col(doc_id).alias("id"), F.col("__hash").alias("hash"),
-        F.explode(F.arrays_zip("__at", "__own", "__core")).alias("w")).select(
-        "id", "hash", F.col("w.__at").alias("at"), F.col("w.__own").alias("own"), F.col("w.__core").alias("core"))
-    groups = windows.groupBy("core", "own").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    asked = windows.where("at >= 0")
-    found = join_unique(asked, groups, ["core", "own"], "m", max(windows.count(), 1), ["hash", "at"], how="inner")
-    marks = found.groupBy(F.col("id").alias("__id"), F.col("hash").alias("__text_hash")).agg(F.collect_list("at").alias("__marks"))
+    parts = staged.where(F.size("__parts") > 0).select(
+        F.col(doc_id).alias("id"), F.col("__hash").alias("hash"), F.inline("__parts"))
+    marks = repeated_windows(parts, scratch, depth, id_type).groupBy(
+        F.col("id").alias("__id"), F.col("hash").alias("__text_hash")).agg(F.collect_list("place").alias("__marks"))
 
     waiting = staged.where("__raw is not null")
     both = waiting.join(marks, _same(waiting, marks, doc_id), "left")
@@ -267,28 +269,90 @@ def remove_repeats(df: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text
         cuts = []
         for value, whole, marked in zip(raw_texts(part.column("__raw")), part.column("__whole").to_pylist(),
                                         part.column("__marks").to_pylist()):
-            place, at = np.array(whole or [], "int64"), np.array(marked or [], "int64")
-            cuts.append(_cut(value, np.concatenate([place >> 20, at]),
-                             np.concatenate([(place >> 2) & 0x3FFFF, np.ones(len(at), "int64")]), depth))
+            place = np.array([*(whole or []), *(marked or [])], "int64")
+            cuts.append(_cut(value, place >> 20, (place >> 2) & 0x3FFFF, depth))
         return _result(cuts, keep_bytes)
 
     done = map_columns(both, "__raw", _RESULT, second_cut, with_batch=True)
-    names = without(done, ["__id", "__text_hash", "__hash", "__raw", "__whole", "__at", "__own", "__core", "__marks"])
+    names = without(done, ["__id", "__text_hash", "__hash", "__raw", "__whole", "__parts", "__marks"])
     return staged.where("__raw is null").select(*names).unionByName(done.select(*names))
 
 
-def _windows(value: bytes, opened: list, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First byte, hash and core of the windows of open bundles; partners have -1 for the first byte."""
-    if not opened:
-        return (np.zeros(0, "int64"),) * 3
-    place = np.array([o["place"] for o in opened], "int64")
-    count = (place >> 2) & 0x3FFFF
-    core = np.repeat(np.array([o["core"] for o in opened], "int64"), count)
-    at = np.repeat(place >> 20, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    own = RangeHashes(np.frombuffer(value, "uint8"))(at, at + depth).view("int64")
-    return np.where(np.repeat(place & 3, count) == _OPEN, at, -1), own, core
+def repeated_windows(parts: DataFrame, scratch: Scratch, depth: int, id_type: str) -> DataFrame:
+    """The repeated windows of bundles given with their bytes: ``id``, ``hash``, ``place`` of runs of them.
+
+    Bundles of one core meet in a task. A core that holds a large share of all is dealt over several: each
+    finds the windows that repeat among its own rows, and then one row for each window a task has seen is
+    counted over all tasks.
+    """
+    total = parts.count()
+    counted = parts.groupBy("core").agg(F.count(F.lit(1)).alias("rows"))
+    hot = F.broadcast(counted.where(F.col("rows") * HOT_SHARE > total).where(F.col("rows") > _DEAL_ROWS))
+    hands = F.ceil(F.col("rows") / _DEAL_ROWS)
+    deal = F.when(F.col("rows").isNull(), F.lit(-1).cast("bigint")).otherwise(F.pmod(F.xxhash64("hash", "place"), hands))
+    dealt = parts.join(hot, "core", "left").select("id", "hash", "place", "core", "bytes", deal.alias("deal"))
+    dealt = dealt.repartition("core", "deal").sortWithinPartitions("core", "deal")
 
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            for rows in slices(batch, "bytes", _PART_BYTES):
+                held.append(rows)
+                size += rows.nbytes
+                if size < _PART_BYTES:
+                    continue
+                table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                starts = _group_starts(table)
+                cut = int(starts[-1])  # the last group may go on
+                if cut:
+                    yield from _compare(table.slice(0, cut), starts[:-1], depth)
+                held = [table.slice(cut)]
+                size = held[0].nbytes if cut else size
+        if held:
+            table = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            if table.num_rows:
+                yield from _compare(table, _group_starts(table), depth)
 
-def _lists(parts: list[np.ndarray]) -> pa.ListArray:
-    ends = np.cumsum([0, *map(len, parts)])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts)))
+    found = scratch.write(
+        dealt.mapInArrow(run, f"id {id_type}, hash bigint, place bigint, core bigint, own bigint"), "windows")
+    asked = found.where("own is not null")
+    groups = asked.groupBy("core", "own").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    late = join_unique(asked, groups, ["core", "own"], "m", max(asked.count(), 1), ["hash", "place"], how="inner")
+    return found.where("own is null").select("id", "hash", "place").unionByName(late.select("id", "hash", "place"))
+
+
+def _group_starts(rows: pa.RecordBatch) -> np.ndarray:
+    core, deal = rows.column("core").to_numpy(), rows.column("deal").to_numpy()
+    return np.concatenate([[0], np.flatnonzero((core[1:] != core[:-1]) | (deal[1:] != deal[:-1])) + 1])
+
+
+def _compare(rows: pa.RecordBatch, starts: np.ndarray, depth: int):
+    """Runs of windows that repeat within a group; for dealt groups also one row per distinct window."""
+    place = rows.column("place").to_numpy()
+    count = (place >> 2) & 0x3FFFF
+    data, begins, _ = joined(rows.column("bytes").to_pylist())
+    row = np.repeat(np.arange(len(count)), count)
+    step = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    own = RangeHashes(data)(begins[row] + step, begins[row] + step + depth).view("int64")
+    group = np.searchsorted(starts, row, "right") - 1
+    order = np.lexsort((own, group))
+    new = np.concatenate([[True], (own[order][1:] != own[order][:-1]) | (group[order][1:] != group[order][:-1])])
+    size = np.diff(np.append(np.flatnonzero(new), len(order)))
+    times = np.empty(len(order), "int64")
+    times[order] = np.repeat(size, size)
+    hit = times > 1
+    begin = np.flatnonzero(hit & np.concatenate([[True], ~hit[:-1] | (row[1:] != row[:-1])]))
+    end = np.flatnonzero(hit & np.concatenate([~hit[1:] | (row[1:] != row[:-1]), [True]])) + 1
+    where = _pack((place[row[begin]] >> 20) + step[begin], end - begin)
+    yield _found(rows, row[begin], where, None)
+    chosen = order[new]
+    chosen = chosen[rows.column("deal").to_numpy()[row[chosen]] >= 0]
+    if len(chosen):
+        yield _found(rows, row[chosen], _pack((place[row[chosen]] >> 20) + step[chosen], np.ones(len(chosen), "int64")), own[chosen])
+
+
+def _found(rows: pa.RecordBatch, at: np.ndarray, place: np.ndarray, own: np.ndarray | None) -> pa.RecordBatch:
+    take = pa.array(at)
+    return pa.RecordBatch.from_arrays(
+        [rows.column("id").take(take), rows.column("hash").take(take), pa.array(place), rows.column("core").take(take),
+         pa.nulls(len(at), pa.int64()) if own is None else pa.array(own)], names=["id", "hash", "place", "core", "own"])
