@@ -90,8 +90,8 @@ def _encoder(content: bytes, dtype: str) -> Encoder:
 def _file(number: int, ids: np.ndarray, documents: pa.RecordBatch, length: int, per_batch: int) -> bytes:
     """One IPC file of the given ids."""
     rows = -(-len(ids) // length)
-    values, mask = np.zeros(rows * length, ids.dtype), np.zeros(rows * length, "uint8")
-    values[:len(ids)], mask[:len(ids)] = ids, 1
+    values, mask = np.zeros(rows * length, ids.dtype), np.arange(rows * length) < len(ids)
+    values[:len(ids)] = ids
     table = pa.BufferOutputStream()
     with pa.ipc.new_stream(table, documents.schema) as writer:
         writer.write_batch(documents)
@@ -150,11 +150,11 @@ def open_tokens(content: bytes | pa.Buffer) -> pa.ipc.RecordBatchFileReader:
     return pa.ipc.open_file(pa.py_buffer(content) if isinstance(content, bytes) else content)
 
 
-def sequence(reader: pa.ipc.RecordBatchFileReader, i: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and mask of sequence ``i`` as views of the file's bytes."""
+def sequence(reader: pa.ipc.RecordBatchFileReader, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+    """Ids and mask of sequence ``i`` as views of the file's bytes; the mask has a bit for each id."""
     size = reader.get_batch(0).num_rows
-    batch = reader.get_batch(i // size)
-    return tuple(c.slice(i % size, 1).flatten().to_numpy(zero_copy_only=True) for c in batch.columns)
+    ids, mask = (c.slice(i % size, 1).flatten() for c in reader.get_batch(i // size).columns)
+    return ids.to_numpy(zero_copy_only=True), mask
 
 
 def _documents(content: bytes, id_name: str):
@@ -165,8 +165,8 @@ def _documents(content: bytes, id_name: str):
     documents = pa.ipc.open_stream(meta[b"documents"]).read_all().to_batches()[0]
     ids = [np.zeros(0, "<u4")]
     for i in range(reader.num_record_batches):
-        values, mask = (c.flatten().to_numpy() for c in reader.get_batch(i).columns)
-        ids.append(values[mask == 1].astype("<u4"))
+        values, mask = (c.flatten().to_numpy(zero_copy_only=False) for c in reader.get_batch(i).columns)
+        ids.append(values[mask].astype("<u4"))
     stream = np.concatenate(ids)
     counts = documents.column(1).to_numpy()
     ends = np.cumsum(counts)
