@@ -13,6 +13,7 @@ import tiktoken
 import xxhash
 from tokenizers import Tokenizer
 
+from gridlloyd.llm import quality
 from gridlloyd.llm.byte_bpe import read_ranks
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -186,3 +187,54 @@ def clean_lines_of_others(docs):
 
 def line_dedup(docs):
     return [(i, n, dropped, sha(text.encode())) for i, n, dropped, text in clean_lines_of_others(docs)]
+
+
+def _line_gone(line):
+    words = re.findall(r"[^\x20\x09-\x0D]+", line)
+    low = lower(line.encode()).decode()
+    if any(p in low for p in (*quality.BOILERPLATE, "{", "}")):
+        return True
+    if len(re.findall(r"[ \t\x0b\x0c\r][|»>•·/][ \t\x0b\x0c\r]", low)) > 1:
+        return True
+    padded = f" {low} "
+    furniture = any(re.search(f"[^a-z0-9]{re.escape(p)}[^a-z0-9]", padded) for p in quality.NAVIGATION)
+    return len(words) < quality.SHORT_LINE and (words[-1][-1] not in quality.SENTENCE_ENDS or furniture)
+
+
+def quality_stage(docs):
+    out = []
+    for row, base in zip(docs, quality_base(docs)):
+        lines = (row[1] or "").split("\n")
+        gone = [bool(re.search(r"[^\x20\x09-\x0D]", x)) and _line_gone(x) for x in lines]
+        lost = sum(len(re.sub(r"[\x20\x09-\x0D]", "", x)) for x, g in zip(lines, gone) if g)
+        if not base[-1] and 100 * lost <= 30 * base[2]:
+            out.append((row[0], "\n".join(x for x, g in zip(lines, gone) if not g)))
+    return out
+
+
+def near_dedup_stage(docs):
+    first = {}
+    for (i, text), (_, _, component) in sorted(zip(docs, simhash(docs)), key=lambda x: (x[0][0] is None, x[0][0] or 0)):
+        first.setdefault(component, (i, text))
+    return list(first.values())
+
+
+def decontaminate_stage(docs, items):
+    out = []
+    for (i, text), (words, hit, _) in zip(docs, hit_words(docs, items)):
+        if 100 * len(hit) > 50 * len(words):
+            continue
+        raw, kept, at = text.encode(), [], 0
+        places = [m.span() for m in re.finditer(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(raw))]
+        for k in sorted(hit):
+            if k - 1 not in hit:
+                kept.append(raw[at:places[k][0]])
+            at = places[k][1]
+        out.append((i, b"\n".join([*kept, raw[at:]]).decode()))
+    return out
+
+
+def pipeline(docs, items):
+    docs = quality_stage(docs)
+    docs = [(i, text) for i, _, _, text in clean_lines_of_others(docs)]
+    return codec(decontaminate_stage(near_dedup_stage(docs), items))
