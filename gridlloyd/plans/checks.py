@@ -354,7 +354,8 @@ def sql() -> dict[str, str]:
         "drop_columns": "SELECT s_suppkey, s_acctbal FROM supplier",
         "summary_stats": " UNION ALL ".join(
             f"SELECT '{c}' AS column, count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, "
-            f"min({c}) AS min, max({c}) AS max FROM lineitem" for c in q.LINE),
+            f"min({c}) AS min, " + ", ".join(f"round(quantile_cont({c}, {p}), 6) AS q{int(100 * p)}" for p in (0.25, 0.5, 0.75))
+            + f", max({c}) AS max FROM lineitem" for c in q.LINE),
         "calinski_harabasz": f"WITH {WIDE}, tot AS (SELECT j, avg(x) AS m FROM flat GROUP BY j) "
             "SELECT round((b / (k - 1)) / (w / (n - k)), 6) AS calinski_harabasz FROM "
             "(SELECT sum(n * (c - m) * (c - m)) AS b FROM cent JOIN tot USING (j)), "

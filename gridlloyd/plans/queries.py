@@ -477,7 +477,8 @@ def drop_columns(spark, sf_dir):
 @query
 def summary_stats(spark, sf_dir):
     stats = report.summary_stats(_table(spark, sf_dir, "lineitem"), list(LINE))
-    return stats.select("column", "count", _r("mean").alias("mean"), _r("std").alias("std"), "min", "max")
+    return stats.select("column", "count", _r("mean").alias("mean"), _r("std").alias("std"), "min",
+                        *[_r(c).alias(c) for c in ("q25", "q50", "q75")], "max")
 
 
 # ---------------------------------------------------------------- metrics

@@ -141,3 +141,16 @@ def test_formulas(spark):
     assert measures.kmeans_pp_distances(3, 100, 3.2) == pytest.approx(1560)
     assert measures.mini_batch_distances(3, 100, 100, 19) == 6300
     assert measures.kmeans_pp_distances(3, 150, 6) == 3600
+
+
+@pytest.mark.parametrize("few", [10_000, 5])
+def test_quantiles_are_exact(spark, monkeypatch, few):
+    from gridlloyd.operators import order_statistics
+
+    monkeypatch.setattr(order_statistics, "FEW_ROWS", few)
+    rng = np.random.default_rng(2)
+    values = np.concatenate([rng.normal(0, 1, 3000), np.full(2000, 0.25), rng.normal(0, 1e-9, 500), [1e6, -1e6]])
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double").repartition(4)
+    shares = [0.0, 0.01, 0.25, 0.5, 0.61, 0.75, 1.0]
+    assert np.allclose(order_statistics.quantiles(df, "v", shares), np.quantile(values, shares), rtol=0, atol=1e-12)
+    assert order_statistics.quantiles(df.where("v is null"), "v", [0.5]) == [None]
