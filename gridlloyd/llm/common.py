@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Bytes of text that a task works on at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: A key is hot if it holds more than one row in so many; hence there are fewer hot keys than this.
 HOT_SHARE = 1000
 _SALTS = 4096

@@ -6,12 +6,13 @@ import numpy as np
 
 #: Odd, so that it has an inverse modulo 2^64.
 MULTIPLIER = 0x9E3779B97F4A7C15
+_STEP = 1 << 18
 _POWERS: dict[str, np.ndarray] = {}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first powers of the multiplier and of its inverse modulo 2^64, at least n of each."""
-    size = 1 << max(n - 1, 1).bit_length()
+    size = -(-n // _STEP) * _STEP
     if len(_POWERS.get("up", ())) < size:
         for name, base in (("up", MULTIPLIER), ("down", pow(MULTIPLIER, -1, 1 << 64))):
             factors = np.full(size, base, "uint64")

@@ -14,7 +14,7 @@ import numpy as np
 import regex
 
 #: Entries a memo may have; beyond it is emptied. It only saves time.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 150_000
 _CUT = regex.compile(r"(?= \S)", regex.V1)
 _UNEVEN = re.compile(r" (?=\s|\Z)")
 #: Characters below this one are classified alike by every library.
