@@ -17,7 +17,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 from pyspark.storagelevel import StorageLevel
 
 from ..functions.vectors import feature_columns
@@ -172,8 +173,8 @@ def silhouette_samples(df: DataFrame, features, label: str, ids: Sequence[str])
     rows = df.select(F.struct(*ids).alias("key"), F.col(label).alias("label"), F.array(*xs).alias("x"))
     key_type, label_type = (rows.schema[c].dataType.simpleString() for c in ("key", "label"))
 
-    schema = pa.schema([("key", to_arrow_type(rows.schema["key"].dataType)), *[
-        (c, to_arrow_type(rows.schema["label"].dataType)) for c in ("own", "other")], ("total", pa.float64()), ("n", pa.int64())])
+    layout = f"key {key_type}, own {label_type}, other {label_type}, total double, n bigint"
+    schema = to_arrow_schema(StructType.fromDDL(layout))
 
     def sums(key: tuple, table: pa.Table) -> pa.Table:
         sides = [[x for b in s.to_batches() for x in _blocks(b)] for s in _sides(table)]
@@ -183,9 +184,8 @@ def silhouette_samples(df: DataFrame, features, label: str, ids: Sequence[str])
                 made.append(label_distance_sums(a, a)[0])
             for b in sides[0][i + 1:] if own else sides[1] if len(sides) == 2 else []:
                 made += label_distance_sums(a, b)
-        return pa.Table.from_batches(made) if made else schema.empty_table()
+        return pa.Table.from_batches(made).cast(schema) if made else schema.empty_table()
 
-    layout = f"key {key_type}, own {label_type}, other {label_type}, total double, n bigint"
     per_label = (
         _paired(rows, [F.col(f"key.{c}") for c in ids], groups).groupBy("p", "q").applyInArrow(sums, layout)
         .groupBy("key", "own", "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n")))

@@ -229,7 +229,7 @@ def test_batches_follow_the_hash_order(spark, blobs, monkeypatch, size, first):
     with baselines._points(df, ["f0", "f1", "f2"], ["id"], 1, "xxhash64") as (points, scratch):
         want = sorted(tuple(r) for r in points.select("h", "x0", "x1", "x2").collect())
         cut = baselines.batches(points.withColumn("o", F.col("h")), ["x0", "x1", "x2"], len(blobs), size, scratch, "t")
-        got = [sorted(tuple(r) for r in b.select("h", "x0", "x1", "x2").collect()) for b in cut]
+        got = [sorted(tuple(r) for r in b.select("h", "x0", "x1", "x2").collect()) for b, _ in cut]
     assert got == [want[i:i + size] for i in range(0, len(want), size)]
 
 

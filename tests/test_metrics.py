@@ -51,6 +51,8 @@ def test_silhouette_of_a_single_member_is_zero(spark):
     df = spark.createDataFrame([(0, 0.0, 0), (1, 1.0, 0), (2, 9.0, 1)], "id int, a double, y int")
     got = {r["id"]: r["silhouette"] for r in metrics.silhouette_samples(df, ["a"], "y", ["id"]).collect()}
     assert got[2] == 0.0 and got[0] > 0.8
+    numbered = df.select(F.monotonically_increasing_id().alias("row"), "a", "y")  # a key that cannot be null
+    assert metrics.silhouette_samples(numbered, ["a"], "y", ["row"]).count() == 3
 
 
 @pytest.mark.parametrize("unrolled", [16, 2])
