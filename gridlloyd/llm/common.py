@@ -90,7 +90,8 @@ def join_unique(left: DataFrame, right: DataFrame, keys: Sequence[str], weight:
     values = [c for c in right.columns if c not in keys]
     is_hot = F.col(weight) * HOT_SHARE > F.lit(total)
     hot = right.where(is_hot).select(*keys, F.struct(*values).alias("__hot"))
-    cold = right.where(~is_hot).select(*keys, F.struct(*values).alias("__cold"), F.lit(0).cast("long").alias("__salt"))
+    zero = F.when(F.col(weight) < 0, 1).otherwise(0).cast("long")  # not a literal: the salt has to stay a join key
+    cold = right.where(~is_hot).select(*keys, F.struct(*values).alias("__cold"), zero.alias("__salt"))
     dealt = left.join(F.broadcast(hot), list(keys), "left").withColumn(
         "__salt", F.when(F.col("__hot").isNull(), F.lit(0).cast("long"))
         .otherwise(1 + F.pmod(F.xxhash64(*spread), F.lit(_SALTS))))
