@@ -122,10 +122,6 @@ def _frequent(df: DataFrame, column: str) -> list[int]:
     return [x["item"] for x in found["top"] or [] if x["count"] * HOT_SHARE > found["n"]]
 
 
-def _listed(values: list[int], name: str, df: DataFrame) -> DataFrame:
-    return F.broadcast(df.sparkSession.createDataFrame([(v, True) for v in values], f"{name} bigint, hot boolean"))
-
-
 def sort_bundles(table: DataFrame, id_type: str) -> DataFrame:
     """Bundles that may hold repeated windows: ``id``, ``hash``, ``core`` and ``place`` with its kind.
 
@@ -134,19 +130,18 @@ def sort_bundles(table: DataFrame, id_type: str) -> DataFrame:
     bundles is counted with map-side combination instead and its bundles are never shuffled; a core that
     does is dealt out by span.
     """
-    spans = _listed(_frequent(table, "span"), "span", table)
     common = (
-        table.join(spans, "span").groupBy("core", "span")
+        table.where(F.col("span").isin(_frequent(table, "span"))).groupBy("core", "span")
         .agg(F.count(F.lit(1)).alias("m"), F.first("id").alias("id"), F.first("hash").alias("hash"), F.first("place").alias("place"))
-        .where("m > 1"))
-    known = F.broadcast(common.select("core", "span", F.lit(True).alias("known")))  # no longer than the list
-    told = table.join(known, ["core", "span"], "left")
-    whole = told.where("known").select("id", "hash", "core", "place")
-    rest = told.where("known is null").select("id", "hash", "core", "span", "place")
-    rest = rest.unionByName(common.select("id", "hash", "core", "span", F.col("place").bitwiseOR(F.lit(_PARTNER)).alias("place")))
-    cores = _listed(_frequent(table, "core"), "core", table)
-    dealt = rest.join(cores, "core", "left").select("id", "hash", "core", "span", F.when(
-        F.col("hot"), F.col("place").bitwiseOR(F.lit(_HOT))).otherwise(F.col("place")).alias("place"))
+        .where("m > 1").collect())  # no longer than the list
+    known = F.col("span").isin([r["span"] for r in common]) & F.col("core").isin([r["core"] for r in common])
+    whole = table.where(known).select("id", "hash", "core", "place")
+    partners = table.sparkSession.createDataFrame(
+        [(r["id"], r["hash"], r["place"] | _PARTNER, r["core"], r["span"]) for r in common], table.schema)
+    rest = table.where(~known).unionByName(partners)
+    is_hot = F.col("core").isin(_frequent(table, "core"))
+    dealt = rest.select("id", "hash", "core", "span", F.when(
+        is_hot, F.col("place").bitwiseOR(F.lit(_HOT))).otherwise(F.col("place")).alias("place"))
     is_hot = F.col("place").bitwiseAND(F.lit(_HOT)) != 0
     dealt = dealt.repartition("core", F.when(is_hot, F.col("span")).otherwise(F.lit(0).cast("bigint")))
     dealt = dealt.sortWithinPartitions("core", "span")
