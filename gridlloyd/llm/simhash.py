@@ -291,7 +291,11 @@ def keep_one(df: DataFrame, scratch: Scratch, doc_id: str = "doc_id", text: str
     Of several rows with that id one stays, by the hash of the text. Components are found by
     ``near_duplicates``; only ids and hashes are shuffled to choose, then texts once to apply the choice.
     """
-    found = near_duplicates(df, scratch, doc_id, text, width, distance)
+    return keep_first(df, near_duplicates(df, scratch, doc_id, text, width, distance), doc_id, text)
+
+
+def keep_first(df: DataFrame, found: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rows of ``df`` with the smallest id of their component, one for each ``root`` of ``found``."""
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
         F.first("doc_id").alias("__id"), F.min("text_hash").alias("__hash"))
     keys = first.select("__id", "__hash")
