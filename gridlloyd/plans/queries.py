@@ -683,36 +683,39 @@ def _line_maker(spark, sf_dir):
     return sweep.table_maker(data, list(LINE), ["l_orderkey", "l_linenumber", "price"])
 
 
-def _half_grid(spark, sf_dir, **options):
-    n = _table(spark, sf_dir, "lineitem").count() // 2
-    return sweep.Grid(n_clusters=[3], n_dims=[2], n_samples=[n], replicas=1, **options)
+def _grid(df: DataFrame, dims, **options):
+    """Several K, d and N up to the whole table, all level counts and batch sizes, two replicas."""
+    n = df.count()
+    return sweep.Grid(n_clusters=[3, 9], n_dims=dims, n_samples=[n // 2, n], replicas=2, parallel=4, **options)
+
+
+def _line_grid(spark, sf_dir, **options):
+    return _grid(_table(spark, sf_dir, "lineitem"), [2, len(LINE)], **options)
 
 
 @query
 def distance_sweep_table(spark, sf_dir):
-    results = sweep.distance_sweep(spark, _line_maker(spark, sf_dir), _half_grid(spark, sf_dir, level_counts=[1, 3], batch_sizes=[500]))
+    results = sweep.distance_sweep(spark, _line_maker(spark, sf_dir), _line_grid(spark, sf_dir))
     return report.average_replicas(results).drop("fit_time_average")
 
 
 @query
 def error_sweep_table(spark, sf_dir):
-    return report.average_replicas(
-        sweep.error_sweep(spark, _line_maker(spark, sf_dir), _half_grid(spark, sf_dir, level_counts=[1, 3])))
+    return report.average_replicas(sweep.error_sweep(spark, _line_maker(spark, sf_dir), _line_grid(spark, sf_dir)))
 
 
 @query
 def equivalence_sweep_table(spark, sf_dir):
     return report.average_replicas(
-        sweep.equivalence_sweep(spark, _line_maker(spark, sf_dir), _half_grid(spark, sf_dir, level_counts=[3])))
+        sweep.equivalence_sweep(spark, _line_maker(spark, sf_dir), _line_grid(spark, sf_dir)))
 
 
 @query
 def quality_sweep_table(spark, sf_dir):
-    """Internal metrics of all algorithms over the embeddings, in all their dimensions."""
-    maker = sweep.table_maker(_embedding(spark, sf_dir), EMBEDDING_COLUMNS, ["vec_id"])
-    n = _table(spark, sf_dir, "embeddings").count()
-    grid = sweep.Grid(n_clusters=[3], n_dims=[EMBEDDING_DIMS], n_samples=[n], level_counts=[2], batch_sizes=[100], replicas=1)
-    return report.average_replicas(sweep.quality_sweep(spark, maker, grid))
+    """Internal metrics of all algorithms over the embeddings, in a few and in all of their dimensions."""
+    data = _embedding(spark, sf_dir)
+    maker = sweep.table_maker(data, EMBEDDING_COLUMNS, ["vec_id"])
+    return report.average_replicas(sweep.quality_sweep(spark, maker, _grid(data, [4, EMBEDDING_DIMS])))
 
 
 @query
