@@ -30,7 +30,9 @@ def read_sensor_text(spark: SparkSession, path: str) -> DataFrame:
     starts = files.text(path).where(F.col("_metadata.file_block_start") == 0).select(
         "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"))
     first = starts.groupBy("file").agg(F.min_by("value", "line").alias("header"))
-    headers = [r["header"] for r in first.select("header").distinct().limit(100).collect()]
+    strip = lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    named = F.slice(F.transform(F.split(strip(F.col("header")), ","), lambda c: F.replace(strip(c), F.lit(" "), F.lit("_"))), 1, SENSOR_NAMED)
+    headers = [r["header"] for r in first.groupBy(named.alias("names")).agg(F.min("header").alias("header")).limit(2).collect()]
     found = {tuple(sensor_columns(h)) for h in headers}
     if not found:
         raise ValueError(f"no sensor text under {path}")
