@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlloyd.llm import byte_bpe, decontaminate, line_dedup, quality, similar
+from gridlloyd.llm import byte_bpe, decontaminate, line_dedup, quality, simhash
 from gridlloyd.session import Scratch
 
 #: A document is removed if more than this share of its words occurs in benchmark items.
@@ -36,10 +36,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each near-duplicate group, as it is.
 
-    Documents link if the Jaccard similarity of their five-word shingles is 0.8 or more. This is not the rule
-    of op2, whose four-word fingerprints say nothing exact about similarity.
+    Documents link if their SimHash fingerprints, made of four-word shingles, differ in four bits or fewer.
     """
-    return similar.keep_one(docs, Scratch(spark)).select(*docs.columns)
+    return simhash.keep_one(docs, Scratch(spark), width=4, distance=4).select(*docs.columns)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
