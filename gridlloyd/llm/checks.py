@@ -117,7 +117,38 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM j GROUP BY doc_id
 """
 
+_VECTORS = """list_transform(embedding, lambda y: floor(256 * y::DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0"""
+
+OP12 = f"""
+WITH v AS (SELECT DISTINCT vec_id, {_VECTORS}),
+scored AS (
+  SELECT q.vec_id AS query_id, q.x AS qx, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id, qx ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+OP13 = f"""
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END AS label, {_VECTORS}
+    AND label IS NOT NULL),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, a.x AS ax, c.vec_id, c.label, list_inner_product(a.x, c.x)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+positive AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id, own, ax ORDER BY score DESC, vec_id) AS slot
+  FROM scored WHERE label = own QUALIFY slot <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+  (row_number() OVER (PARTITION BY p.anchor_id, p.own, p.ax, p.slot ORDER BY n.score DESC, n.vec_id))::INTEGER AS rank,
+  n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positive p JOIN scored n ON n.anchor_id = p.anchor_id AND n.own = p.own AND n.ax = p.ax AND n.label <> p.own
+  AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY rank <= 5
+"""
+
 SQL = {
     "op4_line_first_quality": OP4, "op6_warc_revisits": OP6, "op7_decontaminate": OP7, "op8_suffix_dedup": OP8,
-    "op10_line_dedup": OP10,
+    "op10_line_dedup": OP10, "op12_exact_top_k": OP12, "op13_hard_negatives": OP13,
 }

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..session import Scratch
 from . import (
-    byte_bpe, checks, decontaminate, importance, line_dedup, quality, repeats, simhash, token_counts, token_files, warc,
+    byte_bpe, checks, decontaminate, hard_negatives, importance, line_dedup, quality, repeats, simhash, token_counts, token_files,
+    top_k, warc,
 )
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +103,16 @@ def op5_importance_resampling(spark, sf_dir):
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
     labels = _table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
     return importance.resample(documents, labels, Scratch(spark)).select("doc_id", "log_weight", "gumbel_key", "kept")
+
+
+@query
+def op12_exact_top_k(spark, sf_dir):
+    rows = _table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return top_k.exact_top_k(rows, rows.where("vec_id % 50 = 0"), Scratch(spark), k=5)
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    label = F.expr("if(vec_id % 7 = 0, (cast(label AS bigint) + 1) % 10, cast(label AS bigint))")
+    rows = _table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label").withColumn("label", label)
+    return hard_negatives.mine_hard_negatives(rows, rows.where("vec_id % 100 = 0"), Scratch(spark))
