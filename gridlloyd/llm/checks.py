@@ -148,7 +148,79 @@ FROM positive p JOIN scored n ON n.anchor_id = p.anchor_id AND n.own = p.own AND
 QUALIFY rank <= 5
 """
 
+
+def _insert(x: str, role: str) -> str:
+    return f"CASE WHEN {x} IS NOT NULL THEN {{'c': {x}.c + 3, 'a': {x}.a || 'I', 't': list_append({x}.t, '{role}:')}} END"
+
+
+def _edit(x: str, cost: str, letter: str, line: str | None) -> str:
+    text = f"list_append({x}.t, {line})" if line else f"{x}.t"
+    return f"CASE WHEN {x} IS NOT NULL THEN {{'c': {x}.c + {cost}, 'a': {x}.a || '{letter}', 't': {text}}} END"
+
+
+def _least(*options: str) -> str:
+    return f"list_min([{', '.join(options)}])"
+
+
+# The best (cost, audit, lines) of each of the four states, after inserting turns before a row.
+_BEFORE_ROW = f"""SELECT conv_id, i, st, ss, {_least("su", _insert("st", "user"), _insert("ss", "user"), _insert("sa", "user"))} AS su,
+  {_least("sa", _insert("su", "assistant"))} AS sa"""
+_REROLED = "3 + cut"
+_BEST = "STRUCT(c BIGINT, a VARCHAR, t VARCHAR[])"
+
+OP11 = f"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+kinds AS (
+  SELECT *, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(key, ''), lambda x: ord(x)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda r, z: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END))) % 20 AS kind FROM keyed),
+damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE kind WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM kinds WHERE kind <> 0),
+placed AS (
+  SELECT *, left(role, 1) AS r, rtrim(text, {_SPACES}) AS body,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth FROM damaged),
+judged AS (
+  SELECT *, CASE WHEN body = '' THEN 'b' WHEN nth > 1 THEN 'd' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault,
+    lag(r) OVER (PARTITION BY conv_id ORDER BY i) || r AS pair FROM placed),
+rows_in AS (
+  SELECT conv_id AS conv, i AS pos, r, fault IN ('b', 'd') AS gone, CASE fault WHEN 't' THEN 3 ELSE 0 END AS cut,
+    role || ':' || text AS line, 'user:' || text AS as_user, 'assistant:' || text AS as_assistant FROM judged),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS i, {{'c': 0, 'a': '', 't': []::VARCHAR[]}}::{_BEST} AS st, NULL::{_BEST} AS ss, NULL::{_BEST} AS su,
+    NULL::{_BEST} AS sa
+  FROM (SELECT DISTINCT conv_id FROM placed)
+  UNION ALL
+  SELECT conv_id, i + 1, {_edit("st", "4", "D", None)},
+    {_least(_edit("ss", "4", "D", None), f"CASE WHEN r = 's' AND NOT gone THEN {_edit('st', 'cut', 'K', 'line')} END")},
+    {_least(_edit("su", "4", "D", None), *[
+        f"CASE WHEN {keep} NOT gone THEN {_edit(x, cost, letter, line)} END" for x in ("st", "ss", "sa")
+        for keep, cost, letter, line in (("r = 'u' AND", "cut", "K", "line"), ("", _REROLED, "R", "as_user"))])},
+    {_least(_edit("sa", "4", "D", None), f"CASE WHEN r = 'a' AND NOT gone THEN {_edit('su', 'cut', 'K', 'line')} END",
+            f"CASE WHEN NOT gone THEN {_edit('su', _REROLED, 'R', 'as_assistant')} END")}
+  FROM ({_BEFORE_ROW} FROM ({_BEFORE_ROW} FROM walk)) JOIN rows_in ON conv IS NOT DISTINCT FROM conv_id AND pos = i + 1),
+counted AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id),
+ends AS (
+  SELECT walk.conv_id, gaps, blank, duplicate, truncated, illegal,
+    {_least("st", "sa", _insert("su", "assistant"), _insert("(" + _insert("ss", "user") + ")", "assistant"))} AS best
+  FROM walk JOIN counted ON counted.conv_id IS NOT DISTINCT FROM walk.conv_id AND walk.i = counted.n)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0)::BIGINT AS cost,
+  coalesce(best.a, '') AS audit, sha256(coalesce(array_to_string(best.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN ends ON ends.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 SQL = {
     "op4_line_first_quality": OP4, "op6_warc_revisits": OP6, "op7_decontaminate": OP7, "op8_suffix_dedup": OP8,
-    "op10_line_dedup": OP10, "op12_exact_top_k": OP12, "op13_hard_negatives": OP13,
+    "op10_line_dedup": OP10, "op11_conversation_repair": OP11,
+    "op12_exact_top_k": OP12, "op13_hard_negatives": OP13,
 }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import Scratch
 from . import (
-    byte_bpe, checks, decontaminate, hard_negatives, importance, line_dedup, quality, repeats, simhash, token_counts, token_files,
+    byte_bpe, checks, conversations, decontaminate, hard_negatives, importance, line_dedup, quality, repeats, simhash, token_counts, token_files,
     top_k, warc,
 )
 
@@ -105,6 +105,19 @@ def op5_importance_resampling(spark, sf_dir):
     return importance.resample(documents, labels, Scratch(spark)).select("doc_id", "log_weight", "gumbel_key", "kept")
 
 
+@query
+def op11_conversation_repair(spark, sf_dir):
+    rows = _table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    repair = conversations.Repair(conversations.damage(rows), Scratch(spark))
+    audits, digests = repair.audits(), repair.digests().withColumnRenamed("conv_id", "c")
+    found = audits.join(digests, audits["conv_id"].eqNullSafe(digests["c"])).drop("c").withColumnRenamed("conv_id", "c")
+    all_ids = rows.select("conv_id").distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return all_ids.join(found, all_ids["conv_id"].eqNullSafe(found["c"]), "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 @query
 def op12_exact_top_k(spark, sf_dir):
     rows = _table(spark, sf_dir, "embeddings", "vec_id", "embedding")
