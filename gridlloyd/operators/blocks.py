@@ -34,6 +34,22 @@ def block_sums(xs: Sequence[np.ndarray], w: np.ndarray, centers: np.ndarray) ->
     return np.stack(columns, axis=1)
 
 
+#: Gaps are divided at every second power of two from this exponent on, into so many classes above the first.
+FIRST_GAP, GAP_CLASSES = -20, 12
+
+
+def gap_classes(xs: Sequence[np.ndarray], centers: np.ndarray) -> np.ndarray:
+    """Class of each point's gap, the distance to the second-nearest centre minus that to the nearest."""
+    first, second = np.full(len(xs[0]), np.inf), np.full(len(xs[0]), np.inf)
+    for center in centers:
+        square = sum((x - c) ** 2 for x, c in zip(xs, center))
+        np.minimum(second, np.maximum(first, square), out=second)
+        np.minimum(first, square, out=first)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        step = np.floor((np.log2(np.sqrt(second) - np.sqrt(first)) - FIRST_GAP) / 2)
+    return np.clip(np.nan_to_num(step, nan=0.0, posinf=GAP_CLASSES, neginf=0.0), 0, GAP_CLASSES).astype("int32")
+
+
 def move_centers(sums: np.ndarray, centers: np.ndarray, farthest: Callable[[int], list]) -> np.ndarray:
     """New centres: weighted means; an empty cluster takes over the point farthest from its centre."""
     weight, total = sums[:, 0].copy(), sums[:, 2:].copy()
@@ -50,23 +66,6 @@ def move_centers(sums: np.ndarray, centers: np.ndarray, farthest: Callable[[int]
     return moved
 
 
-def iterate(
-    step: Callable[[np.ndarray], np.ndarray],
-    farthest: Callable[[np.ndarray, int], list],
-    centers: np.ndarray,
-    max_iter: int,
-    tol: float,
-) -> tuple[np.ndarray, int]:
-    """Lloyd loop: stop when the summed squared centre movement is at most ``tol``."""
-    for n_iter in range(1, max_iter + 1):
-        moved = move_centers(step(centers), centers, lambda m, at=centers: farthest(at, m))
-        shift = float(((moved - centers) ** 2).sum())
-        centers = moved
-        if shift <= tol:
-            break
-    return centers, n_iter
-
-
 def largest_move(before: np.ndarray, after: np.ndarray) -> float:
     """Largest distance between a centre and its successor."""
     return float(np.sqrt(((after - before) ** 2).sum(axis=1)).max())
@@ -158,3 +157,13 @@ class BatchState:
         self.stale = 0 if self.error < self.best else self.stale + 1
         self.best = min(self.best, self.error)
         self.done = self.stale >= patience
+
+    def numbers(self) -> list[float]:
+        """The state as doubles."""
+        return [*self.centers.ravel(), *self.counts, self.smoothing, self.steps, self.error, self.best, self.stale, self.done]
+
+    @staticmethod
+    def of(numbers: Sequence[float], k: int) -> "BatchState":
+        *rest, smoothing, steps, error, best, stale, done = numbers
+        centers, counts = np.array(rest[:-k]).reshape(k, -1), np.array(rest[-k:])
+        return BatchState(centers, counts, smoothing, int(steps), error, best, int(stale), bool(done))

@@ -12,16 +12,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import all_finite, feature_columns, squared_distance
-from ..session import fits_bound
-from .blocks import block_sums, iterate, nearest_in_block
+from ..session import Scratch
+from .blocks import move_centers, nearest_in_block
+from .packed import Settled, coordinates, model_sums, pack
+from .packed import write as write_blocks
 
 #: Largest K x d for which distances are unrolled into generated code; beyond it Arrow batches win.
 UNROLL_LIMIT = 72
+#: Passes over points as they are before they are packed, and passes before they are divided by gaps.
+DIRECT_STEPS, SETTLE_AFTER = 2, 8
 
 
 @dataclass
@@ -87,33 +90,6 @@ def point_frame(df: DataFrame, features, weight: str | None = None, keep: Iterab
     return df.select(*[x.alias(f"x{j}") for j, x in enumerate(xs)], w.alias("w"), *keep)
 
 
-def cluster_sums(points: DataFrame, centers: np.ndarray, tasks: int | None = None) -> np.ndarray:
-    """K x (2 + d) sums over all points (see ``block_sums``) in one map-side pass.
-
-    The K partial rows of every task are added up by a shuffle, or directly on the driver when the
-    number of ``tasks`` is given and proves them few.
-    """
-    k, d = centers.shape
-    names = ["weight", "sse"] + [f"s{j}" for j in range(d)]
-
-    def reduce_task(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        total = np.zeros((k, 2 + d))
-        for batch in batches:
-            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            total += block_sums(columns[:d], columns[d], centers)
-        arrays = [pa.array(np.arange(k, dtype=np.int32))] + [pa.array(total[:, j].copy()) for j in range(2 + d)]
-        yield pa.RecordBatch.from_arrays(arrays, names=["k", *names])
-
-    layout = "k int, " + ", ".join(f"{c} double" for c in names)
-    partial = points.select(*[f"x{j}" for j in range(d)], "w").mapInArrow(reduce_task, layout)
-    if tasks is None or not fits_bound(tasks * k, 8 * (3 + d)):
-        partial = partial.groupBy("k").agg(*[F.sum(c).alias(c) for c in names])
-    sums = np.zeros((k, 2 + d))
-    for row in partial.collect():
-        sums[row["k"]] += row[1:]
-    return sums
-
-
 def farthest_points(points: DataFrame, centers: np.ndarray, m: int) -> list[tuple[np.ndarray, float, int]]:
     """The ``m`` points farthest from their centre as (x, weight, label); a distributed top-m."""
     xs = [f"x{j}" for j in range(centers.shape[1])]
@@ -138,23 +114,55 @@ def weighted_lloyd(
     """Lloyd from given centres over weighted points, a map-side pass per iteration.
 
     ``tol`` is relative to the mean feature variance, as in common k-means implementations. Callers
-    that know the point count and variance pass them to save one aggregation. The points should be a
-    written table: they are read once per iteration.
+    that know the point count and variance pass them to save one aggregation.
     """
-    xs = [c for c in points.columns if c[0] == "x" and c[1:].isdigit()]
-    centers = as_centers(centers, len(xs))
+    return lloyd_models(points, [centers], max_iter, tol, n_rows, variance)[0]
+
+
+def lloyd_models(points: DataFrame, models, max_iter: int = 300, tol: float = 1e-4, n_rows: int | None = None,
+                 variance: float | None = None) -> list[LloydResult]:
+    """Lloyd from several sets of centres over the same points; a pass serves all that have not ended yet.
+
+    The first ``DIRECT_STEPS`` passes read the points as they are, then they are packed into blocks. Once the
+    passes of the last set have read ``SETTLE_AFTER`` times all points, these are written anew by the safety
+    of their labels, and passes read the unsafe ones only (see ``Settled``); this costs one write in so many
+    reads at most.
+    """
+    xs = coordinates(points)
+    models = [as_centers(m, len(xs)) for m in models]
     if n_rows is None or variance is None:
         n_rows, variance = point_facts(points)
+    scratch = Scratch(points.sparkSession)
+    packed, settled, read, ended = pack(points, len(xs)), None, 0, [0] * len(models)
     tasks = points.rdd.getNumPartitions()
-    centers, n_iter = iterate(
-        lambda at: cluster_sums(points, at, tasks), lambda at, m: farthest_points(points, at, m),
-        centers, max_iter, tol * variance)
-    return LloydResult(centers, n_iter, n_rows)
+    try:
+        for turn in range(1, max_iter + 1):
+            active = [i for i, end in enumerate(ended) if not end]
+            if turn == DIRECT_STEPS + 1:
+                packed = write_blocks(packed, scratch, "packed", n_rows, len(xs) + 1)
+                tasks = packed.rdd.getNumPartitions()
+            if len(active) == 1 and len(models[active[0]]) > 1 and turn > DIRECT_STEPS and read >= SETTLE_AFTER * n_rows:
+                settled, read = Settled(packed, models[active[0]], scratch, f"settled{turn}"), 0
+            if settled:
+                sums, rows = settled.step(models[active[0]])
+                sums, read = [sums], read + rows
+            else:
+                sums, read = model_sums(packed, [models[i] for i in active], tasks), read + n_rows
+            for i, found in zip(active, sums):
+                at = models[i]
+                models[i] = move_centers(found, at, lambda m, at=at: farthest_points(points, at, m))
+                if float(((models[i] - at) ** 2).sum()) <= tol * variance:
+                    ended[i] = turn
+            if all(ended):
+                break
+    finally:
+        scratch.drop()
+    return [LloydResult(m, end or turn, n_rows) for m, end in zip(models, ended)]
 
 
 def point_facts(points: DataFrame) -> tuple[int, float]:
     """Row count and mean per-feature variance; rejects non-finite features."""
-    xs = [c for c in points.columns if c[0] == "x" and c[1:].isdigit()]
+    xs = coordinates(points)
     row = points.agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(~all_finite([F.col(x) for x in xs])).alias("bad"),

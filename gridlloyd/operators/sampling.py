@@ -64,15 +64,15 @@ def sample_columns(df: DataFrame, n: int, seed: int = 0, among: Sequence[str] |
 
 
 def with_running_total(df: DataFrame, order: Sequence[Column | str], weight: Column, scratch: Scratch,
-                       index: str = "idx", before: str = "before") -> DataFrame:
-    """Number rows 0.. in sort order and append the summed weight of all rows before each.
+                       index: str = "idx", before: str | None = "before", folder: str = "") -> DataFrame:
+    """Number rows 0.. in sort order and append the summed weight of all rows before each, if ``before`` names it.
 
     A range-partitioned sort is written once; every part then needs only the totals of the parts
     before it, a list as short as the number of parts.
     """
     part = F.shiftright("__at", 33)
     ordered = df.withColumn("__weight", weight).sort(*order).withColumn("__at", F.monotonically_increasing_id())
-    table = scratch.write(ordered, f"ordered-{index}").withColumn("__part", part)
+    table = scratch.write(ordered, folder or f"ordered-{index}").withColumn("__part", part)
     totals = table.groupBy("__part").agg(F.count(F.lit(1)).alias("n"), F.sum("__weight").alias("w")).collect()
     offsets, rows, weights = [], 0, 0
     for row in sorted(totals):
@@ -80,10 +80,9 @@ def with_running_total(df: DataFrame, order: Sequence[Column | str], weight: Col
         rows, weights = rows + row["n"], weights + row["w"]
     spark = df.sparkSession
     starts = spark.createDataFrame(offsets, "__part bigint, __rows bigint, __sum bigint")
-    inside = Window.partitionBy("__part").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        table.join(F.broadcast(starts), "__part")
-        .withColumn(index, F.col("__rows") + F.col("__at").bitwiseAND(F.lit(2**33 - 1)))
-        .withColumn(before, F.col("__sum") + F.coalesce(F.sum("__weight").over(inside), F.lit(0)))
-        .drop("__part", "__at", "__rows", "__sum", "__weight")
-    )
+    found = table.join(F.broadcast(starts), "__part").withColumn(
+        index, F.col("__rows") + F.col("__at").bitwiseAND(F.lit(2**33 - 1)))
+    if before:
+        inside = Window.partitionBy("__part").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+        found = found.withColumn(before, F.col("__sum") + F.coalesce(F.sum("__weight").over(inside), F.lit(0)))
+    return found.drop("__part", "__at", "__rows", "__sum", "__weight")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridlloyd import RecursiveKMeans, RecursiveKMeansModel
-from gridlloyd.operators import baselines, lloyd, metrics
+from gridlloyd.operators import baselines, lloyd, metrics, packed
 from gridlloyd.operators import cells as cell_ops
 from gridlloyd.functions.randomness import keyed_uniform
 from gridlloyd.operators.blocks import move_centers
@@ -223,14 +223,52 @@ def test_kmeans_pp_seeding_follows_the_race(spark, blobs, monkeypatch, refresh,
 
 
 @pytest.mark.parametrize("size,first", [(50, 8), (64, 1), (333, 1), (1000, 1), (5000, 8)])
-def test_batches_follow_the_hash_order(spark, blobs, monkeypatch, size, first):
-    monkeypatch.setattr(baselines, "FIRST_CUT", first)
+def test_cuts_follow_the_hash_order(spark, blobs, size, first):
     df = frame(spark, blobs, id=np.arange(len(blobs)) // 3)  # every hash three times
+    xs = ["x0", "x1", "x2"]
     with baselines._points(df, ["f0", "f1", "f2"], ["id"], 1, "xxhash64") as (points, scratch):
-        want = sorted(tuple(r) for r in points.select("h", "x0", "x1", "x2").collect())
-        cut = baselines.batches(points.withColumn("o", F.col("h")), ["x0", "x1", "x2"], len(blobs), size, scratch, "t")
-        got = [sorted(tuple(r) for r in b.select("h", "x0", "x1", "x2").collect()) for b, _ in cut]
-    assert got == [want[i:i + size] for i in range(0, len(want), size)]
+        want = sorted(tuple(r) for r in points.select("h", *xs).collect())
+        got = {}
+        for table, done, end in baselines.cuts(points.withColumn("o", F.col("h")), xs, len(blobs), size, scratch, "t", first):
+            for r in table.where(F.col("rank").between(done * size, end * size - 1)).collect():
+                got.setdefault(r["rank"] // size, []).append((r["h"], *[r[x] for x in xs]))
+    assert [sorted(got[b]) for b in range(len(got))] == [want[i:i + size] for i in range(0, len(want), size)]
+
+
+def test_runs_of_batches_equal_one_job_per_batch(spark, blobs, monkeypatch):
+    """Bit for bit; batches too large for one task differ in the order of sums only."""
+    df = frame(spark, blobs, id=np.arange(len(blobs)))
+    results = []
+    for size in (8 << 20, 3 * 32 * 70, 32 * 70, 1):
+        monkeypatch.setattr(baselines, "RUN_BYTES", size)
+        results.append(baselines.mini_batch_kmeans(df, ["f0", "f1", "f2"], 4, 70, ["id"], seed=3, max_epochs=2))
+    assert len({r.n_iter for r in results}) == 1 and results[0].n_iter > 10
+    assert all(np.array_equal(r.centers, results[0].centers) for r in results[1:3])
+    assert np.allclose(results[3].centers, results[0].centers)
+
+
+def test_many_models_in_one_pass(spark, blobs):
+    points = lloyd.point_frame(frame(spark, blobs), ["f0", "f1", "f2"])
+    starts = [blobs[[0, 250, 500, 750]], blobs[[1, 2]], blobs[[5, 300, 301, 302, 900]]]
+    together = lloyd.lloyd_models(points, starts, tol=0.0)
+    for start, got in zip(starts, together):
+        alone = lloyd.weighted_lloyd(points, start, tol=0.0)
+        assert got.n_iter == alone.n_iter and np.allclose(got.centers, alone.centers)
+        assert np.allclose(got.centers, brute_lloyd(blobs, np.ones(len(blobs)), start, got.n_iter))
+
+
+def test_settled_points_give_the_same_steps(spark, monkeypatch):
+    """Points divided by gaps early and often, against passes over all points; and fewer are read."""
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.uniform(-1, 1, (6, 3)), 400, axis=0) + rng.normal(0, 0.2, (2400, 3))
+    w = rng.integers(1, 5, 2400).astype(float)
+    points = lloyd.point_frame(frame(spark, x, n=w), ["f0", "f1", "f2"], "n")
+    monkeypatch.setattr(lloyd, "SETTLE_AFTER", 2)
+    looked, real = [], packed.Settled.step
+    monkeypatch.setattr(packed.Settled, "step", lambda self, c: looked.append(real(self, c)) or looked[-1])
+    got = lloyd.weighted_lloyd(points, x[:6], max_iter=25, tol=0.0)
+    assert np.allclose(got.centers, brute_lloyd(x, w, x[:6], got.n_iter))
+    assert len(looked) > 10 and min(rows for _, rows in looked) < 1200
 
 
 def test_mini_batch_matches_running_means(spark, blobs):
