@@ -11,45 +11,93 @@ import numpy as np
 import pyarrow as pa
 
 
+#: Up to so many clusters a matrix product adds the rows of each up faster than counting does.
+_PRODUCT_CLUSTERS = 32
+
+
 def nearest_in_block(xs: Sequence[np.ndarray], centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Labels and squared distances of one column-wise block."""
-    best = np.full(len(xs[0]), np.inf)
-    labels = np.zeros(len(xs[0]), dtype=np.int32)
+    """Labels (ties: lowest index) and squared distances of one column-wise block."""
+    return _nearest(xs, centers, False)[:2]
+
+
+def nearest_with_gap(xs: Sequence[np.ndarray], centers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Labels, squared distances, and gaps: by how much the second-nearest centre is farther, at least."""
+    return _nearest(xs, centers, True)
+
+
+def _nearest(xs, centers, with_gap):
+    """A matrix product finds the nearest centre. It rounds differently from the sum of squares that
+    defines the distance, so points whose two nearest centres are nearly as far are compared by that sum."""
+    if len(centers) == 1 or not len(xs[0]):
+        return np.zeros(len(xs[0]), dtype=np.int32), _squares(xs, centers[0]), np.full(len(xs[0]), np.inf)
+    points = xs if isinstance(xs, np.ndarray) else np.stack(xs)
+    with np.errstate(all="ignore"):
+        size, norm = (centers**2).sum(axis=1), np.einsum("ij,ij->j", points, points)
+        score = (-2.0 * centers) @ points
+        score += size[:, None]
+        labels, at = score.argmin(axis=0), np.arange(points.shape[1])
+        least = score[labels, at]
+        score[labels, at] = np.inf
+        second, error = score.min(axis=0), 1e-12 * (norm + size.max())
+        unsure = np.flatnonzero(~(second - least > error))
+        gaps = np.sqrt(np.maximum(second + norm - error, 0.0)) - np.sqrt(np.maximum(least + norm, 0.0) + error) if with_gap else None
+    if len(unsure):
+        labels[unsure] = _compared(points[:, unsure], centers)
+    difference = points - centers.T[:, labels]
+    return labels.astype(np.int32), np.einsum("ij,ij->j", difference, difference), gaps
+
+
+def _squares(xs: Sequence[np.ndarray], center: Sequence) -> np.ndarray:
+    square = (xs[0] - center[0]) ** 2
+    for x, c in zip(xs[1:], center[1:]):
+        square += (x - c) ** 2
+    return square
+
+
+def _compared(xs: Sequence[np.ndarray], centers: np.ndarray) -> np.ndarray:
+    best, labels = np.full(len(xs[0]), np.inf), np.zeros(len(xs[0]), dtype=np.int32)
     for k, center in enumerate(centers):
-        square = (xs[0] - center[0]) ** 2
-        for x, c in zip(xs[1:], center[1:]):
-            square += (x - c) ** 2
+        square = _squares(xs, center)
         closer = square < best
         labels[closer] = k
         np.minimum(best, square, out=best)
-    return labels, best
+    return labels
 
 
 def block_sums(xs: Sequence[np.ndarray], w: np.ndarray, centers: np.ndarray) -> np.ndarray:
     """K x (2 + d) sums of one block: weight, weighted squared distance, weighted coordinates."""
-    k = len(centers)
-    labels, best = nearest_in_block(xs, centers)
+    return label_sums(xs, w, *nearest_in_block(xs, centers), len(centers))
+
+
+def label_sums(xs: Sequence[np.ndarray], w: np.ndarray, labels: np.ndarray, best: np.ndarray, k: int) -> np.ndarray:
+    if k <= _PRODUCT_CLUSTERS:
+        rows = np.concatenate([np.ones((1, len(w))), best[None, :], np.asarray(xs)]) * w
+        return (labels == np.arange(k)[:, None]).astype("float64") @ rows.T
     columns = [np.bincount(labels, w, k), np.bincount(labels, w * best, k)]
     columns += [np.bincount(labels, w * x, k) for x in xs]
     return np.stack(columns, axis=1)
 
 
-#: Gaps are divided at every second power of two from this exponent on, into so many classes above the first.
-FIRST_GAP, GAP_CLASSES = -20, 12
+#: Gaps are counted between powers of two from this exponent on, in so many classes above the first.
+FIRST_GAP, GAP_CLASSES = -24, 30
 
 
-def gap_classes(xs: Sequence[np.ndarray], centers: np.ndarray) -> np.ndarray:
-    """Class of each point's gap, the distance to the second-nearest centre minus that to the nearest."""
-    first, second = np.full(len(xs[0]), np.inf), np.full(len(xs[0]), np.inf)
-    for center in centers:
-        square = sum((x - c) ** 2 for x, c in zip(xs, center))
-        np.minimum(second, np.maximum(first, square), out=second)
-        np.minimum(first, square, out=first)
+def gap_classes(gaps: np.ndarray) -> np.ndarray:
+    """Class of each gap: 0, or c from 2^(FIRST_GAP + c) on."""
     with np.errstate(divide="ignore", invalid="ignore"):
-        step = np.floor((np.log2(np.sqrt(second) - np.sqrt(first)) - FIRST_GAP) / 2)
+        step = np.floor(np.log2(gaps)) - FIRST_GAP
     return np.clip(np.nan_to_num(step, nan=0.0, posinf=GAP_CLASSES, neginf=0.0), 0, GAP_CLASSES).astype("int32")
 
 
+def gap_floor(c: int) -> float:
+    return 0.0 if c == 0 else 2.0 ** (FIRST_GAP + c)
+
+
+def largest_moves(before: np.ndarray, after: np.ndarray) -> float:
+    """The two largest distances between a centre and its successor, added up: what a gap has to exceed."""
+    return float(np.sort(np.sqrt(((after - before) ** 2).sum(axis=1)))[-2:].sum()) * (1 + 1e-9)
+
+
 def move_centers(sums: np.ndarray, centers: np.ndarray, farthest: Callable[[int], list]) -> np.ndarray:
     """New centres: weighted means; an empty cluster takes over the point farthest from its centre."""
     weight, total = sums[:, 0].copy(), sums[:, 2:].copy()

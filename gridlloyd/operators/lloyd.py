@@ -17,14 +17,16 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import all_finite, feature_columns, squared_distance
 from ..session import Scratch
-from .blocks import move_centers, nearest_in_block
-from .packed import Settled, coordinates, model_sums, pack
+from .blocks import gap_floor, largest_moves, move_centers, nearest_in_block
+from .packed import Boundary, coordinates, counted_pass, model_sums, pack
 from .packed import write as write_blocks
 
 #: Largest K x d for which distances are unrolled into generated code; beyond it Arrow batches win.
 UNROLL_LIMIT = 72
-#: Passes over points as they are before they are packed, and passes before they are divided by gaps.
-DIRECT_STEPS, SETTLE_AFTER = 2, 8
+#: Passes over points as they are before they are packed.
+DIRECT_STEPS = 2
+#: Bytes of points that a task may iterate over alone, and how many times the last movement a margin has to hold.
+BOUNDARY_BYTES, MARGIN_FACTOR = 16 << 20, 3.0
 
 
 @dataclass
@@ -120,46 +122,97 @@ def weighted_lloyd(
 
 
 def lloyd_models(points: DataFrame, models, max_iter: int = 300, tol: float = 1e-4, n_rows: int | None = None,
-                 variance: float | None = None) -> list[LloydResult]:
+                 variance: float | None = None, packed: DataFrame | None = None) -> list[LloydResult]:
     """Lloyd from several sets of centres over the same points; a pass serves all that have not ended yet.
 
-    The first ``DIRECT_STEPS`` passes read the points as they are, then they are packed into blocks. Once the
-    passes of the last set have read ``SETTLE_AFTER`` times all points, these are written anew by the safety
-    of their labels, and passes read the unsafe ones only (see ``Settled``); this costs one write in so many
-    reads at most.
+    The first ``DIRECT_STEPS`` passes read the points as they are, then they are packed into blocks, unless
+    a caller gives them ``packed``. The last set left goes on by bounds, see ``_last_model``.
     """
     xs = coordinates(points)
     models = [as_centers(m, len(xs)) for m in models]
     if n_rows is None or variance is None:
         n_rows, variance = point_facts(points)
     scratch = Scratch(points.sparkSession)
-    packed, settled, read, ended = pack(points, len(xs)), None, 0, [0] * len(models)
-    tasks = points.rdd.getNumPartitions()
+    direct, ended, turn = 0 if packed else DIRECT_STEPS, [0] * len(models), 0
+    packed = packed or pack(points, len(xs))
+    tasks = packed.rdd.getNumPartitions()
+
+    def moved(i, sums):
+        at = models[i]
+        models[i] = move_centers(sums, at, lambda m: farthest_points(points, at, m))
+        return float(((models[i] - at) ** 2).sum()) <= tol * variance
+
     try:
-        for turn in range(1, max_iter + 1):
+        while not all(ended) and turn < max_iter:
             active = [i for i, end in enumerate(ended) if not end]
-            if turn == DIRECT_STEPS + 1:
+            if turn == direct > 0:
                 packed = write_blocks(packed, scratch, "packed", n_rows, len(xs) + 1)
                 tasks = packed.rdd.getNumPartitions()
-            if len(active) == 1 and len(models[active[0]]) > 1 and turn > DIRECT_STEPS and read >= SETTLE_AFTER * n_rows:
-                settled, read = Settled(packed, models[active[0]], scratch, f"settled{turn}"), 0
-            if settled:
-                sums, rows = settled.step(models[active[0]])
-                sums, read = [sums], read + rows
-            else:
-                sums, read = model_sums(packed, [models[i] for i in active], tasks), read + n_rows
-            for i, found in zip(active, sums):
-                at = models[i]
-                models[i] = move_centers(found, at, lambda m, at=at: farthest_points(points, at, m))
-                if float(((models[i] - at) ** 2).sum()) <= tol * variance:
-                    ended[i] = turn
-            if all(ended):
+            if turn >= direct and len(active) == 1:
+                last = active[0]
+                models[last], turn = _last_model(
+                    packed, models[last], turn, max_iter, tol * variance, n_rows, scratch, tasks,
+                    lambda at, m: farthest_points(points, at, m))
+                ended[last] = turn
                 break
+            turn += 1
+            for i, sums in zip(active, model_sums(packed, [models[i] for i in active], tasks)):
+                if moved(i, sums):
+                    ended[i] = turn
     finally:
         scratch.drop()
     return [LloydResult(m, end or turn, n_rows) for m, end in zip(models, ended)]
 
 
+def _last_model(packed: DataFrame, centers: np.ndarray, turn: int, max_iter: int, tol: float, n_rows: int,
+                scratch: Scratch, tasks: int, farthest) -> tuple[np.ndarray, int]:
+    """Lloyd by bounds, from ``turn`` steps on: the centres at the end and the number of steps.
+
+    A pass over all points also counts their gaps. When those that the coming movements may touch are few,
+    the next pass sets them apart as a ``Boundary``, and later steps read only them: in a pass each, or, if
+    they take no more than ``BOUNDARY_BYTES``, all steps in one task. Once the centres have moved too far, a
+    pass over all points follows.
+    """
+    row_bytes, counts, moves, boundary = 8 * (centers.shape[1] + 1), None, 0.0, None
+    while turn < max_iter:
+        if boundary and not boundary.holds(centers):
+            boundary = counts = None
+        before = centers
+        if boundary and boundary.rows * row_bytes <= BOUNDARY_BYTES:
+            centers, made, ended = boundary.iterate(centers, max_iter - turn, tol)
+            turn += made
+            if ended:
+                break
+            if made:
+                continue
+        if boundary:
+            sums = boundary.step(centers)
+        else:
+            margin, rows = _margin(counts, moves, n_rows, row_bytes)
+            if rows is not None:
+                boundary = Boundary(packed, centers, margin, scratch, f"boundary{turn}", tasks)
+                boundary.rows, sums, counts = rows, boundary.sums, None
+            else:
+                sums, counts = counted_pass(packed, centers, tasks)
+        centers, turn = move_centers(sums, centers, lambda m, at=before: farthest(at, m)), turn + 1
+        moves = largest_moves(before, centers)
+        if float(((centers - before) ** 2).sum()) <= tol:
+            break
+    return centers, turn
+
+
+def _margin(counts: np.ndarray | None, moves: float, n_rows: int, row_bytes: int) -> tuple[float, int | None]:
+    """The largest margin with few points within it, and their number at the last count; no number if it is too
+    narrow for the movements to come."""
+    if counts is None:
+        return 0.0, None
+    few = max(BOUNDARY_BYTES // row_bytes, n_rows // 8)
+    below = np.concatenate([[0], np.cumsum(counts)[:-1]])
+    fitting = max(c for c in range(len(counts)) if below[c] <= few)
+    margin = gap_floor(fitting)
+    return margin, int(below[fitting]) if margin >= MARGIN_FACTOR * moves else None
+
+
 def point_facts(points: DataFrame) -> tuple[int, float]:
     """Row count and mean per-feature variance; rejects non-finite features."""
     xs = coordinates(points)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import Scratch, fits_bound
-from .blocks import FIRST_GAP, block_sums, gap_classes
+from .blocks import GAP_CLASSES, block_sums, gap_classes, label_sums, largest_moves, nearest_with_gap
 
 #: Bytes of packed points that are worth a task of their own.
 TASK_BYTES = 1 << 20
@@ -70,7 +70,7 @@ def model_sums(packed: DataFrame, models: Sequence[np.ndarray], tasks: int) -> l
                     total += block_sums(block[:-1], block[-1], centers)
         yield _sum_rows(totals, names)
 
-    partial = packed.select("n", "data").mapInArrow(run, "model int, k int, " + ", ".join(f"{c} double" for c in names))
+    partial = packed.select("data").mapInArrow(run, "model int, k int, " + ", ".join(f"{c} double" for c in names))
     if not fits_bound(tasks * sum(sizes), 8 * (4 + dims)):
         partial = partial.groupBy("model", "k").agg(*[F.sum(c).alias(c) for c in names])
     return _added(partial.toArrow(), sizes, dims)
@@ -93,70 +93,113 @@ def _added(rows: pa.Table, sizes: Sequence[int], dims: int) -> list[np.ndarray]:
     return out
 
 
-class Settled:
-    """Packed points divided by how safe their label is, so that later steps read the unsafe ones only.
+_PART = "part int, n int, data binary, numbers array<double>"
+_BOUNDARY, _TOTAL, _SAFE, _COUNTS = range(4)
 
-    At some centres every point has a gap: the distance to the second-nearest centre minus that to the
-    nearest. While the two largest movements of centres since then add up to less than the gap, its label
-    cannot have changed. Points are written in classes of gaps, one folder each, with the sums of each
-    label in the class. A step reads the classes that the centres have moved too far for, and takes the
-    others from their sums.
+
+def _parts(packed: DataFrame, centers: np.ndarray, margin: float | None) -> DataFrame:
+    """The sums of all points and a count of their gaps from each task; with a ``margin`` also the sums of the
+    points with larger gaps, and the other points themselves."""
+    k, dims = centers.shape
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        total, safe, counts = np.zeros((k, 2 + dims)), np.zeros((k, 2 + dims)), np.zeros(GAP_CLASSES + 1)
+        for batch in batches:
+            for block in from_blocks(batch, dims + 1):
+                labels, best, gaps = nearest_with_gap(block[:-1], centers)
+                own = label_sums(block[:-1], block[-1], labels, best, k)
+                total += own
+                if margin is None:
+                    counts += np.bincount(gap_classes(gaps), minlength=GAP_CLASSES + 1)
+                    continue
+                near = ~(gaps > margin)
+                rest = np.ascontiguousarray(block[:, near])
+                safe += own - label_sums(rest[:-1], rest[-1], labels[near], best[near], k)
+                yield _part([(_BOUNDARY, rest.shape[1], rest.tobytes(), None)])
+        yield _part([(_TOTAL, 0, None, total.ravel()), (_SAFE, 0, None, safe.ravel()), (_COUNTS, 0, None, counts)])
+
+    return packed.select("data").mapInArrow(run, _PART)
+
+
+def _part(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.list_(pa.float64()))
+    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), kinds)], names=["part", "n", "data", "numbers"])
+
+
+def _numbers(parts: DataFrame, tasks: int, size: int) -> dict[int, np.ndarray]:
+    """The added-up numbers of each part."""
+    some = parts.where(F.col("part") != _BOUNDARY).select("part", "numbers")
+    if fits_bound(tasks, 3 * size):
+        out: dict[int, np.ndarray] = {}
+        for row in some.collect():
+            out[row["part"]] = out.get(row["part"], 0) + np.array(row["numbers"])
+        return out
+    added = some.select("part", F.posexplode("numbers").alias("at", "v")).groupBy("part", "at").agg(F.sum("v").alias("v"))
+    return {part: np.array([r["v"] for r in sorted(rows, key=lambda r: r["at"])])
+            for part, rows in _by_part(added.collect()).items()}
+
+
+def _by_part(rows) -> dict[int, list]:
+    out: dict[int, list] = {}
+    for row in rows:
+        out.setdefault(row["part"], []).append(row)
+    return out
+
+
+def counted_pass(packed: DataFrame, centers: np.ndarray, tasks: int) -> tuple[np.ndarray, np.ndarray]:
+    """K x (2 + d) sums over all points, and how many points there are in each class of gaps."""
+    k, dims = centers.shape
+    found = _numbers(_parts(packed, centers, None), tasks, max(k * (2 + dims), GAP_CLASSES + 1))
+    return found[_TOTAL].reshape(k, -1), found[_COUNTS]
+
+
+class Boundary:
+    """The points that can change their cluster, while all others are known by the sums of their clusters.
+
+    At the centres it is made for, every point has a gap: how much farther the second-nearest centre is than
+    the nearest. As long as the two largest movements of centres add up to no more than ``margin``, points
+    with larger gaps keep their cluster. ``sums`` are those of all points at these centres.
     """
 
-    def __init__(self, packed: DataFrame, centers: np.ndarray, scratch: Scratch, name: str):
-        self.centers, self.dims = centers.copy(), centers.shape[1]
-        k, width = len(centers), self.dims + 1
+    def __init__(self, packed: DataFrame, centers: np.ndarray, margin: float, scratch: Scratch, name: str, tasks: int):
+        self.centers, self.margin = centers.copy(), margin
+        k, dims = centers.shape
+        parts = scratch.write(_parts(packed, centers, margin), name)
+        found = _numbers(parts, tasks, max(k * (2 + dims), GAP_CLASSES + 1))
+        self.sums, self.safe = found[_TOTAL].reshape(k, -1), found[_SAFE].reshape(k, -1)
+        self.points = parts.where(F.col("part") == _BOUNDARY).select("data")
+        self.tasks = tasks
+
+    def holds(self, centers: np.ndarray) -> bool:
+        return largest_moves(self.centers, centers) <= self.margin
+
+    def step(self, centers: np.ndarray) -> np.ndarray:
+        """Sums at new centres; squared distances (column 1) cover the boundary only."""
+        return self.safe + model_sums(self.points, [centers], self.tasks)[0]
+
+    def iterate(self, centers: np.ndarray, steps: int, tol: float) -> tuple[np.ndarray, int, bool]:
+        """Up to ``steps`` Lloyd steps in one task that holds the boundary: new centres, steps made, and whether
+        they converged. It ends early when the margin is used up or a cluster runs empty."""
+        width = centers.shape[1] + 1
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-            for batch in batches:
-                for block in from_blocks(batch, width):
-                    found = gap_classes(block[:-1], centers)
-                    out = []
-                    for c in np.unique(found):
-                        part = block[:, found == c]
-                        out.append((int(c), part.shape[1], part.tobytes(), block_sums(part[:-1], part[-1], centers).tobytes()))
-                    columns = [pa.array(v, t) for v, t in zip(zip(*out), (pa.int32(), pa.int32(), pa.binary(), pa.binary()))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["gap", "n", "data", "sums"])
-
-        layout = "gap int, n int, data binary, sums binary"
-        self.table = scratch.write(packed.select("n", "data").mapInArrow(run, layout), name, "gap")
-
-        def add(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-            total: dict[int, np.ndarray] = {}
-            rows: dict[int, int] = {}
-            for batch in batches:
-                for c, n, value in zip(batch.column("gap").to_pylist(), batch.column("n").to_pylist(), batch.column("sums")):
-                    total[c] = total.get(c, 0) + np.frombuffer(value.as_buffer(), "float64")
-                    rows[c] = rows.get(c, 0) + n
-            if total:
-                flat = pa.array([v.tolist() for v in total.values()], pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(total), pa.int32()), pa.array([rows[c] for c in total], pa.int64()), flat], names=["gap", "n", "total"])
-
-        partial = self.table.select("gap", "n", "sums").mapInArrow(add, "gap int, n bigint, total array<double>")
-        size = k * (2 + self.dims)  # by class and place, so never more rows than classes times sums
-        added = partial.select("gap", "n", F.posexplode("total").alias("at", "v")).groupBy("gap", "at").agg(
-            F.sum("v").alias("v"), F.sum("n").alias("n"))
-        self.sums, self.rows = {}, {}
-        for row in added.collect():
-            self.sums.setdefault(row["gap"], np.zeros(size))[row["at"]] = row["v"]
-            self.rows[row["gap"]] = row["n"]
-        self.sums = {c: v.reshape(k, 2 + self.dims) for c, v in self.sums.items()}
-        self.tasks = self.table.rdd.getNumPartitions()
-
-    def step(self, centers: np.ndarray) -> tuple[np.ndarray, int]:
-        """K x (2 + d) sums at new centres, and the number of points read. The squared distances in column 1
-        cover the points read only."""
-        moved = np.sort(np.sqrt(((centers - self.centers) ** 2).sum(axis=1)))
-        needed = float(moved[-2:].sum()) * (1 + 1e-9) + 1e-12
-        unsafe = [c for c in self.sums if gap_floor(c) <= needed]
-        total = sum((v for c, v in self.sums.items() if c not in unsafe), np.zeros((len(centers), 2 + self.dims)))
-        if unsafe:
-            part = self.table.where(F.col("gap").isin(unsafe))
-            total = total + model_sums(part, [centers], self.tasks)[0]
-        return total, sum(self.rows[c] for c in unsafe)
-
-
-def gap_floor(c: int) -> float:
-    """The smallest gap of a class."""
-    return 0.0 if c == 0 else 2.0 ** (FIRST_GAP + 2 * c)
+            blocks = [b for batch in batches for b in from_blocks(batch, width)]
+            block = np.concatenate(blocks, axis=1) if blocks else np.zeros((width, 0))
+            now, made, shift = centers, 0, np.inf
+            while made < steps and shift > tol and self_holds(now):
+                sums = safe + block_sums(block[:-1], block[-1], now)
+                if (sums[:, 0] <= 0).any():
+                    break
+                moved = sums[:, 2:] / sums[:, :1]
+                shift, now, made = float(((moved - now) ** 2).sum()), moved, made + 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([now.ravel()], pa.list_(pa.float64())), pa.array([made], pa.int32()), pa.array([shift <= tol])],
+                names=["centers", "made", "ended"])
+
+        origin, margin, safe = self.centers, self.margin, self.safe
+
+        def self_holds(now):
+            return largest_moves(origin, now) <= margin
+
+        row = self.points.coalesce(1).mapInArrow(run, "centers array<double>, made int, ended boolean").first()
+        return np.array(row["centers"]).reshape(centers.shape), row["made"], row["ended"]

@@ -7,7 +7,7 @@ from gridlloyd import RecursiveKMeans, RecursiveKMeansModel
 from gridlloyd.operators import baselines, lloyd, metrics, packed
 from gridlloyd.operators import cells as cell_ops
 from gridlloyd.functions.randomness import keyed_uniform
-from gridlloyd.operators.blocks import move_centers
+from gridlloyd.operators.blocks import move_centers, nearest_with_gap
 from gridlloyd.sources.mixture import gaussian_mixture
 
 
@@ -257,18 +257,32 @@ def test_many_models_in_one_pass(spark, blobs):
         assert np.allclose(got.centers, brute_lloyd(blobs, np.ones(len(blobs)), start, got.n_iter))
 
 
-def test_settled_points_give_the_same_steps(spark, monkeypatch):
-    """Points divided by gaps early and often, against passes over all points; and fewer are read."""
+@pytest.mark.parametrize("alone", [0, 16 << 20])
+def test_boundary_points_give_the_same_steps(spark, monkeypatch, alone):
+    """Steps over the points near a border only, distributed or in one task, against plain steps over all."""
     rng = np.random.default_rng(4)
     x = np.repeat(rng.uniform(-1, 1, (6, 3)), 400, axis=0) + rng.normal(0, 0.2, (2400, 3))
     w = rng.integers(1, 5, 2400).astype(float)
     points = lloyd.point_frame(frame(spark, x, n=w), ["f0", "f1", "f2"], "n")
-    monkeypatch.setattr(lloyd, "SETTLE_AFTER", 2)
-    looked, real = [], packed.Settled.step
-    monkeypatch.setattr(packed.Settled, "step", lambda self, c: looked.append(real(self, c)) or looked[-1])
-    got = lloyd.weighted_lloyd(points, x[:6], max_iter=25, tol=0.0)
-    assert np.allclose(got.centers, brute_lloyd(x, w, x[:6], got.n_iter))
-    assert len(looked) > 10 and min(rows for _, rows in looked) < 1200
+    monkeypatch.setattr(lloyd, "BOUNDARY_BYTES", alone)
+    made = []
+    for name in ("step", "iterate"):
+        real = getattr(packed.Boundary, name)
+        monkeypatch.setattr(packed.Boundary, name, lambda *a, real=real, name=name: made.append((name, real(*a))) or made[-1][1])
+    for steps in (30, 300):
+        got = lloyd.weighted_lloyd(points, x[:6], max_iter=steps, tol=0.0)
+        assert np.allclose(got.centers, brute_lloyd(x, w, x[:6], got.n_iter)) and got.n_iter <= steps
+    assert {name for name, _ in made} == ({"iterate"} if alone else {"step"})
+
+
+def test_gaps_are_lower_bounds():
+    rng = np.random.default_rng(3)
+    x, centers = rng.normal(1e3, 1, (4, 5000)), rng.normal(1e3, 1, (7, 4))
+    labels, squares, gaps = nearest_with_gap(x, centers)
+    distance = np.sqrt(((x.T[:, None] - centers[None]) ** 2).sum(-1))
+    ordered = np.sort(distance, axis=1)
+    assert (labels == distance.argmin(axis=1)).all() and np.allclose(squares, ordered[:, 0] ** 2)
+    assert (gaps <= ordered[:, 1] - ordered[:, 0]).all() and (gaps > ordered[:, 1] - ordered[:, 0] - 1e-2).all()
 
 
 def test_mini_batch_matches_running_means(spark, blobs):
