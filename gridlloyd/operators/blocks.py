@@ -135,15 +135,19 @@ def label_distance_sums(a: pa.RecordBatch, b: pa.RecordBatch) -> list[pa.RecordB
     def matrix(block):
         return block.column("x").flatten().to_numpy(zero_copy_only=False).reshape(block.num_rows, -1)
 
-    x, y = matrix(a), matrix(b)
+    distance = pair_distances(matrix(a), matrix(b))
+    return [sums_by_label(a, b, distance), sums_by_label(b, a, distance.T)]
+
+
+def pair_distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Euclidean distance of every row of ``x`` to every row of ``y``."""
     origin = y.mean(axis=0)
     x, y = x - origin, y - origin
     square = (x**2).sum(axis=1)[:, None] + (y**2).sum(axis=1)[None, :] - 2.0 * (x @ y.T)
-    distance = np.sqrt(np.maximum(square, 0.0))
-    return [_sums_by_label(a, b, distance), _sums_by_label(b, a, distance.T)]
+    return np.sqrt(np.maximum(square, 0.0))
 
 
-def _sums_by_label(rows: pa.RecordBatch, others: pa.RecordBatch, distance: np.ndarray) -> pa.RecordBatch:
+def sums_by_label(rows: pa.RecordBatch, others: pa.RecordBatch, distance: np.ndarray) -> pa.RecordBatch:
     codes = others.column("label").dictionary_encode()
     names, index = codes.dictionary, codes.indices.to_numpy(zero_copy_only=False)
     member = np.zeros((others.num_rows, len(names)))

@@ -7,7 +7,7 @@ scalars.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
 import numpy as np
@@ -126,7 +126,7 @@ def _mean_worst_ratio(spread: DataFrame, k: int, d: int) -> float:
     label_type = spread.schema["label"].dataType.simpleString()
 
     def worst(key: tuple, table: pa.Table) -> pa.Table:
-        sides = _sides(table)
+        sides = pair_sides(table)
         if len(sides) == 1 and key[0].as_py() != key[1].as_py():
             return table.select(["label"]).append_column("worst", pa.array(np.zeros(table.num_rows)))
         spreads = [s.column("spread").to_numpy() for s in sides]
@@ -135,12 +135,12 @@ def _mean_worst_ratio(spread: DataFrame, k: int, d: int) -> float:
         return pa.table({"label": pa.chunked_array([c for s in sides for c in s.column("label").chunks], table.column("label").type),
                          "worst": np.concatenate(found)})
 
-    groups = _group_count(spread, k, d + 1)
-    ratios = _paired(spread, [F.col("label")], groups).groupBy("p", "q").applyInArrow(worst, f"label {label_type}, worst double")
+    groups = group_count(spread, k, d + 1)
+    ratios = group_pairs(spread, [F.col("label")], groups).groupBy("p", "q").applyInArrow(worst, f"label {label_type}, worst double")
     return ratios.groupBy("label").agg(F.max("worst").alias("worst")).agg(F.avg("worst")).first()[0]
 
 
-def _group_count(df: DataFrame, rows: int, doubles_per_row: int) -> int:
+def group_count(df: DataFrame, rows: int, doubles_per_row: int) -> int:
     """Groups into which rows are hashed to be compared pairwise: enough that all cores have a pair and
     that a group stays within ``GROUP_BYTES``."""
     cores = df.sparkSession.sparkContext.defaultParallelism
@@ -148,14 +148,14 @@ def _group_count(df: DataFrame, rows: int, doubles_per_row: int) -> int:
         math.ceil(math.sqrt(2 * cores)), math.ceil(rows * doubles_per_row * 8 / GROUP_BYTES))))
 
 
-def _paired(df: DataFrame, ids: Sequence[Column], groups: int) -> DataFrame:
+def group_pairs(df: DataFrame, ids: Sequence[Column], groups: int) -> DataFrame:
     """Every row once for each pair (p, q), p <= q, that its group ``g`` is in."""
     mine = df.withColumn("g", F.pmod(F.xxhash64(*ids), F.lit(groups)).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))
     return mine.withColumn("h", other).withColumns({"p": F.least("g", "h"), "q": F.greatest("g", "h")}).drop("h")
 
 
-def _sides(table: pa.Table) -> list[pa.Table]:
+def pair_sides(table: pa.Table) -> list[pa.Table]:
     """The rows of the one or two groups of a pair."""
     g = table.column("g").to_numpy()
     return [table.filter(pa.array(g == i)) for i in np.unique(g)]
@@ -169,7 +169,7 @@ def silhouette_samples(df: DataFrame, features, label: str, ids: Sequence[str])
     sum of its distances - never the distances themselves. ``ids`` must identify a row.
     """
     xs = feature_columns(df, features)
-    groups = _group_count(df, df.count(), len(xs) + 4)
+    groups = group_count(df, df.count(), len(xs) + 4)
     rows = df.select(F.struct(*ids).alias("key"), F.col(label).alias("label"), F.array(*xs).alias("x"))
     key_type, label_type = (rows.schema[c].dataType.simpleString() for c in ("key", "label"))
 
@@ -177,7 +177,7 @@ def silhouette_samples(df: DataFrame, features, label: str, ids: Sequence[str])
     schema = to_arrow_schema(StructType.fromDDL(layout))
 
     def sums(key: tuple, table: pa.Table) -> pa.Table:
-        sides = [[x for b in s.to_batches() for x in _blocks(b)] for s in _sides(table)]
+        sides = [[x for b in s.to_batches() for x in _blocks(b)] for s in pair_sides(table)]
         made, own = [], key[0].as_py() == key[1].as_py()
         for i, a in enumerate(sides[0]):
             if own:
@@ -187,7 +187,7 @@ def silhouette_samples(df: DataFrame, features, label: str, ids: Sequence[str])
         return pa.Table.from_batches(made).cast(schema) if made else schema.empty_table()
 
     per_label = (
-        _paired(rows, [F.col(f"key.{c}") for c in ids], groups).groupBy("p", "q").applyInArrow(sums, layout)
+        group_pairs(rows, [F.col(f"key.{c}") for c in ids], groups).groupBy("p", "q").applyInArrow(sums, layout)
         .groupBy("key", "own", "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n")))
     mine = F.col("own") == F.col("other")
     per_row = per_label.groupBy("key", "own").agg(
@@ -261,13 +261,13 @@ def _nmi(f: dict) -> float:
     return f["mi"] / mean if mean > 0 else 0.0
 
 
-def _ami(f: dict, margins: DataFrame) -> float:
+def _ami(f: dict, expected: Callable[[], float]) -> float:
     if f["rows_count"] == f["columns_count"] == 1:
         return 1.0
-    expected = _expected_mi(margins, f["n"])
+    chance = expected()
     mean = 0.5 * (f["rows_entropy"] + f["columns_entropy"])
-    gap, eps = mean - expected, float(np.finfo(float).eps)
-    return (f["mi"] - expected) / (min(gap, -eps) if gap < 0 else max(gap, eps))
+    gap, eps = mean - chance, float(np.finfo(float).eps)
+    return (f["mi"] - chance) / (min(gap, -eps) if gap < 0 else max(gap, eps))
 
 
 def _expected_mi(margins: DataFrame, total: int) -> float:
@@ -296,12 +296,29 @@ def agreement(df: DataFrame, reference: str, predicted: str) -> dict:
     with _kept(_margins(contingency(df, reference, predicted))) as margins:
         facts = _facts(margins)
         return {
-            "adjusted_mutual_info": _ami(facts, margins),
+            "adjusted_mutual_info": _ami(facts, lambda: _expected_mi(margins, facts["n"])),
             "adjusted_rand": _ari(facts),
             "normalized_mutual_info": _nmi(facts),
         }
 
 
+def agreement_of_counts(counts: np.ndarray) -> dict:
+    """The same from a small contingency table (reference x predicted)."""
+    total, facts = int(counts.sum()), {"n": int(counts.sum())}
+    margins = [m[m > 0] for m in (counts.sum(axis=1), counts.sum(axis=0))]
+    for name, n in zip(("cells", "rows", "columns"), (counts[counts > 0], *margins)):
+        facts |= {f"{name}_count": len(n), f"{name}_pairs": float((n * (n - 1) / 2).sum()),
+                  f"{name}_entropy": math.log(total) - float((n * np.log(n)).sum()) / total}
+    facts["mi"] = max(0.0, facts["rows_entropy"] + facts["columns_entropy"] - facts["cells_entropy"])
+    sizes, times = np.unique(margins[1].astype(int), return_counts=True)
+    return {
+        "adjusted_mutual_info": _ami(facts, lambda: sum(
+            expected_mutual_information(int(n), sizes, times, total) for n in margins[0])),
+        "adjusted_rand": _ari(facts),
+        "normalized_mutual_info": _nmi(facts),
+    }
+
+
 def adjusted_rand(df: DataFrame, reference: str, predicted: str) -> float:
     return _ari(_facts(_margins(contingency(df, reference, predicted))))
 
