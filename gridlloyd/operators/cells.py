@@ -23,7 +23,10 @@ from ..session import Scratch
 from .joins import lookup
 from .sampling import with_running_total
 
-MAX_DEPTH = 24
+#: Halvings of the box that doubles can tell apart.
+MAX_DEPTH = 52
+#: Deepest level whose coordinates are INT; those of deeper levels are BIGINT.
+_INT_DEPTH = 31
 UNIT_BOUNDS = (-1.0, 1.0)
 
 
@@ -38,10 +41,11 @@ def cell_coordinate(x: Column, depth: int, bounds: tuple[float, float] = UNIT_BO
 
 
 def with_cell(df: DataFrame, features, depth: int, bounds=UNIT_BOUNDS, cell: str = "cell") -> DataFrame:
-    """Append the cell of every row at ``depth`` as ARRAY<INT>; a projection, no shuffle."""
+    """Append the cell of every row at ``depth`` as ARRAY<INT>, or ARRAY<BIGINT> beyond depth 31; a
+    projection, no shuffle."""
     _check_depth(depth)
     xs = feature_columns(df, features)
-    return df.withColumn(cell, F.array(*[cell_coordinate(x, depth, bounds).cast("int") for x in xs]))
+    return df.withColumn(cell, F.array(*[cell_coordinate(x, depth, bounds).cast(_coordinate_type(depth)) for x in xs]))
 
 
 def hypercube_id(cell: Column, dims: int) -> Column:
@@ -55,7 +59,7 @@ def cell_path(cell: Column, dims: int, depth: int) -> Column:
     the tree lists its cells."""
     ids = []
     for i in range(1, depth + 1):
-        bits = [F.shiftleft(F.shiftright(F.get(cell, F.lit(j)), depth - i).bitwiseAND(F.lit(1)).cast("bigint"), j)
+        bits = [F.shiftleft(F.shiftright(F.get(cell, F.lit(j)).cast("bigint"), depth - i).bitwiseAND(F.lit(1)), j)
                 for j in range(dims)]
         ids.append(reduce(lambda a, b: a + b, bits))
     return F.array(*ids)
@@ -131,7 +135,7 @@ def levels(df: DataFrame, features, depth: int, bounds=UNIT_BOUNDS) -> DataFrame
 def geometry(stats: DataFrame, dims: int, bounds=UNIT_BOUNDS) -> DataFrame:
     """Append the box of every cell: arrays ``lo``, ``hi`` and the split point ``threshold``."""
     low, high = (float(b) for b in bounds)
-    side = F.lit(high - low) / F.call_function("shiftleft", F.lit(1), F.col("depth")).cast("double")
+    side = F.lit(high - low) / F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("depth")).cast("double")
     at = [F.lit(low) + F.get("cell", F.lit(j)).cast("double") * side for j in range(dims)]
     return (
         stats.withColumn("lo", F.array(*at))
@@ -172,7 +176,7 @@ class CellLevels:
         if depth in self.cells:
             return
         if self._leaf is None or depth > self._leaf[0]:
-            deepest = max(depth, deepest)
+            deepest = min(MAX_DEPTH, max(depth, deepest))
             leaf = self.scratch.write(leaf_stats(self.df, self.features, deepest, self.bounds), f"leaf{deepest}")
             self._leaf = (deepest, leaf)
             self._register([deepest], deepest, leaf.withColumn("depth", F.lit(deepest)))
@@ -184,6 +188,28 @@ class CellLevels:
         upper = self.scratch.write(roll_up(leaf, self.dims, at, missing), f"above{at}-{depth}", "depth")
         self._register(missing, at, upper)
 
+    def first_with(self, count: int, ahead: int = 0) -> int | None:
+        """The first level with at least ``count`` cells, or ``None`` if there is none down to ``MAX_DEPTH``.
+
+        The descent ends early once every row has a cell of its own. Rows that crowd into few cells, as when
+        outliers set the box, are scanned again for twice the depth, so a handful of times at most.
+        """
+        depth = 1
+        while True:
+            self.require(depth, ahead + max(1, 2 * (depth - 1)))
+            leaf, _ = self._leaf
+            if self.cells[leaf] >= count or leaf == MAX_DEPTH:
+                low, high = depth, leaf  # cells never get fewer with depth
+                while low < high:
+                    middle = (low + high) // 2
+                    self.require(middle)
+                    low, high = (low, middle) if self.cells[middle] >= count else (middle + 1, high)
+                self.require(low)
+                return low if self.cells[low] >= count else None
+            if self.cells[leaf] == self.n_rows:
+                return None
+            depth = leaf + 1
+
     def _register(self, depths: list[int], packed: int, table: DataFrame) -> None:
         spread = sum(F.var_pop(F.col(f"s{j}") / F.col("n")) for j in range(self.dims)) / F.lit(self.dims)
         facts = table.groupBy("depth").agg(
@@ -221,6 +247,10 @@ class CellLevels:
         self.scratch.drop()
 
 
+def _coordinate_type(depth: int) -> str:
+    return "int" if depth <= _INT_DEPTH else "bigint"
+
+
 def _check_depth(depth: int) -> None:
     if not 1 <= depth <= MAX_DEPTH:
         raise ValueError(f"depth must be in 1..{MAX_DEPTH}, not {depth}")
@@ -248,7 +278,7 @@ def _unpack(dims: int, packed_depth: int, depth: int) -> list[Column]:
     return [
         F.shiftright(F.col(f"w{j // per}"), packed_depth * (j % per) + packed_depth - depth)
         .bitwiseAND(F.lit(2**depth - 1))
-        .cast("int")
+        .cast(_coordinate_type(depth))
         for j in range(dims)
     ]
 
@@ -267,7 +297,7 @@ def _describe(tree: DataFrame, dims: int, packed_depth: int) -> DataFrame:
     cell = [
         F.shiftright(F.col(f"w{j // per}"), packed_depth * (j % per))
         .bitwiseAND(F.lit(2**packed_depth - 1))
-        .cast("int")
+        .cast(_coordinate_type(packed_depth))
         for j in range(dims)
     ]
     up = F.lit(packed_depth) - F.col("depth")

@@ -223,6 +223,43 @@ def _relative_table() -> str:
     return f"WITH {RESULTS} " + " UNION ALL ".join(parts)
 
 
+def _keys(xs: list[str]) -> str:
+    """The cell of a row at the level ``depth``."""
+    return ", ".join(
+        f"greatest(ceil(least(greatest({x}, -1.0), 1.0) * (1::BIGINT << (depth - 1))::DOUBLE)::BIGINT + (1::BIGINT << (depth - 1)) - 1, 0)"
+        for x in xs)
+
+
+def _instance_ratios() -> str:
+    """Cells of every level of both samples and column choices; the fit with m levels ends at the m-th from the
+    first with enough cells on."""
+    import random
+
+    ids = ", ".join(q.LINE_IDS)
+    features = ", ".join(f"{_unit(c, 'lineitem')} AS u_{c}" for c in q.LINE)
+    counts = " UNION ALL ".join(
+        f"SELECT {d} AS n_dims, size AS n_samples, depth, count(DISTINCT ({_keys([f'u_{c}' for c in random.Random(0).sample(list(q.LINE), d)])})) AS n_cells "
+        "FROM ranked JOIN sizes ON place <= size, range(1, 53) t(depth) GROUP BY size, depth" for d in (2, len(q.LINE)))
+    return (
+        f"WITH ranked AS (SELECT row_number() OVER (ORDER BY {_hash(0, ids)}, {ids}) AS place, {features} FROM lineitem), "
+        "sizes AS (SELECT unnest([count(*) // 2, count(*)]) AS size FROM lineitem), "
+        f"counts AS ({counts}), wanted AS (SELECT unnest({list(q.RATIO_CLUSTERS)}) AS n_clusters) "
+        "SELECT n_clusters::INTEGER AS n_clusters, n_dims::INTEGER AS n_dims, n_samples, "
+        "(row_number() OVER (PARTITION BY n_clusters, n_dims, n_samples ORDER BY depth))::INTEGER AS param, "
+        "round(n_cells::DOUBLE / n_samples, 9) AS instance_ratio FROM counts JOIN wanted ON n_cells >= n_clusters QUALIFY param <= 6")
+
+
+def _first_depth(box: str, xs: list[str], count: int) -> str:
+    """The first of all 52 levels with so many cells; every level is counted straight from the rows."""
+    keys = _keys(xs)
+    return (f"(SELECT '{box}' AS box, depth::INTEGER AS depth, n_cells FROM (SELECT depth, count(DISTINCT ({keys})) AS n_cells "
+            f"FROM pts, range(1, 53) t(depth) GROUP BY depth) WHERE n_cells >= {count} ORDER BY depth LIMIT 1)")
+
+
+_CROWDED = ["CASE WHEN l_orderkey % 64 = 0 THEN x0 ELSE x0 * pow(2.0, -36) END", "x1 * pow(2.0, -40)"]
+FIRST_DEPTHS = f"WITH {LINE_PTS} " + _first_depth("line", [f"x{j}" for j in D], 100) + " UNION ALL " + _first_depth("crowded", _CROWDED, 2000)
+
+
 def _levels_union(select: str, depths=range(1, 7)) -> str:
     return _with(LINE_PTS, *[_level(i, f"l{i}") for i in depths]) + " UNION ALL ".join(
         select.format(i=i) for i in depths)
@@ -237,7 +274,6 @@ WIDE_CENTERS = ("wc AS (SELECT k, j, (((k * 7 + (j - 1) * 3) % 11 - 5) / 40.0)::
                 "flat AS (SELECT vec_id, generate_subscripts(embedding, 1) AS j, unnest(embedding)::DOUBLE AS x FROM embeddings)")
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 COUNTS = ", ".join(f"(SELECT {i} AS depth, count(*) AS n_cells FROM l{i})" for i in range(1, 7))
-DEPTH_COUNTS = "counts AS (" + " UNION ALL ".join(f"SELECT {i} AS depth, count(*) AS n_cells FROM l{i}" for i in range(1, 7)) + ")"
 EVENT_GAP = ", ".join(f"((value - {c[0]}) * (value - {c[0]}), {k})" for k, c in enumerate(q.EVENT_CENTERS))
 
 
@@ -280,8 +316,7 @@ def sql() -> dict[str, str]:
             + f") - 1 AS ordinal FROM (SELECT *, {_coordinates(2)} FROM pts)",
         "instance_ratio_by_depth": _levels_union(
             "SELECT {i} AS depth, count(*) AS n_cells, sum(n)::BIGINT AS n_rows, round(count(*)::DOUBLE / sum(n), 9) AS instance_ratio FROM l{i}"),
-        "first_depth_ge_k": _with(LINE_PTS, *[_level(i, f"l{i}") for i in range(1, 7)], DEPTH_COUNTS)
-            + "SELECT depth, n_cells FROM counts WHERE n_cells >= 100 ORDER BY depth LIMIT 1",
+        "first_depth_ge_k": FIRST_DEPTHS,
         "seed_cells_hash": _with(LINE_PTS, _level(2, "l2"))
             + "SELECT (row_number() OVER (ORDER BY h, g0, g1, g2, g3) - 1)::INTEGER AS k, "
             + ", ".join(f"round(m{j}, 6) AS c{j}" for j in D)
@@ -301,9 +336,7 @@ def sql() -> dict[str, str]:
         "center_trajectory": _with(*two) + shift,
         "labels_by_level": _with(*two, _assigned("f1", "pts", "after1"), _assigned("f2", "pts", "after2"))
             + "SELECT f1.k::INTEGER AS level1, f2.k::INTEGER AS level2, count(*) AS n FROM f1 JOIN f2 USING (rid) GROUP BY 1, 2",
-        "recursive_instance_ratio": _with(LINE_PTS, *[_level(i, f"l{i}") for i in range(1, 7)], DEPTH_COUNTS)
-            + "SELECT 20 AS n_clusters, (SELECT count(*) FROM pts) AS n_samples, (row_number() OVER (ORDER BY depth))::INTEGER AS param, "
-            "round(n_cells::DOUBLE / (SELECT count(*) FROM pts), 9) AS instance_ratio FROM counts WHERE n_cells >= 20 ORDER BY depth LIMIT 3",
+        "recursive_instance_ratio": _instance_ratios(),
         "recursive_score": _with(LINE_PTS, _centers("c0", q.LINE_CENTERS), _level(1, "l1"), _cell_points("l1", "p1"),
                                  _assigned("a0", "p1", "c0"), _moved("c1", "a0"), _assigned("near", "pts", "c1"))
             + "SELECT round(avg((k = l_linenumber)::INTEGER), 6) AS score FROM pts JOIN near USING (rid)",

@@ -21,6 +21,9 @@ from ..streaming.scoring import cell_stream, score_stream
 from . import report, sweep
 
 LINE = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+#: Integer columns that name a row of lineitem, and the numbers of clusters of the ratio table.
+LINE_IDS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+RATIO_CLUSTERS = (3, 20)
 LINE_ROW = ("l_orderkey", "l_linenumber", "l_extendedprice")
 #: Fixed start centres for the four lineitem features, scaled to [-1, 1].
 LINE_CENTERS = (
@@ -150,9 +153,20 @@ def instance_ratio_by_depth(spark, sf_dir):
 
 @query
 def first_depth_ge_k(spark, sf_dir):
-    ratio = cells.instance_ratio_by_depth(cells.levels(_line(spark, sf_dir), list(LINE), 6))
-    return ratio.where(F.col("n_cells") >= 100).agg(
-        F.min("depth").alias("depth"), F.min_by("n_cells", "depth").alias("n_cells"))
+    """The first level of lineitem with 100 cells, in the scaled box and in one that outliers have set."""
+    line, wide = _line(spark, sf_dir), F.col("l_quantity") * F.lit(2.0**-36)
+    crowded = _line(spark, sf_dir, "l_orderkey").withColumn(
+        "l_quantity", F.when(F.col("l_orderkey") % 64 == 0, F.col("l_quantity")).otherwise(wide)).select("l_quantity", "l_extendedprice")
+    crowded = crowded.withColumn("l_extendedprice", F.col("l_extendedprice") * F.lit(2.0**-40))
+    rows = []
+    for name, df, features, count in (("line", line, list(LINE), 100), ("crowded", crowded, ["l_quantity", "l_extendedprice"], 2000)):
+        store = cells.CellLevels(df, features)
+        try:
+            depth = store.first_with(count)
+            rows.append((name, depth, store.cells.get(depth)))
+        finally:
+            store.drop()
+    return spark.createDataFrame(rows, "box string, depth int, n_cells bigint")
 
 
 @query
@@ -252,12 +266,12 @@ def recursive_fit_summary(spark, sf_dir):
 
 @query
 def recursive_instance_ratio(spark, sf_dir):
-    """Instance ratio of the fits with 1, 2, 3 levels, all read from one fit."""
-    make = lambda k, d, n, replica: sweep.Sample(_line(spark, sf_dir), list(LINE), [])
+    """Instance ratio of the fits with 1 to 6 levels, for two K, two d, and N of half and all rows."""
+    make = sweep.table_maker(_line(spark, sf_dir, *LINE_IDS), list(LINE), list(LINE_IDS), method="md5")
     n = _table(spark, sf_dir, "lineitem").count()
-    grid = sweep.Grid(n_clusters=[20], n_dims=[EMBEDDING_DIMS], n_samples=[n], level_counts=[1, 2, 3], replicas=1)
+    grid = sweep.Grid(n_clusters=RATIO_CLUSTERS, n_dims=[2, len(LINE)], n_samples=[n // 2, n], replicas=1, parallel=4)
     return sweep.ratio_sweep(spark, make, grid).select(
-        "n_clusters", "n_samples", "param", _r("instance_ratio", 9).alias("instance_ratio"))
+        "n_clusters", "n_dims", "n_samples", "param", _r("instance_ratio", 9).alias("instance_ratio"))
 
 
 @query

@@ -117,3 +117,20 @@ def test_cell_levels_extend_and_reject(spark):
         broken = df.limit(5).unionByName(spark.createDataFrame([(0.1, bad, 9)], "f0 double, f1 double, id long"))
         with pytest.raises(ValueError, match="null, NaN or infinite"):
             cells.CellLevels(broken, ["f0", "f1"]).require(2)
+
+
+def test_crowded_rows_are_split_to_the_last_bit(spark):
+    """Two far outliers set the box; all other rows share one cell down to depth 30."""
+    from gridlloyd import RecursiveKMeans
+
+    inside = [0.5 * 2.0**-30 + i * 2.0**-40 for i in range(40)]
+    df = spark.createDataFrame([(v,) for v in [-1.0, 1.0, *inside]], "x double")
+    store = cells.CellLevels(df, ["x"])
+    depth = store.first_with(10)
+    assert depth > 30 and store.cells[depth] >= 10 > store.cells.get(depth - 1, 0)
+    assert store.first_with(10**6) is None
+    store.drop()
+    model = RecursiveKMeans(inputCols=["x"], nClusters=10, maxIter=2).fit(df)
+    assert model.n_iter >= 1 and model.history.first()["depth"] == depth
+    stats = cells.cell_stats(df, ["x"], 52)
+    assert stats.count() == 42 and dict(stats.dtypes)["cell"] == "array<bigint>"
