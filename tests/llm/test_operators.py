@@ -1,8 +1,11 @@
 """The corpus operators against plain versions, on awkward small tables and on the smallest given ones."""
 
+import math
 import os
 import random
+import re
 import sys
+from collections import Counter
 
 import public_tokenizers
 import pytest
@@ -264,6 +267,70 @@ def test_sample_has_the_size_and_prefers_the_target(spark, docs, empty):
     assert importance.resample(docs, labels.where("doc_id < 0"), Scratch(spark)).where("kept").count() == 0
 
 
+def plain_resampling(docs, labels, noise, size):
+    """(weight, key, kept) of each text, from n-grams counted one by one; ``noise`` is the hash of each row."""
+    times, mask = importance.MULTIPLIER, 2**64 - 1
+
+    def mixed(x):
+        x = (x ^ (x >> 32)) * 0xD6E8FEB86659FD93 & mask
+        return x ^ (x >> 29)
+
+    def buckets(text):
+        tokens = re.findall(rb"[0-9A-Za-z_\x80-\xff]+|[^0-9A-Za-z_\x80-\xff \t\n\x0b\x0c\r]+", (text or "").encode())
+        hashes = [mixed(sum((b + 1) * pow(times, i, 2**64) for i, b in enumerate(t)) & mask) for t in tokens]
+        pairs = [mixed((a * times + b) & mask) for a, b in zip(hashes, hashes[1:])]
+        return [h % importance.BUCKETS for h in hashes + pairs]
+
+    quality, toxic = {}, {}
+    for i, q, t in labels:
+        quality[i], toxic[i] = min(quality.get(i, q), q), max(toxic.get(i, t), t)
+    grams, counts = [buckets(text) for _, text in docs], [Counter(), Counter()]
+    for (i, _), own in zip(docs, grams):
+        counts[1].update(own)
+        if i is not None and quality.get(i) == 1 and toxic[i] == 0:
+            counts[0].update(own)
+    totals = [sum(c.values()) + importance.BUCKETS for c in counts]
+    out = []
+    for own, h in zip(grams, noise):
+        weight = sum(math.log((counts[0][b] + 1) / totals[0]) - math.log((counts[1][b] + 1) / totals[1]) for b in own)
+        uniform = ((h & mask) >> 11) + 0.5
+        out.append((weight, weight - math.log(-math.log(uniform / 2**53))) if own else (None, None))
+    ranked = sorted((k for _, k in out if k is not None), reverse=True)
+    least = (ranked[size - 1] if size <= len(ranked) else -math.inf) if size else math.inf
+    return [(w, k, k is not None and k >= least) for w, k in out]
+
+
+@pytest.mark.parametrize("size", [0, 1, 5, 10**6])
+def test_resampling_equals_plain_counts(spark, docs, size):
+    """Weights, keys, the k-th place and its ties; columns with the names of outputs are replaced."""
+    labels = [(4, 1, 0), (8, 1, 0), (14, 1, 0), (18, 1, 1), (20, 0, 0), (11, 1, 0), (11, 0, 0), (77, 1, 0)]
+    frame = spark.createDataFrame([*labels, (None, 1, 0)], "doc_id long, quality int, toxic int")
+    mine = docs.withColumn("kept", F.lit("mine")).withColumn("gumbel_key", F.lit(-1)).withColumn("extra", F.xxhash64("doc_id", F.lit(3)))
+    rows = mine.select("doc_id", "text", "extra").collect()
+    want = plain_resampling([tuple(r)[:2] for r in rows], labels, [r["extra"] for r in rows], size)
+    got = importance.resample(mine, frame, Scratch(spark), seed=3, size=size).collect()
+    assert len(got) == len(rows) and "text" not in got[0].asDict()
+
+    def tidy(i, weight, key, kept):
+        return repr((i, None if weight is None else round(weight, 6), None if key is None else round(key, 6), kept))
+
+    assert sorted(tidy(r["doc_id"], r["log_weight"], r["gumbel_key"], r["kept"]) for r in got) == sorted(
+        tidy(r["doc_id"], *w) for r, w in zip(rows, want))
+
+
+def test_resampling_of_given_rows_equals_plain_counts(spark, small):
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality", "toxic")
+    rows = small.select("doc_id", "text", F.xxhash64("doc_id", F.lit(0)).alias("h")).collect()
+    got = importance.resample(small, labels, Scratch(spark)).collect()
+    judged = [tuple(r) for r in labels.collect()]
+    size = round(sum(q == 1 for _, q, _ in judged) / len(judged) * len(rows))
+    want = plain_resampling([tuple(r)[:2] for r in rows], judged, [r["h"] for r in rows], size)
+    kept = {r["doc_id"] for r, w in zip(rows, want) if w[2]}
+    assert {r["doc_id"] for r in got if r["kept"]} == kept and len(kept) == size
+    weight = {r["doc_id"]: w[0] for r, w in zip(rows, want)}
+    assert all(abs(r["log_weight"] - weight[r["doc_id"]]) < 1e-6 for r in got)
+
+
 def test_gumbel_noise_repeats_and_differs_by_seed(spark, docs):
     labels = spark.createDataFrame([(4, 1, 0), (12, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     runs = [importance.resample(docs, labels, Scratch(spark), seed=s, size=3).where("doc_id = 4").first() for s in (1, 1, 2)]
