@@ -436,6 +436,10 @@ def sql() -> dict[str, str]:
         "sensor_text_round_trip": "SELECT vec_id::DOUBLE AS time, label::DOUBLE AS methane, part::DOUBLE AS ethylene, " + ", ".join(
             f"round(embedding[16 * part + {j + 1}]::DOUBLE, 6) AS attr{j}" for j in range(16))
             + " FROM embeddings, (SELECT unnest(range(4)) AS part)",
+        "sensor_own_headers": "SELECT CASE vec_id % 2 WHEN 0 THEN 'Methane_conc_(ppm)' ELSE 'CO_conc_(ppm)' END AS second, "
+            "vec_id::DOUBLE AS time, label::DOUBLE AS gas, part::DOUBLE AS ethylene, " + ", ".join(
+            f"round(embedding[16 * part + {j + 1}]::DOUBLE, 6) AS attr{j}" for j in range(16))
+            + " FROM embeddings, (SELECT unnest(range(4)) AS part)",
         "result_sink": f"WITH {RESULTS} SELECT n_clusters, algorithm, param, round(avg(silhouette), 6) AS silhouette FROM results GROUP BY ALL",
         "stream_scores": f"SELECT event_id, list_min([{EVENT_GAP}])[2]::INTEGER AS prediction FROM events",
         "stream_cells": "SELECT g0, count(*) AS n, round(avg(value), 6) AS m0 FROM (SELECT value, greatest(ceil(least(greatest("

@@ -7,6 +7,7 @@ results can be recomputed elsewhere.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -667,20 +668,40 @@ def arff_round_trip(spark, sf_dir):
     return df.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), "o_totalprice", "o_orderpriority")
 
 
-@query
-def sensor_text_round_trip(spark, sf_dir):
-    """Embeddings written as sensor logs, four lines of 16 values each, with a header in every file."""
-    scratch = Scratch(spark)
-    parts = _table(spark, sf_dir, "embeddings").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(3))))
+def _sensor_logs(spark, sf_dir, only=None) -> DataFrame:
+    """Embeddings as sensor lines, four of 16 values each."""
+    rows = _table(spark, sf_dir, "embeddings")
+    parts = (rows.where(only) if only else rows).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(3))))
     values = [F.col("vec_id").cast("string"), F.col("label").cast("string"), F.col("part").cast("string")]
     values += [F.get("embedding", F.col("part") * 16 + j).cast("double").cast("string") for j in range(16)]
-    lines = parts.select(F.concat_ws("   ", *values).alias("line"))
-    lines.toDF("Time (seconds), Methane conc (ppm), Ethylene conc (ppm), sensor readings").write.option(
-        "header", True).option("sep", "\u0001").option("quote", "").csv(f"{scratch.path}/log.txt")
-    df = text.read_sensor_text(spark, f"{scratch.path}/log.txt")
+    return parts.select(F.concat_ws("   ", *values).alias("line"))
+
+
+def _write_log(lines: DataFrame, header: str, path: str) -> None:
+    lines.toDF(header).write.option("header", True).option("sep", "\u0001").option("quote", "").option("extension", "txt").csv(path)
+
+
+@query
+def sensor_text_round_trip(spark, sf_dir):
+    """Embeddings written as sensor logs with a header in every file, and read back."""
+    path = f"{Scratch(spark).path}/log.txt"
+    _write_log(_sensor_logs(spark, sf_dir), "Time (seconds), Methane conc (ppm), Ethylene conc (ppm), sensor readings", path)
+    df = text.read_sensor_text(spark, path)
     return df.select(*[_r(c).alias(c.split("_")[0].lower()) for c in df.columns])
 
 
+@query
+def sensor_own_headers(spark, sf_dir):
+    """Logs of one folder under two headers: each table has the names of its own files."""
+    path = f"{Scratch(spark).path}/logs"
+    for i, gas in enumerate(("Methane", "CO")):
+        _write_log(_sensor_logs(spark, sf_dir, f"vec_id % 2 = {i}"), f"Time (seconds), {gas} conc (ppm), Ethylene conc (ppm), rest", f"{path}/{i}.txt")
+    tables_found = text.read_sensor_tables(spark, path)
+    both = [df.select(F.lit(names[1]).alias("second"), *[_r(c).alias(n) for c, n in zip(
+        df.columns, ("time", "gas", "ethylene", *df.columns[3:]))]) for names, df in tables_found.items()]
+    return reduce(DataFrame.unionByName, both)
+
+
 @query
 def result_sink(spark, sf_dir):
     """Averaged results written as CSV with ``None`` for nulls, and read back."""
@@ -734,13 +755,15 @@ def quality_sweep_table(spark, sf_dir):
 
 @query
 def dataset_sweep(spark, sf_dir):
-    """Suppliers as a labelled CSV, compared with k-means++ in all twelve columns."""
-    scratch = Scratch(spark)
-    path = f"{scratch.path}/supplier.csv"
-    supplier = _table(spark, sf_dir, "supplier").select(
-        "s_acctbal", "s_nationkey", F.pmod("s_suppkey", F.lit(3)).alias("target"))
-    supplier.write.option("header", True).csv(path)
-    return sweep.dataset_sweep(spark, [path], replicas=1)
+    """A folder of labelled CSVs with different columns - suppliers, customers, parts - compared with k-means++ in
+    all twelve columns, two replicas each."""
+    folder = f"{Scratch(spark).path}/datasets"
+    for name, columns, key in (("supplier", ["s_acctbal", "s_nationkey"], "s_suppkey"),
+                               ("customer", ["c_acctbal", "c_nationkey", "c_mktsegment"], "c_custkey"),
+                               ("part", ["p_size", "p_retailprice"], "p_partkey")):
+        rows = _table(spark, sf_dir, name).select(*columns, F.pmod(key, F.lit(3)).alias("target"))
+        rows.write.option("header", True).csv(f"{folder}/{name}.csv")
+    return sweep.dataset_sweep(spark, folder)
 
 
 # ---------------------------------------------------------------- streaming

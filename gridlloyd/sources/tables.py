@@ -100,3 +100,10 @@ def read_results(spark: SparkSession, path: str, schema: StructType | str | None
 def string_columns(df: DataFrame) -> list[str]:
     """Categorical columns: those of string type."""
     return [f.name for f in df.schema if isinstance(f.dataType, StringType)]
+
+
+def csv_paths(spark: SparkSession, folder: str) -> list[str]:
+    """The CSV data sets in a folder, by name: files, or folders of part files, that end in ``.csv``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return sorted(str(f.getPath()) for f in found if f.getPath().getName().endswith(".csv"))

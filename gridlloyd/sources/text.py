@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -22,26 +24,58 @@ def read_sensor_text(spark: SparkSession, path: str) -> DataFrame:
     """Whitespace-separated sensor logs (one file or a folder searched for ``*.txt``) as doubles.
 
     The first line of each file is its header: the CSV reader drops it where the file begins, however
-    the rest is split, while every other line stays one uncut column.
+    the rest is split, while every other line stays one uncut column. All files must have the same names;
+    ``read_sensor_tables`` takes folders in which they differ.
+    """
+    files = _sensor_files(spark, path)
+    found = _sensor_names(files, path)
+    names = [tuple(r["names"]) for r in found.select("names").distinct().limit(2).collect()]
+    if not names:
+        raise ValueError(f"no sensor text under {path}")
+    if len(names) > 1:
+        raise ValueError(f"the files under {path} have different headers: {sorted(names)}; use read_sensor_tables")
+    return _sensor_table(_sensor_lines(files, path), names[0])
+
+
+def read_sensor_tables(spark: SparkSession, path: str) -> dict[tuple[str, ...], DataFrame]:
+    """A table for each distinct list of names among the sensor logs under ``path``, by these names.
+
+    Every file is read under its own header, its lines being joined to the files of that header.
     """
+    files = _sensor_files(spark, path)
+    found = _sensor_names(files, path)
+    lines = _sensor_lines(files, path, "_metadata.file_path AS file")
+    tables = {}
+    for row in found.select("names").distinct().orderBy("names").collect():  # one for each header, not for each file
+        own = found.where(F.col("names") == F.array(*map(F.lit, row["names"]))).select("file")
+        tables[tuple(row["names"])] = _sensor_table(lines.join(own, "file", "left_semi"), row["names"])
+    return tables
+
+
+def _sensor_files(spark: SparkSession, path: str):
     files = spark.read.option("recursiveFileLookup", True)
-    if not path.endswith(".txt"):
-        files = files.option("pathGlobFilter", "*.txt")
+    return files if path.endswith(".txt") else files.option("pathGlobFilter", "*.txt")
+
+
+def _sensor_names(files, path: str) -> DataFrame:
+    """(file, names): the first three names in the header of every file, as ``sensor_columns`` makes them."""
     starts = files.text(path).where(F.col("_metadata.file_block_start") == 0).select(
         "value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"))
     first = starts.groupBy("file").agg(F.min_by("value", "line").alias("header"))
     strip = lambda c: F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
-    named = F.slice(F.transform(F.split(strip(F.col("header")), ","), lambda c: F.replace(strip(c), F.lit(" "), F.lit("_"))), 1, SENSOR_NAMED)
-    headers = [r["header"] for r in first.groupBy(named.alias("names")).agg(F.min("header").alias("header")).limit(2).collect()]
-    found = {tuple(sensor_columns(h)) for h in headers}
-    if not found:
-        raise ValueError(f"no sensor text under {path}")
-    if len(found) > 1:
-        raise ValueError(f"the files under {path} have different headers: {sorted(found)}; read them one by one")
-    names = found.pop()
+    named = F.transform(F.split(strip(F.col("header")), ","), lambda c: F.replace(strip(c), F.lit(" "), F.lit("_")))
+    return first.select("file", F.slice(named, 1, SENSOR_NAMED).alias("names"))
+
+
+def _sensor_lines(files, path: str, *more: str) -> DataFrame:
     lines = (
         files.schema("line string").option("header", True).option("enforceSchema", True)
         .option("sep", "\u0001").option("quote", "").option("escape", "").csv(path))
+    return lines.selectExpr("line", *more)
+
+
+def _sensor_table(lines: DataFrame, named: Sequence[str]) -> DataFrame:
+    names = [*named, *[f"attr{i}" for i in range(SENSOR_ATTRIBUTES)]]
     fields = F.split(F.regexp_replace(F.trim("line"), " +", " "), " ")
     whole = F.when(F.size(fields) == len(names), fields).otherwise(F.raise_error(
         F.concat(F.lit(f"a sensor line must have {len(names)} fields: "), F.col("line"))))
