@@ -13,8 +13,8 @@ windows of a text that share an anchor follow one another and make a bundle. The
 3. for what is left, the ends of repeated runs, each window's own bytes, compared among the bundles of
    one core: equal groups are exactly the repeated windows.
 
-Digits are compared by 64-bit hashes; as a group agrees in its core and in its span or window, 128 bits
-have to agree before bytes are removed.
+Digits are compared by 64-bit hashes. Among bundles of one core a span or window is told apart by one such
+hash, its bytes are not compared.
 """
 
 from __future__ import annotations
