@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import isfinite
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,12 +41,36 @@ def cell_coordinate(x: Column, depth: int, bounds: tuple[float, float] = UNIT_BO
     return F.greatest(F.ceil(inside * F.lit(float(half))) + F.lit(half - 1), F.lit(0).cast("bigint"))
 
 
+def data_bounds(df: DataFrame, features) -> tuple[tuple[float, float], ...]:
+    """The smallest and largest value of every dimension, over the rows whose features are all finite; one aggregate.
+
+    A dimension with a single value gets a box of width 1 or of that value's size above it, so that its rows share
+    one cell. A table without such rows has no box and is an error, as is a range too wide for doubles.
+    """
+    if df.isStreaming:
+        raise ValueError("the box of a stream cannot be known ahead; give bounds")
+    xs = feature_columns(df, features)
+    ends = df.where(all_finite(xs)).agg(*[f(x) for x in xs for f in (F.min, F.max)]).first()
+    if ends[0] is None:
+        raise ValueError("no row has finite features, so there is no box")
+    pairs = [(lo, hi if hi > lo else lo + max(1.0, abs(lo))) for lo, hi in zip(ends[::2], ends[1::2])]
+    if not all(isfinite(hi - lo) for lo, hi in pairs):
+        raise ValueError("the range of a feature is too wide for doubles; scale the features")
+    return tuple(pairs)
+
+
+def box(df: DataFrame, features, bounds=UNIT_BOUNDS) -> tuple[tuple[float, float], ...]:
+    """(low, high) of every dimension: ``bounds`` is one pair for all, a pair for each, or "auto" for ``data_bounds``."""
+    return data_bounds(df, features) if _is_auto(bounds) else _pairs(bounds, len(feature_columns(df, features)))
+
+
 def with_cell(df: DataFrame, features, depth: int, bounds=UNIT_BOUNDS, cell: str = "cell") -> DataFrame:
     """Append the cell of every row at ``depth`` as ARRAY<INT>, or ARRAY<BIGINT> beyond depth 31; a
     projection, no shuffle."""
     _check_depth(depth)
     xs = feature_columns(df, features)
-    return df.withColumn(cell, F.array(*[cell_coordinate(x, depth, bounds).cast(_coordinate_type(depth)) for x in xs]))
+    at = [cell_coordinate(x, depth, b) for x, b in zip(xs, box(df, features, bounds))]
+    return df.withColumn(cell, F.array(*[c.cast(_coordinate_type(depth)) for c in at]))
 
 
 def hypercube_id(cell: Column, dims: int) -> Column:
@@ -85,7 +110,7 @@ def leaf_stats(df: DataFrame, features, depth: int, bounds=UNIT_BOUNDS) -> DataF
     """
     _check_depth(depth)
     xs = feature_columns(df, features)
-    words = _pack([cell_coordinate(x, depth, bounds) for x in xs], depth)
+    words = _pack([cell_coordinate(x, depth, b) for x, b in zip(xs, box(df, features, bounds))], depth)
     words[0] = F.when(all_finite(xs), words[0])
     return df.groupBy(*[w.alias(f"w{i}") for i, w in enumerate(words)]).agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(x).alias(f"s{j}") for j, x in enumerate(xs)]
@@ -133,14 +158,17 @@ def levels(df: DataFrame, features, depth: int, bounds=UNIT_BOUNDS) -> DataFrame
 
 
 def geometry(stats: DataFrame, dims: int, bounds=UNIT_BOUNDS) -> DataFrame:
-    """Append the box of every cell: arrays ``lo``, ``hi`` and the split point ``threshold``."""
-    low, high = (float(b) for b in bounds)
-    side = F.lit(high - low) / F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("depth")).cast("double")
-    at = [F.lit(low) + F.get("cell", F.lit(j)).cast("double") * side for j in range(dims)]
+    """Append the box of every cell: arrays ``lo``, ``hi`` and the split point ``threshold``.
+
+    ``bounds`` are those that the cells were made with, a pair for all dimensions or for each."""
+    pairs = _pairs(bounds, dims)
+    parts = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("depth")).cast("double")
+    side = [F.lit(high - low) / parts for low, high in pairs]
+    at = [F.lit(low) + F.get("cell", F.lit(j)).cast("double") * side[j] for j, (low, _) in enumerate(pairs)]
     return (
         stats.withColumn("lo", F.array(*at))
-        .withColumn("hi", F.array(*[a + side for a in at]))
-        .withColumn("threshold", F.array(*[a + side / F.lit(2.0) for a in at]))
+        .withColumn("hi", F.array(*[a + s for a, s in zip(at, side)]))
+        .withColumn("threshold", F.array(*[a + s / F.lit(2.0) for a, s in zip(at, side)]))
     )
 
 
@@ -157,7 +185,7 @@ class CellLevels:
     """Levels of one table, written to the shared folder and built as they are asked for."""
 
     def __init__(self, df: DataFrame, features, bounds=UNIT_BOUNDS):
-        self.df, self.features, self.bounds = df, features, bounds
+        self.df, self.features, self.bounds = df, features, box(df, features, bounds)
         self.dims = len(feature_columns(df, features))
         self.scratch = Scratch(df.sparkSession)
         self.cells: dict[int, int] = {}
@@ -247,6 +275,20 @@ class CellLevels:
         self.scratch.drop()
 
 
+def _is_auto(bounds) -> bool:
+    return isinstance(bounds, str) and bounds == "auto"
+
+
+def _pairs(bounds, dims: int) -> tuple[tuple[float, float], ...]:
+    if isinstance(bounds, str):
+        raise ValueError(f"{bounds!r} is no box; give a pair for all dimensions or for each")
+    nested = len(bounds) > 0 and not isinstance(bounds[0], (int, float))
+    pairs = tuple((float(lo), float(hi)) for lo, hi in (bounds if nested else [bounds] * dims))
+    if len(pairs) != dims or not all(lo < hi and isfinite(hi - lo) for lo, hi in pairs):
+        raise ValueError(f"bounds need a low and a higher high for each of {dims} dimensions")
+    return pairs
+
+
 def _coordinate_type(depth: int) -> str:
     return "int" if depth <= _INT_DEPTH else "bigint"
 

@@ -10,10 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from pathlib import PurePosixPath
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -261,7 +263,7 @@ class PreparedModel:
             # Unit penalty on the summed loss, i.e. 1/n on the mean loss.
             return LogisticRegression(
                 **shared, regParam=1.0 / self.facts[column]["m"], elasticNetParam=0.0, standardization=False,
-                family="multinomial", maxIter=100, tol=1e-4).fit(train)
+                family="multinomial", maxIter=1000, tol=1e-12).fit(train)
         finally:
             train.unpersist()
 
@@ -320,6 +322,40 @@ class PreparedModel:
         """Number of distinct target values."""
         return self.facts[self.plan.target]["size"]
 
+    def logistic_moments(self, df: DataFrame) -> DataFrame:
+        """Whether the logistic imputation models are optimal for ``df``, the table they were fitted on.
+
+        (column, code, feature, observed, predicted) for every class of every imputed column. ``observed`` is the
+        number of rows of the class (feature ``intercept``) or the sum of a feature over them; ``predicted`` is the
+        same under the predicted probabilities, plus the coefficient, which is the gradient of the penalty. The loss
+        is convex, and its gradient is the difference of the two: a model is the optimum if they are equal. Rows
+        whose value is missing take no part. One aggregation for each model.
+        """
+        current, parts = self._encode(df), []
+        for step in self.steps:
+            if step[0] == "model" and self.plan.impute == "logistic_regression":
+                parts.append(self._moments(current, *step[1:]))
+            current = self._apply(current, step)
+        if not parts:
+            raise ValueError("no column was imputed by logistic regression")
+        return reduce(DataFrame.unionByName, parts)
+
+    def _moments(self, df: DataFrame, column: str, fitted, others: list[str]) -> DataFrame:
+        known = VectorAssembler(inputCols=others, outputCol="__x").transform(
+            df.where(F.col(column) != self.facts[column]["missing"]))
+        scored = fitted.setProbabilityCol("__odds").transform(known)
+        by_class = scored.select(F.col(column).alias("__y"), *others, F.posexplode(vector_to_array("__odds")).alias("code", "p"))
+        own = (F.col("__y") == F.col("code")).cast("double")
+        terms = {"intercept": F.lit(1.0), **{c: F.col(c).cast("double") for c in others}}
+        sums = by_class.groupBy("code").agg(*[
+            F.sum(share * x).alias(f"{name}{i}") for i, x in enumerate(terms.values()) for name, share in (("o", own), ("p", F.col("p")))])
+        weights = F.array(*[F.array(*[F.lit(float(w)) for w in row]) for row in fitted.coefficientMatrix.toArray()])
+        rows = [
+            F.struct(F.lit(name).alias("feature"), F.col(f"o{i}").alias("observed"),
+                     (F.col(f"p{i}") + (F.get(F.get(weights, F.col("code")), F.lit(i - 1)) if i else F.lit(0.0))).alias("predicted"))
+            for i, name in enumerate(terms)]
+        return sums.select(F.lit(column).alias("column"), "code", F.inline(F.array(*rows)))
+
     def mapping(self) -> DataFrame:
         """(column, value, code) of every encoded column."""
         return self.table.select("column", "value", "code")

@@ -161,6 +161,15 @@ def _imputed(fill: str) -> str:
 MODE = "(SELECT code FROM coded WHERE value <> '?' GROUP BY code ORDER BY count(*) DESC, code LIMIT 1)"
 
 
+#: Both sides of the gradient are what the data say: counts and sums of the price by class.
+OPTIMALITY = (
+    f"WITH {CODES}, scaled AS (SELECT code, o_totalprice::DOUBLE AS x FROM coded WHERE value <> '?'), "
+    "sums AS (SELECT code, 'intercept' AS feature, count(*)::DOUBLE AS s FROM scaled GROUP BY code "
+    "UNION ALL SELECT code, 'o_totalprice', sum(x) FROM scaled GROUP BY code) "
+    "SELECT 'priority' AS \"column\", code::INTEGER AS code, feature, s AS observed, s AS predicted FROM "
+    "(SELECT code, feature, CASE WHEN feature = 'intercept' THEN round(s, 3) ELSE round(s, -2) END AS s FROM sums)")
+
+
 def _scaled(expression: str, constant: str = "0.0") -> str:
     return (f"SELECT c_custkey, round({expression}, 6) AS c_acctbal, round({constant}::DOUBLE, 6) AS constant FROM customer, "
             "(SELECT min(c_acctbal) AS lo, max(c_acctbal) AS hi, avg(c_acctbal) AS mu, stddev_pop(c_acctbal) AS sd FROM customer)")
@@ -272,6 +281,40 @@ def _chosen_columns() -> list[str]:
 
 WIDE_CENTERS = ("wc AS (SELECT k, j, (((k * 7 + (j - 1) * 3) % 11 - 5) / 40.0)::DOUBLE AS c FROM range(8) t(k), range(1, 65) u(j)), "
                 "flat AS (SELECT vec_id, generate_subscripts(embedding, 1) AS j, unnest(embedding)::DOUBLE AS x FROM embeddings)")
+def _own_box(column: str) -> str:
+    low, high = f"(SELECT min({column}) FROM customer)::DOUBLE", f"(SELECT max({column}) FROM customer)::DOUBLE"
+    return f"2.0::DOUBLE * ({column}::DOUBLE - {low}) / ({high} - {low}) - 1.0::DOUBLE"
+
+
+OWN_PTS = ("pts AS (SELECT " + ", ".join(f"{c}::DOUBLE AS x{j}, {_own_box(c)} AS u{j}" for j, c in enumerate(q.CUSTOMER))
+           + " FROM customer)")
+
+
+def _own_level(depth: int, name: str) -> str:
+    """Cells of one depth in the box of the data, with their means."""
+    at = ", ".join(f"{_coordinate(f'u{j}', depth)} AS g{j}" for j in range(2))
+    return (f"{name} AS (SELECT row_number() OVER () AS rid, count(*)::DOUBLE AS w, g0, g1, sum(x0) / count(*) AS x0, "
+            f"sum(x1) / count(*) AS x1 FROM (SELECT *, {at} FROM pts) GROUP BY g0, g1)")
+
+
+def _own_box_fit(levels: int) -> str:
+    parts, at, rows = [OWN_PTS, _centers("c0", q.CUSTOMER_CENTERS)], "c0", []
+    for i in range(1, levels + 1):
+        steps, at = _steps(f"l{i}", at, 2, f"s{i}", range(2))
+        parts += [_own_level(i, f"l{i}"), *steps]
+        rows.append(f"SELECT {i} AS iteration, {i} AS depth, (SELECT count(*) FROM l{i}) AS n_cells, k::INTEGER AS k, "
+                    f"{_rounded(['c0', 'c1'])} FROM {at}")
+    return _with(*parts) + " UNION ALL ".join(rows)
+
+
+def _own_geometry(depth: int) -> str:
+    return (f"WITH {OWN_PTS}, {_own_level(depth, 'own')} "
+            f"SELECT g0, g1, w::BIGINT AS n, round(x0, 6) AS m0, round(x1, 6) AS m1, "
+            + ", ".join(f"round(a.lo{j} + (g{j} + {part}::DOUBLE) * (a.hi{j} - a.lo{j}) / {2**depth}.0::DOUBLE, 9) AS {name}{j}"
+                        for j in range(2) for name, part in (("lo", 0.0), ("hi", 1.0), ("threshold", 0.5)))
+            + " FROM own, (SELECT min(x0) AS lo0, max(x0) AS hi0, min(x1) AS lo1, max(x1) AS hi1 FROM pts) a")
+
+
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 COUNTS = ", ".join(f"(SELECT {i} AS depth, count(*) AS n_cells FROM l{i})" for i in range(1, 7))
 EVENT_GAP = ", ".join(f"((value - {c[0]}) * (value - {c[0]}), {k})" for k, c in enumerate(q.EVENT_CENTERS))
@@ -305,6 +348,8 @@ def sql() -> dict[str, str]:
         "cell_stats_customer_bounds":
             "SELECT g0, count(*) AS n, round(avg(c_acctbal), 6) AS m0 FROM (SELECT c_acctbal, " + half + " AS g0 FROM "
             "(SELECT c_acctbal, 2.0 * (c_acctbal - (-1000.0)) / 11000.0 - 1.0 AS x FROM customer)) GROUP BY g0",
+        "logistic_optimality": OPTIMALITY,
+        "cell_geometry_own_box": _own_geometry(4),
         "cell_geometry_d2":
             f"SELECT g0, g1, count(*) AS n, {box} FROM (SELECT {_coordinate('x0', 2)} AS g0, {_coordinate('x1', 2)} AS g1 FROM "
             f"(SELECT {_unit('p_size', 'part')} AS x0, {_unit('p_retailprice', 'part')} AS x1 FROM part)) GROUP BY g0, g1",
@@ -333,6 +378,7 @@ def sql() -> dict[str, str]:
         "weighted_lloyd_cells_2": _with(LINE_PTS, _centers("c0", q.LINE_CENTERS), _level(3, "l3"), _cell_points("l3", "p3"), *cells2)
             + f"SELECT k::INTEGER AS k, {centers4} FROM {at2}",
         "recursive_fit_2_levels": _with(*two) + history,
+        "recursive_fit_own_box": _own_box_fit(3),
         "center_trajectory": _with(*two) + shift,
         "labels_by_level": _with(*two, _assigned("f1", "pts", "after1"), _assigned("f2", "pts", "after2"))
             + "SELECT f1.k::INTEGER AS level1, f2.k::INTEGER AS level2, count(*) AS n FROM f1 JOIN f2 USING (rid) GROUP BY 1, 2",

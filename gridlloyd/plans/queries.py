@@ -39,6 +39,9 @@ EMBEDDING_DIMS = 64
 EMBEDDING_CENTERS = tuple(
     tuple(((k * 7 + j * 3) % 11 - 5) / 40.0 for j in range(EMBEDDING_DIMS)) for k in range(5))
 EMBEDDING_COLUMNS = [f"e{j}" for j in range(EMBEDDING_DIMS)]
+#: Two unscaled columns of unlike ranges, and start centres for them.
+CUSTOMER = ("c_acctbal", "c_nationkey")
+CUSTOMER_CENTERS = ((1000.0, 12.0), (8000.0, 12.0))
 EVENT_CENTERS = ((5.0,), (20.0,), (60.0,), (120.0,))
 MIXTURE_CENTERS = ((-0.5, -0.5), (0.5, -0.25), (0.0, 0.75))
 MIXTURE_SIGMA = 0.2
@@ -125,6 +128,16 @@ def cell_stats_customer_bounds(spark, sf_dir):
     return stats.select(*_cell_columns(1), "n", *_mean_columns(1))
 
 
+@query
+def cell_geometry_own_box(spark, sf_dir):
+    """Cells of unscaled columns in the box of their own ranges."""
+    customer = _table(spark, sf_dir, "customer")
+    bounds = cells.data_bounds(customer, CUSTOMER)
+    stats = cells.geometry(cells.cell_stats(customer, CUSTOMER, 4, bounds), 2, bounds)
+    ends = [_r(F.get(name, F.lit(j)), 9).alias(f"{name}{j}") for name in ("lo", "hi", "threshold") for j in range(2)]
+    return stats.select(*_cell_columns(2), "n", *_mean_columns(2), *ends)
+
+
 @query
 def cell_geometry_d2(spark, sf_dir):
     part = prepare.to_unit_box(_table(spark, sf_dir, "part").select("p_size", "p_retailprice"), ["p_size", "p_retailprice"])
@@ -244,6 +257,16 @@ def recursive_fit_2_levels(spark, sf_dir):
         *[_r(F.get("c", F.lit(j))).alias(f"c{j}") for j in range(4)])
 
 
+@query
+def recursive_fit_own_box(spark, sf_dir):
+    """Three levels over unscaled columns, two Lloyd steps each, in the box of their own ranges."""
+    model = RecursiveKMeans(
+        inputCols=list(CUSTOMER), nClusters=2, maxIter=3, lloydMaxIter=2, lloydTol=0.0, bounds="auto",
+        init=[list(c) for c in CUSTOMER_CENTERS]).fit(_table(spark, sf_dir, "customer"))
+    levels = model.history.select("iteration", "depth", "n_cells", F.posexplode("centers").alias("k", "c"))
+    return levels.select("iteration", "depth", "n_cells", "k", *[_r(F.get("c", F.lit(j))).alias(f"c{j}") for j in range(2)])
+
+
 @query
 def center_trajectory(spark, sf_dir):
     moved = _two_levels(spark, sf_dir).trajectory()
@@ -445,6 +468,17 @@ def impute_logistic(spark, sf_dir):
     return _imputed(spark, sf_dir, "logistic_regression")
 
 
+@query
+def logistic_optimality(spark, sf_dir):
+    """Class counts and sums of the price per order under the fitted probabilities: those of the data at the optimum."""
+    df = _with_gaps(spark, sf_dir)
+    plan = prepare.Preparer(scale="min-max", impute="logistic_regression", ids=["o_orderkey"], seed=SEED, hash_method="md5")
+    found = plan.fit(df).logistic_moments(df)
+    return found.where("observed > 0").select(
+        "column", "code", "feature",
+        *[F.when(F.col("feature") == "intercept", _r(c, 3)).otherwise(_r(c, -2)).alias(c) for c in ("observed", "predicted")])
+
+
 @query
 def prepare_pipeline(spark, sf_dir):
     """Encode, impute by mode, min-max scale, encode the target: the default order of the steps."""

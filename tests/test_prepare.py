@@ -163,3 +163,30 @@ def test_running_total(spark):
     assert [r["idx"] for r in got] == list(range(500))
     weights = np.arange(500) % 7
     assert [r["before"] for r in got] == (np.cumsum(weights) - weights).tolist()
+
+
+def test_logistic_models_are_optimal(spark):
+    """The gradient of the penalised loss vanishes, against a plain evaluation of the probabilities."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    u, w = rng.normal(size=300), rng.normal(size=300)
+    kind = ["?" if i % 11 == 0 else "abc"[int(a > 0.3) + int(b > 0.1)] for i, (a, b) in enumerate(zip(u, w))]
+    df = spark.createDataFrame(list(zip(range(300), kind, u.tolist(), w.tolist())), "id long, kind string, u double, w double")
+    model = Preparer(scale="none", impute="logistic_regression", ids=["id"]).fit(df)
+    found = {(r["code"], r["feature"]): r for r in model.logistic_moments(df).collect()}
+    fitted = [s for s in model.steps if s[0] == "model"][0][2]
+    codes = {r["value"]: r["code"] for r in model.mapping().collect()}
+    known = np.array([k != "?" for k in kind])
+    x, y = np.stack([u, w], 1)[known], np.array([codes[k] for k in kind])[known]
+    odds = np.exp(x @ fitted.coefficientMatrix.toArray().T + fitted.interceptVector.toArray())
+    odds /= odds.sum(1, keepdims=True)
+    for code in set(y.tolist()):
+        for name, column in (("intercept", np.ones(len(x))), ("u", x[:, 0]), ("w", x[:, 1])):
+            row = found[code, name]
+            weight = 0.0 if name == "intercept" else fitted.coefficientMatrix.toArray()[code, "uw".index(name)]
+            assert abs(row["observed"] - column[y == code].sum()) < 1e-9
+            assert abs(row["predicted"] - (odds[:, code] @ column + weight)) < 1e-6
+            assert abs(row["observed"] - row["predicted"]) < 1e-2
+    with pytest.raises(ValueError, match="no column was imputed"):
+        Preparer(scale="none", ids=["id"]).fit(df).logistic_moments(df)
