@@ -1,3 +1,4 @@
+import tracemalloc
 from math import exp, lgamma, log
 
 import numpy as np
@@ -6,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridlloyd.functions import measures
-from gridlloyd.operators import joins, metrics
+from gridlloyd.operators import blocks, joins, metrics
 from gridlloyd.operators.blocks import expected_mutual_information
 
 
@@ -156,3 +157,19 @@ def test_quantiles_are_exact(spark, monkeypatch, few):
     shares = [0.0, 0.01, 0.25, 0.5, 0.61, 0.75, 1.0]
     assert np.allclose(order_statistics.quantiles(df, "v", shares), np.quantile(values, shares), rtol=0, atol=1e-12)
     assert order_statistics.quantiles(df.where("v is null"), "v", [0.5]) == [None]
+
+
+def test_distances_are_held_a_tile_at_a_time():
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(3000, 4)), rng.normal(size=(2500, 4))
+    mx, my = (rng.random((3000, 3)) < 0.4) * 1.0, (rng.random((2500, 5)) < 0.4) * 1.0
+    to_x, to_y, own = np.zeros((3000, 5)), np.zeros((2500, 3)), np.zeros((3000, 3))
+    tracemalloc.start()
+    blocks.add_distances(x, y, mx, my, to_x, to_y)
+    blocks.add_distances(x, None, mx, None, own, None)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 << 20  # all distances together take 60 MB
+    far = np.sqrt(((x[:, None] - y[None]) ** 2).sum(-1))
+    assert np.allclose(to_x, far @ my) and np.allclose(to_y, far.T @ mx)
+    assert np.allclose(own, np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)) @ mx)
