@@ -173,3 +173,14 @@ def test_distances_are_held_a_tile_at_a_time():
     far = np.sqrt(((x[:, None] - y[None]) ** 2).sum(-1))
     assert np.allclose(to_x, far @ my) and np.allclose(to_y, far.T @ mx)
     assert np.allclose(own, np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1)) @ mx)
+
+
+def test_silhouette_of_many_labels_in_small_groups(spark, monkeypatch):
+    monkeypatch.setattr(metrics, "SILHOUETTE_BLOCK_ROWS", 16)
+    monkeypatch.setattr(metrics, "LABELS_AT_ONCE", 3)
+    monkeypatch.setattr(metrics, "GROUP_ROWS", 30)
+    rng = np.random.default_rng(8)
+    x, y = rng.normal(size=(150, 3)), rng.integers(0, 20, 150)
+    df = spark.createDataFrame(pd.DataFrame(x, columns=NAMES).assign(id=np.arange(150), y=y))
+    assert metrics.group_count(df, 1000, 1) >= 1000 // 30  # a group is bounded in rows too
+    assert np.isclose(metrics.silhouette(df, NAMES, "y", ["id"]), brute_silhouette(x, y).mean())
