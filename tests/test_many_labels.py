@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 from gridlloyd.operators import baselines, lloyd, many_labels, metrics
+from gridlloyd.plans import sweep
 
 
 @pytest.fixture(scope="module")
@@ -52,3 +53,36 @@ def test_shared_fits_equal_single_ones(rows):
     for (k, size), got in zip(specs, baselines.mini_batch_all(rows, FEATURES, specs, ["id"], seed=4)):
         one = baselines.mini_batch_kmeans(rows, FEATURES, k, size, ["id"], seed=4)
         assert got.n_iter == one.n_iter and np.allclose(got.centers, one.centers)
+
+
+def test_replicas_share_the_passes_that_compare_them(spark, rows, monkeypatch):
+    calls = []
+    real = many_labels.internal_metrics
+    monkeypatch.setattr(many_labels, "internal_metrics", lambda *a: calls.append(a[1]) or real(*a))
+    sample = sweep.Sample(rows, FEATURES, ["id"])
+    both = sweep.compare_with_baseline(sample, 3, [0, 1])
+    assert calls == [4]
+    assert np.allclose(both[1], sweep.compare_with_baseline(sample, 3, [1])[0])
+
+
+def test_few_points_are_iterated_over_in_tasks(spark, rows, models, monkeypatch):
+    """Several models over few points make no pass of all models at all."""
+    points = lloyd.point_frame(rows, FEATURES)
+    monkeypatch.setattr(lloyd, "BOUNDARY_BYTES", 0)
+    want = lloyd.lloyd_models(points, models)
+    monkeypatch.undo()
+    monkeypatch.setattr(lloyd, "model_sums", lambda *a: pytest.fail("a pass over all points"))
+    for one, got in zip(want, lloyd.lloyd_models(points, models)):
+        assert one.n_iter == got.n_iter and np.allclose(one.centers, got.centers)
+
+
+def test_each_model_goes_on_by_its_bounds(spark, rows, models, monkeypatch):
+    points, made = lloyd.point_frame(rows, FEATURES), []
+    want = lloyd.lloyd_models(points, models, tol=0.0)
+    monkeypatch.setattr(lloyd, "BOUNDARY_BYTES", 0)
+    monkeypatch.setattr(lloyd, "SHARED_STEPS", 1)
+    real = lloyd._last_model
+    monkeypatch.setattr(lloyd, "_last_model", lambda *a: made.append(a) or real(*a))
+    for one, got in zip(want, lloyd.lloyd_models(points, models, tol=0.0)):
+        assert one.n_iter == got.n_iter and np.allclose(one.centers, got.centers)
+    assert len(made) > 1
