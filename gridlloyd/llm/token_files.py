@@ -12,7 +12,7 @@ import os
 import re
 import zlib
 from array import array
-from collections.abc import Sequence
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -30,55 +30,69 @@ from .words import MEMO_ENTRIES, unknown
 
 #: The closing magic of an IPC file. Spark's text sink writes it as the separator after its only row.
 MAGIC = "ARROW1"
-_PARTS = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
-#: Chunks that the library would treat otherwise than part by part: contractions, special strings, and
-#: letters and digits beyond ASCII and Latin-1 lower-case letters.
-_WHOLE = re.compile(r"['<ªµº²³¹¼-¾\x1c-\x1f\x85\xa0]")
+_SPACES = " \t\n\r\x0b\x0c"
+_PARTS = re.compile(rf"[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ{_SPACES}]+")
+#: Characters whose chunk the library would treat otherwise than part by part: contractions, special strings,
+#: and letters and digits beyond ASCII and Latin-1 lower-case letters.
+_WHOLE = re.compile(r"['<ªµº²³¹¼-¾\x1c-\x1f\x85\xa0\u0100-\U0010ffff]")
+_EVEN = str.maketrans(dict.fromkeys(_SPACES[1:], " "))
+#: Bytes of text that are cut into parts at a time.
+CUT_BYTES = 1 << 20
+
+
+def _cut(text: str) -> list[str]:
+    """The parts of a text in a row: lower-case runs of letters, digits, runs of others; and, as they are, the chunks
+    between white space that hold a character of ``_WHOLE``, which no other part does."""
+    found = _WHOLE.search(text)
+    if not found:
+        return _PARTS.findall(text.lower())
+    text, at, out = text.translate(_EVEN), 0, []
+    while found:
+        start = max(at, text.rfind(" ", at, found.start()) + 1)
+        end = text.find(" ", found.end())
+        end = len(text) if end < 0 else end
+        out += _PARTS.findall(text[at:start].lower())
+        out.append(text[start:end])
+        found, at = _WHOLE.search(text, end), end
+    return out + _PARTS.findall(text[at:].lower())
 
 
 class Encoder:
-    """Encodes texts as the library does, asking it once for each distinct chunk between white space.
+    """Encodes texts as the library does, asking it once for each distinct part of a chunk between white space.
 
     White space separates pre-tokens in word-level vocabularies, whatever surrounds it; so the ids of a
-    text are those of its chunks in a row.
+    text are those of its chunks in a row, and those of a chunk are the ids of its parts. A memo of two
+    generations keeps the parts that come again; when the younger is full it takes the place of the elder.
     """
 
     def __init__(self, content: bytes, dtype: str):
         self.dtype = dtype
         self.tokenizer = Tokenizer.from_str(content.decode())
         self.map = str.maketrans({chr(b): c for b, c in enumerate(byte_characters())})
-        self.of_chunk: dict[bytes, bytes] = {}
-        self.of_part: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
-    def _ids(self, ids: Sequence[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes() if self.dtype != "<u4" else array("I", ids).tobytes()
-
-    def _learn(self, chunks: list[bytes]) -> None:
-        if len(self.of_part) > MEMO_ENTRIES:
-            self.of_part.clear()
+    def _learn(self, parts: Iterable[str]) -> None:
         model, code = self.tokenizer.model, "H" if self.dtype == "<u2" else "I"
-        for raw in chunks:
-            chunk = raw.decode()
-            if max(chunk) > "ÿ" or _WHOLE.search(chunk):
-                ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
-                self.of_chunk[raw] = array(code, ids).tobytes()
-                continue
-            found = []
-            for part in _PARTS.findall(chunk.lower()):
-                ids = self.of_part.get(part)
-                if ids is None:
-                    ids = self.of_part[part] = array(code, [
-                        t.id for t in model.tokenize(part.encode().decode("latin-1").translate(self.map))]).tobytes()
-                found.append(ids)
-            self.of_chunk[raw] = b"".join(found)
+        for part in parts:
+            ids = self.old.get(part)
+            if ids is None:
+                if part.isascii() and part.isalpha():
+                    found = [t.id for t in model.tokenize(part)]
+                elif _WHOLE.search(part):
+                    found = self.tokenizer.encode(part, add_special_tokens=False).ids
+                else:
+                    found = [t.id for t in model.tokenize(part.encode().decode("latin-1").translate(self.map))]
+                ids = array(code, found).tobytes()
+            self.young[part] = ids
 
     def encode(self, values: list[str]) -> list[bytes]:
-        if len(self.of_chunk) > MEMO_ENTRIES:
-            self.of_chunk.clear()
-        cut = [v.encode().split() for v in values]
-        self._learn(unknown(cut, self.of_chunk))
-        chunk = self.of_chunk.__getitem__
-        return [b"".join(map(chunk, cs)) for cs in cut]
+        if len(self.young) > MEMO_ENTRIES:
+            self.young, self.old = {}, self.young
+        cut = [_cut(v) for v in values]
+        self._learn(unknown(cut, self.young))
+        part = self.young.__getitem__
+        return [b"".join(map(part, ps)) for ps in cut]
 
 
 @lru_cache(maxsize=1)
@@ -127,7 +141,7 @@ def write_token_files(df: DataFrame, path: str, tokenizer: str, end_id: int, doc
     def run(batches):
         parts, counts, names = [], [], []
         for batch in batches:
-            for part in slices(batch, batch.schema.names[1]):
+            for part in slices(batch, batch.schema.names[1], CUT_BYTES):
                 made = _encoder(content.value, dtype).encode(texts(part.column(1)))
                 parts.append(b"".join([x for ids in made for x in (ids, end)]))
                 counts += [len(ids) // end_width + 1 for ids in made]
