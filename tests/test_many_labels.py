@@ -1,10 +1,12 @@
 """Metrics of many labelings at once against those of one."""
 
+import tracemalloc
+
 import numpy as np
 import pandas as pd
 import pytest
 
-from gridlloyd.operators import baselines, lloyd, many_labels, metrics
+from gridlloyd.operators import baselines, blocks, lloyd, many_labels, metrics
 from gridlloyd.plans import sweep
 
 
@@ -86,3 +88,34 @@ def test_each_model_goes_on_by_its_bounds(spark, rows, models, monkeypatch):
     for one, got in zip(want, lloyd.lloyd_models(points, models, tol=0.0)):
         assert one.n_iter == got.n_iter and np.allclose(one.centers, got.centers)
     assert len(made) > 1
+
+
+def test_equal_models_are_compared_once(spark, rows, monkeypatch):
+    """Fits that end early are the same for all larger level counts."""
+    made, real = [], many_labels.labelled
+    monkeypatch.setattr(many_labels, "labelled", lambda *a: made.append(real(*a)) or seen.append(a[2]) or made[-1])
+    seen: list = []
+    grid = sweep.Grid([3], [3], [200], level_counts=(1, 2, 18, 20), batch_sizes=(50,), replicas=1)
+    got = {(r["algorithm"], r["param"]): tuple(r[6:]) for r in sweep.quality_sweep(
+        spark, lambda *a: sweep.Sample(rows, FEATURES, ["id"]), grid).collect()}
+    assert len(seen[0]) == len({m.tobytes() for m in seen[0]}) < len(got) == 6
+    assert got[sweep.RECURSIVE, 18] == got[sweep.RECURSIVE, 20]
+    model = sweep._recursive(sweep.Sample(rows, FEATURES, ["id"]), [3], 20, 0)[0]
+    one = lloyd.assign(rows, FEATURES, model.centers)
+    assert np.allclose(got[sweep.RECURSIVE, 20], (
+        metrics.silhouette(one, FEATURES, "prediction", ["id"]), metrics.calinski_harabasz(one, FEATURES, "prediction"),
+        metrics.davies_bouldin(one, FEATURES, "prediction")))
+
+
+@pytest.mark.parametrize("k", [1, 9, 40])
+def test_steps_in_a_task_copy_no_points(k):
+    rng = np.random.default_rng(1)
+    block = rng.uniform(0, 1, (33, 40_000))
+    centers = block[:-1, :k].T.copy()
+    want = np.delete(blocks.block_sums(block[:-1], block[-1], centers), 1, axis=1)
+    tracemalloc.start()
+    got = blocks.center_sums(block, centers)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(got, want) and peak < block.nbytes / 2
+    assert not blocks.center_sums(block[:, :0], centers).any()
