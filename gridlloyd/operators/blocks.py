@@ -164,18 +164,22 @@ def add_distances(x: np.ndarray, y: np.ndarray | None, x_member: np.ndarray, y_m
                   to_x: np.ndarray, to_y: np.ndarray | None) -> None:
     """Add to ``to_x`` each row's Euclidean distances to the rows of ``y``, summed over the members of each
     column of ``y_member``, and the other way round to ``to_y``. Without ``y`` the rows of ``x`` are compared
-    with each other. A distance is formed once for both of its rows, and no more than a tile of them is held."""
+    with each other. A distance is formed once for both of its rows, and no more than a tile of them is held; of the
+    rows of ``x``, if not compared with each other, no copy is made, so the larger side should be ``x``."""
     own, origin = y is None, x.mean(axis=0)
-    x = x - origin
-    y, y_member, to_y = (x, x_member, to_x) if own else (y - origin, y_member, to_y)
-    left = np.column_stack([-2.0 * x, (x**2).sum(axis=1), np.ones(len(x))])
-    right = np.column_stack([y, np.ones(len(y)), (y**2).sum(axis=1)])
+    y, y_member, to_y = (x, x_member, to_x) if own else (y, y_member, to_y)
+    dims = x.shape[1]
+    right = np.ones((len(y), dims + 2))
+    np.subtract(y, origin, out=right[:, :dims])
+    right[:, -1] = np.einsum("ij,ij->i", right[:, :dims], right[:, :dims])
     rows = TILE_COLUMNS if own else TILE_ROWS
     for i in range(0, len(x), rows):
         a = slice(i, i + rows)
+        tile = x[a] - origin
+        left = np.column_stack([-2.0 * tile, np.einsum("ij,ij->i", tile, tile), np.ones(len(tile))])
         for j in range(i if own else 0, len(y), TILE_COLUMNS):
             b = slice(j, j + TILE_COLUMNS)
-            distance = left[a] @ right[b].T
+            distance = left @ right[b].T
             np.sqrt(np.maximum(distance, 0.0, out=distance), out=distance)
             if own and i == j:
                 np.fill_diagonal(distance, distance.diagonal() * 0.0)

@@ -159,11 +159,12 @@ def group_pairs(df: DataFrame, ids: Sequence[Column], groups: int) -> DataFrame:
     return mine.withColumn("h", other).withColumns({"p": F.least("g", "h"), "q": F.greatest("g", "h")}).drop("h")
 
 
-def by_pair(df: DataFrame, ids: Sequence[Column], groups: int) -> GroupedData:
+def by_pair(df: DataFrame, ids: Sequence[Column], groups: int, ordered: bool = False) -> GroupedData:
     """``group_pairs`` by pair. The work of a pair is quadratic, so pairs are spread over tasks by their number,
-    not by their bytes."""
+    not by their bytes. ``ordered`` has the rows of the smaller group of each pair come first."""
     tasks = min(PAIR_TASKS, groups * (groups + 1) // 2)
-    return group_pairs(df, ids, groups).repartition(tasks, "p", "q").groupBy("p", "q")
+    dealt = group_pairs(df, ids, groups).repartition(tasks, "p", "q")
+    return (dealt.sortWithinPartitions("p", "q", "g") if ordered else dealt).groupBy("p", "q")
 
 
 def pair_sides(table: pa.Table) -> list[pa.Table]:
@@ -175,9 +176,10 @@ def pair_sides(table: pa.Table) -> list[pa.Table]:
 def silhouette_samples(df: DataFrame, features, label: str, ids: Sequence[str]) -> DataFrame:
     """(ids.., label, silhouette) per row: exact, Euclidean, quadratic in the number of rows.
 
-    Rows are hashed into G groups and copied G times, to every pair of groups. A pair is compared tile by
-    tile, each distance being computed once for both of its rows, and returns per row and label the sum of
-    its distances - never the distances themselves. ``ids`` must identify a row.
+    Rows are hashed into G groups and copied G times, to every pair of groups. A task holds the first group of
+    a pair, and the second streams past it in batches. A pair is compared tile by tile, each distance being
+    computed once for both of its rows, and returns per row and label the sum of its distances - never the
+    distances themselves. ``ids`` must identify a row.
     """
     xs = feature_columns(df, features)
     groups = group_count(df, df.count(), len(xs) + 4)
@@ -187,22 +189,42 @@ def silhouette_samples(df: DataFrame, features, label: str, ids: Sequence[str])
     schema = to_arrow_schema(StructType.fromDDL(layout))
 
     def sums(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides, own = [_label_slices(s) for s in pair_sides(pa.Table.from_batches(batches))], key[0].as_py() == key[1].as_py()
-        if len(sides) == 1 and not own:
+        p, q = (k.as_py() for k in key)
+        held, sides, found = [], None, []
+        for batch in batches:
+            mine = int((batch.column("g").to_numpy() == p).sum())
+            if mine:
+                if sides is not None:
+                    raise RuntimeError("the rows of a pair of groups are out of order")
+                held.append(batch.slice(0, mine))
+            if mine == batch.num_rows or not held and sides is None:
+                continue
+            if sides is None:
+                sides = _label_slices(pa.Table.from_batches(held))
+                found, held = [_LabelTotals(a) for a in sides], []
+            for b in _label_slices(pa.Table.from_batches([batch.slice(mine)])):
+                for a, totals in zip(sides, found):
+                    there, back = np.zeros((len(a.x), len(b.names))), np.zeros((len(b.x), len(a.names)))
+                    add_distances(a.x, b.x, a.member, b.member, there, back)
+                    yield from totals.add(b, there, schema)
+                    yield from b.sums(a, back, schema)
+        for totals in found:
+            yield from totals.flush(schema)
+        if p != q or not held:
             return
-        for i, a in enumerate(sides[0]):
-            if own:
-                total = np.zeros((len(a.x), len(a.names)))
-                add_distances(a.x, None, a.member, None, total, None)
-                yield from a.sums(a, total, schema)
-            for b in sides[0][i + 1:] if own else sides[1]:
-                totals = np.zeros((len(a.x), len(b.names))), np.zeros((len(b.x), len(a.names)))
-                add_distances(a.x, b.x, a.member, b.member, *totals)
-                yield from a.sums(b, totals[0], schema)
-                yield from b.sums(a, totals[1], schema)
+        sides, held = _label_slices(pa.Table.from_batches(held)), []
+        for i, a in enumerate(sides):
+            total = np.zeros((len(a.x), len(a.names)))
+            add_distances(a.x, None, a.member, None, total, None)
+            yield from a.sums(a, total, schema)
+            for b in sides[i + 1:]:
+                there, back = np.zeros((len(a.x), len(b.names))), np.zeros((len(b.x), len(a.names)))
+                add_distances(a.x, b.x, a.member, b.member, there, back)
+                yield from a.sums(b, there, schema)
+                yield from b.sums(a, back, schema)
 
     per_label = (
-        by_pair(rows, [F.col(f"key.{c}") for c in ids], groups).applyInArrow(sums, layout)
+        by_pair(rows, [F.col(f"key.{c}") for c in ids], groups, ordered=True).applyInArrow(sums, layout)
         .groupBy("key", "own", "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n")))
     mine = F.col("own") == F.col("other")
     per_row = per_label.groupBy("key", "own").agg(
@@ -224,7 +246,7 @@ class _LabelSlice:
     def member(self) -> np.ndarray:
         return (self.codes[:, None] == np.arange(len(self.names))).astype("float64")
 
-    def sums(self, others: "_LabelSlice", totals: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    def sums(self, others: "_LabelSlice | _LabelTotals", totals: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         """A row for each own row and each label of ``others``."""
         width = len(others.names)
         for i in range(0, len(totals), SILHOUETTE_BLOCK_ROWS):
@@ -235,6 +257,28 @@ class _LabelSlice:
             yield pa.Table.from_arrays(columns, names=schema.names).cast(schema).combine_chunks().to_batches()[0]
 
 
+class _LabelTotals:
+    """Sums of distances of the rows of ``one`` to each label that has streamed past."""
+
+    def __init__(self, one: _LabelSlice):
+        self.one, self.found = one, {}
+
+    def add(self, others: _LabelSlice, totals: np.ndarray, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        """Keep the sums for the end, or for when there are ``LABELS_AT_ONCE`` labels."""
+        for j, name in enumerate(others.names.to_pylist()):
+            total, n = self.found.get(name, (0.0, 0))
+            self.found[name] = total + totals[:, j], n + int(others.counts[j])
+        if len(self.found) >= LABELS_AT_ONCE:
+            yield from self.flush(schema)
+
+    def flush(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+        if self.found:
+            self.names = pa.array(list(self.found), schema.field("other").type)
+            self.counts = np.array([n for _, n in self.found.values()], "int64")
+            totals, self.found = np.stack([t for t, _ in self.found.values()], axis=1), {}
+            yield from self.one.sums(self, totals, schema)
+
+
 def _label_slices(side: pa.Table) -> list[_LabelSlice]:
     """The rows of a group, at most ``LABELS_AT_ONCE`` labels at a time."""
     side = side.combine_chunks()
@@ -246,7 +290,7 @@ def _label_slices(side: pa.Table) -> list[_LabelSlice]:
     out = []
     for first in range(0, len(names), LABELS_AT_ONCE):
         at = np.flatnonzero((codes >= first) & (codes < first + LABELS_AT_ONCE))
-        own = side.take(pa.array(at)).combine_chunks()
+        own = side if len(at) == side.num_rows else side.take(pa.array(at)).combine_chunks()
         x = own.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(at), -1)
         out.append(_LabelSlice(own.column("key").combine_chunks(), own.column("label").combine_chunks(), x,
                                names.slice(first, LABELS_AT_ONCE), codes[at] - first))

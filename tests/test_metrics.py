@@ -184,3 +184,46 @@ def test_silhouette_of_many_labels_in_small_groups(spark, monkeypatch):
     df = spark.createDataFrame(pd.DataFrame(x, columns=NAMES).assign(id=np.arange(150), y=y))
     assert metrics.group_count(df, 1000, 1) >= 1000 // 30  # a group is bounded in rows too
     assert np.isclose(metrics.silhouette(df, NAMES, "y", ["id"]), brute_silhouette(x, y).mean())
+
+
+def test_the_second_group_of_a_pair_streams(spark, monkeypatch):
+    """A task holds one group, and batches of the other one by one."""
+    import pyarrow as pa
+
+    caught = []
+
+    class Caught:
+        def applyInArrow(self, fn, layout):
+            caught.append((fn, layout))
+            raise InterruptedError
+
+    monkeypatch.setattr(metrics, "by_pair", lambda *a, **k: Caught())
+    df = spark.createDataFrame([(0, [0.0, 0.0], "a")], "id long, x array<double>, y string")
+    with pytest.raises(InterruptedError):
+        metrics.silhouette_samples(df, "x", "y", ["id"])
+    (sums, _), = caught
+    rng = np.random.default_rng(0)
+    x, y, g = rng.uniform(0, 1, (90, 2)), rng.choice(["a", "b", "c"], 90), np.repeat([3, 5], [30, 60])
+    read = []
+
+    def batches():
+        for at in range(0, 90, 20):
+            read.append(at)
+            part = slice(at, at + 20)
+            yield pa.RecordBatch.from_pylist([
+                {"key": {"id": i}, "label": l, "x": v, "g": n} for i, l, v, n in zip(range(90)[part], y[part], x[part].tolist(), g[part].tolist())],
+                pa.schema([("key", pa.struct([("id", pa.int64())])), ("label", pa.string()), ("x", pa.list_(pa.float64())), ("g", pa.int32())]))
+
+    made = sums((pa.scalar(3), pa.scalar(5)), batches())
+    first = next(made)
+    assert read == [0, 20] and first.num_rows
+    table = pa.Table.from_batches([first, *made]).to_pandas()
+    table["id"] = [k["id"] for k in table["key"]]
+    got = table.groupby(["id", "other"])[["total", "n"]].sum()
+    gap = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    for i in range(90):
+        for label in "abc":
+            there = (g != g[i]) & (y == label)
+            assert np.allclose(got.loc[i, label], [gap[i, there].sum(), there.sum()])
+    with pytest.raises(RuntimeError):
+        list(sums((pa.scalar(3), pa.scalar(5)), [*batches(), *batches()]))
