@@ -44,7 +44,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their benchmark passages; those that are mostly such passages go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.remove_spans(decontaminate.scan(docs, benchmark))
+    found = decontaminate.scan_and_remove(docs, benchmark)
     return _cleaned(found.where(F.size("hit_words") * 100 <= F.col("n_words") * MAX_HIT_PERCENT), docs)
 
 

@@ -61,8 +61,8 @@ def without(df: DataFrame, names: Sequence[str]) -> list[str]:
 
 
 def map_columns(df: DataFrame, source: str, outputs: str, fn: Callable[[pa.Array], Sequence[pa.Array]],
-                drop: Sequence[str] = (), with_batch: bool = False) -> DataFrame:
-    """Append the columns ``outputs`` (DDL), computed by ``fn`` from Arrow slices of the column ``source``.
+                drop: Sequence[str] = (), with_batch: bool = False, size: int = SLICE_BYTES) -> DataFrame:
+    """Append the columns ``outputs`` (DDL), computed by ``fn`` from Arrow slices of ``size`` bytes of the column ``source``.
 
     The other columns pass through, except ``drop`` and those that an output replaces.
     """
@@ -72,7 +72,7 @@ def map_columns(df: DataFrame, source: str, outputs: str, fn: Callable[[pa.Array
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, source):
+            for part in slices(batch, source, size):
                 made = fn(part) if with_batch else fn(part.column(source))
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], *made], names=schema.names)
 

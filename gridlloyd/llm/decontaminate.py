@@ -18,6 +18,8 @@ from .rolling import MULTIPLIER, RangeHashes, mixed
 
 #: Most windows of test items in one broadcast block; their texts take some 100 bytes each.
 BLOCK_WINDOWS = 250_000
+#: Bytes of text hashed at a time; the arrays of ``RangeHashes`` take some 40 times as many, and a worker keeps them.
+HASHED_BYTES = 1 << 18
 _LOWER = np.arange(256, dtype="uint8")
 _LOWER[ord("A"):ord("Z") + 1] += 32
 _IN_WORD = np.zeros(256, bool)
@@ -64,7 +66,7 @@ def item_windows(benchmark: DataFrame, size: int, item_id: str = "item_id", text
     """The distinct windows of each item: ``item``, ``window`` (normalised words), ``length``."""
     def run(batches):
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, HASHED_BYTES):
                 rows = set()
                 words = Words.of(raw_texts(part.column(1)))
                 for item, a, b in zip(part.column(0).to_pylist(), words.first.tolist(), words.last.tolist()):
@@ -100,7 +102,7 @@ class Block:
         for length, (hashes, seen) in self.by_length.items():
             found = words.windows(length)
             maybe = np.flatnonzero(seen[found >> np.uint64(64 - _FILTER_BITS)])
-            maybe = maybe[np.isin(found[maybe], hashes)]
+            maybe = maybe[hashes[np.minimum(np.searchsorted(hashes, found[maybe]), len(hashes) - 1)] == found[maybe]]
             owner = np.searchsorted(words.first, maybe, "right") - 1
             whole = maybe + length <= words.last[owner]
             for i, d in zip(maybe[whole].tolist(), owner[whole].tolist()):
@@ -133,25 +135,42 @@ def scan(df: DataFrame, benchmark: DataFrame, size: int = 10, text: str = "text"
     by word. A null or empty text has no words; items that are null, have a null id or no words match
     nothing; equal rows get equal results.
     """
+    return _scanned(df, blocks(benchmark, size, item_id, item_text), text, cut=False)
+
+
+def scan_and_remove(df: DataFrame, benchmark: DataFrame, size: int = 10, text: str = "text", item_id: str = "item_id",
+                    item_text: str = "text") -> DataFrame:
+    """What ``remove_spans`` makes of ``scan``, in the worker that found the hits last.
+
+    Two operators in a row hold two Python workers per core and the texts between them twice.
+    """
+    return _scanned(df, blocks(benchmark, size, item_id, item_text), text, cut=True)
+
+
+def _scanned(df: DataFrame, made: list[tuple[str, Broadcast]], text: str, cut: bool) -> DataFrame:
     outputs = "n_words bigint, hit_words array<int>, items array<string>"
-    found = df
-    for i, (name, rows) in enumerate(blocks(benchmark, size, item_id, item_text) or [("", None)]):
-        found = map_columns(found, text, outputs, _scanner(name, rows, text, first=i == 0), with_batch=True)
-    return found
+    made = made or [("", None)]
+    for i, (name, rows) in enumerate(made):
+        last = cut and i == len(made) - 1
+        df = map_columns(df, text, outputs + ", clean_text string" * last, _scanner(name, rows, text, i == 0, last),
+                         with_batch=True, size=HASHED_BYTES)
+    return df
 
 
-def _scanner(name: str, rows: Broadcast | None, text: str, first: bool):
-    """Adds the hits of one block to those of the blocks before."""
+def _scanner(name: str, rows: Broadcast | None, text: str, first: bool, cut: bool):
+    """Adds the hits of one block to those of the blocks before; with ``cut`` the texts without them, too."""
     def fn(part: pa.RecordBatch):
-        words = Words.of(raw_texts(part.column(text)))
+        values = raw_texts(part.column(text))
+        words = Words.of(values)
         empty = [()] * part.num_rows
         places = [set(x) for x in (empty if first else part.column("hit_words").to_pylist())]
         items = [set(x) for x in (empty if first else part.column("items").to_pylist())]
         for d, i, length, which in _block(name, rows).hits(words) if rows else ():
             places[d].update(range(i, i + length))
             items[d].update(which)
-        return [pa.array(words.last - words.first), pa.array(map(sorted, places), pa.list_(pa.int32())),
-                pa.array(map(sorted, items), pa.list_(pa.string()))]
+        hits = [sorted(x) for x in places]
+        return [pa.array(words.last - words.first), pa.array(hits, pa.list_(pa.int32())),
+                pa.array(map(sorted, items), pa.list_(pa.string())), *([_cut(values, hits)] if cut else [])]
 
     return fn
 
@@ -168,16 +187,21 @@ def remove_spans(df: DataFrame, text: str = "text", places: str = "hit_words") -
     A newline takes the place of each removed run.
     """
     def fn(part: pa.RecordBatch):
-        out = []
-        for value, hit in zip(raw_texts(part.column(text)), part.column(places).to_pylist()):
-            if not hit:
-                out.append(value)
-                continue
-            words, at = Words.of([value]), np.array(hit)
-            new = np.concatenate([[True], np.diff(at) != 1])
-            begin, end = words.starts[at[new]], words.ends[at[np.concatenate([new[1:], [True]])]]
-            kept = [value[a:b] for a, b in zip([0, *end.tolist()], [*begin.tolist(), len(value)])]
-            out.append(b"\n".join(kept))
-        return [pa.array(out, pa.binary()).cast(pa.string())]
+        return [_cut(raw_texts(part.column(text)), part.column(places).to_pylist())]
 
     return map_columns(df, text, "clean_text string", fn, with_batch=True)
+
+
+def _cut(values: list[bytes], hits: list[list[int] | None]) -> pa.Array:
+    """The texts without their hit words and what lies between neighbouring ones."""
+    out = []
+    for value, hit in zip(values, hits):
+        if not hit:
+            out.append(value)
+            continue
+        words, at = Words.of([value]), np.array(hit)
+        new = np.concatenate([[True], np.diff(at) != 1])
+        begin, end = words.starts[at[new]], words.ends[at[np.concatenate([new[1:], [True]])]]
+        kept = [value[a:b] for a, b in zip([0, *end.tolist()], [*begin.tolist(), len(value)])]
+        out.append(b"\n".join(kept))
+    return pa.array(out, pa.binary()).cast(pa.string())

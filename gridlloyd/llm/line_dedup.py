@@ -83,8 +83,8 @@ def _task_filters(text: str, bits: int, least: int):
     return run
 
 
-def _merge(batches):
-    """Fold filters segment by segment: a bit seen in two of them counts as seen twice."""
+def _folded(batches) -> tuple[dict[int, np.ndarray], dict[int, np.ndarray]]:
+    """Both filters by segment: a bit seen in two filters of a segment counts as seen twice."""
     once: dict[int, np.ndarray] = {}
     twice: dict[int, np.ndarray] = {}
     for batch in batches:
@@ -95,11 +95,24 @@ def _merge(batches):
             t[places[o[places]]] = True
             t[np.frombuffer(second, "<u4")] = True
             o[places] = True
+    return once, twice
+
+
+def _merge(batches):
+    """Fold filters segment by segment."""
+    once, twice = _folded(batches)
     for segment in once:
         yield _filter_batch([(segment, 0, *[
             np.flatnonzero(x[segment]).astype("<u4").tobytes() for x in (once, twice)])])
 
 
+def _merge_to_maps(batches):
+    """Fold filters segment by segment into the bit maps of what was seen twice."""
+    for segment, seen in _folded(batches)[1].items():
+        packed = np.packbits(seen, bitorder="little").tobytes()
+        yield pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), pa.array([packed], pa.binary())], names=["segment", "map"])
+
+
 def twice_filter(df: DataFrame, text: str, bits: int, least: int) -> bytes:
     """The filter of keys seen twice, as a bit map of ``bits`` bits.
 
@@ -107,21 +120,11 @@ def twice_filter(df: DataFrame, text: str, bits: int, least: int) -> bytes:
     salt, then by segment. The driver receives a bit map of bounded size, whatever the input.
     """
     parts = df.select(text).mapInArrow(_task_filters(text, bits, least), _FILTER)
-    for keys in (["segment", "salt"], ["segment"]):
-        parts = parts.repartition(*keys).mapInArrow(_merge, _FILTER)
-
-    def pack(batches):
-        for batch in batches:
-            maps = []
-            for places in batch.column("twice").to_pylist():
-                flags = np.zeros(SEGMENT_BITS, bool)
-                flags[np.frombuffer(places, "<u4")] = True
-                maps.append(np.packbits(flags, bitorder="little").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("segment"), pa.array(maps, pa.binary())], names=["segment", "map"])
-
+    parts = parts.repartition("segment", "salt").mapInArrow(_merge, _FILTER)
+    maps = parts.repartition("segment").mapInArrow(_merge_to_maps, "segment int, map binary")
     whole = bytearray(bits // 8)
     width = SEGMENT_BITS // 8
-    for row in parts.mapInArrow(pack, "segment int, map binary").collect():
+    for row in maps.collect():
         at = row["segment"] * width
         whole[at:at + width] = row["map"][:len(whole) - at]
     return bytes(whole)
