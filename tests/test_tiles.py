@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 
 from gridlloyd.operators import baselines, blocks, lloyd, many_labels, packed
+from gridlloyd.plans import sweep
 
 FEATURES = ["f0", "f1", "f2"]
 
@@ -46,19 +47,26 @@ def test_leaves_within_a_cluster_are_added_up_whole(values, n, flat):
 
 
 def test_shared_passes_read_the_rows_once(spark, rows, values, monkeypatch):
-    """Lloyd and agreements of several models over rows that have been packed once."""
+    """Lloyd, errors and agreements of several models over rows that have been packed once."""
     monkeypatch.setattr(lloyd, "BOUNDARY_BYTES", 0)
     monkeypatch.setattr(packed, "TILED_BYTES", 20_000)
     models = [values[:3], values[10:17], values[20:24]]
     want = lloyd.lloyd_models(lloyd.point_frame(rows, FEATURES), models)
-    table = many_labels.labelled(rows, FEATURES, models, ["id"])
+    errors, table = baselines.sse_of_all(rows, FEATURES, models), many_labels.labelled(rows, FEATURES, models, ["id"])
     with lloyd.PackedPoints(rows, FEATURES) as kept:
         for module in (lloyd, baselines):
             monkeypatch.setattr(module, "pack", lambda *a: pytest.fail("rows are packed again"))
         monkeypatch.setattr(lloyd, "pack_tiled", lambda *a: pytest.fail("rows are packed again"))
         for one, got in zip(want, baselines.lloyd_from_all(rows, FEATURES, models, packed=kept)):
             assert one.n_iter == got.n_iter and np.allclose(one.centers, got.centers)
+        assert np.allclose(baselines.sse_of_all(rows, FEATURES, models, kept), errors)
         pairs = [(0, 1), (1, 2), (2, 2)]
         labelled = many_labels.labelled(rows, FEATURES, models, ["id"], kept)
         for one, got in zip(many_labels.agreements(table, pairs), many_labels.agreements(labelled, pairs)):
             assert np.allclose(list(one.values()), list(got.values()))
+
+
+def test_rows_of_a_sweep_are_not_kept(spark, rows):
+    make = sweep.table_maker(rows, FEATURES, ["id"])
+    with sweep._shared(make(2, 2, 5000, 0)) as sample:
+        assert not sample.data.is_cached
